@@ -71,7 +71,7 @@ def config_dimensions(
         "AttributeTypeCode",
         "AttributeTypeDescription",
     )
-    return lookup_join(items, active, "Items")
+    return items.join(active, "Items")
 
 
 def pay_group_units(
@@ -86,7 +86,7 @@ def pay_group_units(
     applicable = groups.where(F.col("Applicable") == 1).select(
         F.col("ComboID").alias("CombinationID"), "PayGroupID"
     )
-    items = lookup_join(combos, applicable, "CombinationID").select(
+    items = combos.join(applicable, "CombinationID").select(
         "CombinationID", "PayGroupID", F.explode(split_list(F.col("AttributeUnitConfig"))).alias("Items")
     )
     active = units.where(F.col("Applicable") == 1).select(
@@ -95,7 +95,7 @@ def pay_group_units(
         "AttributeTypeUnitCode",
         "AttributeTypeUnitDescription",
     )
-    return lookup_join(items, active, "Items")
+    return items.join(active, "Items")
 
 
 def attribute_rows(details: DataFrame, types: DataFrame, units: DataFrame) -> DataFrame:
@@ -104,7 +104,7 @@ def attribute_rows(details: DataFrame, types: DataFrame, units: DataFrame) -> Da
     active_units = units.where(F.col("Applicable") == 1).select(
         "AttributeTypeID", "AttributeTypeUnitID", "AttributeTypeUnitDescription"
     )
-    names = lookup_join(active_units, active_types, "AttributeTypeID")
+    names = active_units.join(active_types, "AttributeTypeID")
     opened = details.where(is_open(F.col("ToDate"))).select(
         "EmployeeCode", "AttributeTypeID", "AttributeTypeUnitID"
     )
@@ -135,7 +135,7 @@ def pay_group_matrix(dimensions: DataFrame, group_units: DataFrame, dims: list[s
         F.col("Items").try_cast("int").alias("AttributeTypeID"), "AttributeTypeDescription"
     )
     return (
-        lookup_join(group_units.drop("Items"), typed, "AttributeTypeID")
+        group_units.drop("Items").join(typed, "AttributeTypeID")
         .groupBy("CombinationID", "PayGroupID")
         .pivot("AttributeTypeDescription", dims)
         .agg(F.max("AttributeTypeUnitDescription"))

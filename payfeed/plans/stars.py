@@ -28,7 +28,7 @@ def active_heads(tables: dict[str, DataFrame]) -> DataFrame:
 
 def head_rules(tables: dict[str, DataFrame]) -> DataFrame:
     """Rules of every pay group and active pay head."""
-    return lookup_join(tables["pay_group_payhead_details"], active_heads(tables), "PayHeadID")
+    return tables["pay_group_payhead_details"].join(active_heads(tables), "PayHeadID")
 
 
 def people(tables: dict[str, DataFrame]) -> DataFrame:
@@ -79,19 +79,15 @@ def property_lookup(
         codes,
         rename=rename,
     )
-    lookup = lookup_join(
-        flags.select(
-            F.col("APGD_PaygroupID").alias("PayGroupID"),
-            F.col("PM_PayheadID").alias("PayHeadID"),
-            F.col("GPP_CountryID").alias("CountryId"),
-            *[f"`{rename(c) if rename else c}`" for c in codes],
-        ),
-        active_heads(tables),
-        "PayHeadID",
-    )
+    lookup = flags.select(
+        F.col("APGD_PaygroupID").alias("PayGroupID"),
+        F.col("PM_PayheadID").alias("PayHeadID"),
+        F.col("GPP_CountryID").alias("CountryId"),
+        *[f"`{rename(c) if rename else c}`" for c in codes],
+    ).join(active_heads(tables), "PayHeadID")
     if with_rules:
         rules = tables["pay_group_payhead_details"].select("PayHeadID", *HEAD_FLAGS).distinct()
-        lookup = lookup_join(lookup, rules, "PayHeadID")
+        lookup = lookup.join(rules, "PayHeadID")
     return lookup, codes
 
 

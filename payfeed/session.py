@@ -5,11 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # A lookup side is broadcast only when it is known to hold at most this many rows.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 50_000
 # ... or when the optimizer's own upper bound on its bytes is below this.
 BROADCAST_BYTES = 8 * 1024 * 1024
 
@@ -72,17 +74,29 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def known_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` is proven to be small.
+def _bounded_by_statistics(df: DataFrame) -> bool:
+    """Whether the optimizer's byte estimate proves ``df`` small.
 
-    The optimizer's byte estimate settles it for free where it is an upper bound (it is
-    not once lists are exploded); otherwise at most ``max_rows + 1`` rows are counted.
+    The estimate is an upper bound for scans, filters, joins and aggregates, but not
+    once lists are exploded.
     """
     plan = df._jdf.queryExecution().optimizedPlan()
     estimate = int(str(plan.stats().sizeInBytes()))
-    if estimate <= BROADCAST_BYTES and "Generate " not in plan.toString():
-        return True
-    return df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
+    return estimate <= BROADCAST_BYTES and "Generate " not in plan.toString()
+
+
+def settle(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
+    """``df`` evaluated once as a local table, or None if it exceeds ``max_rows``.
+
+    Configuration lookups are joined from several tables and used in several places;
+    fetching at most ``max_rows + 1`` rows both proves the bound and saves the repeats.
+    """
+    rows = df.take(max_rows + 1)
+    if len(rows) > max_rows:
+        return None
+    columns = [pa.array([row[i] for row in rows], type=field.type) for i, field in enumerate(to_arrow_schema(df.schema))]
+    table = pa.Table.from_arrays(columns, schema=to_arrow_schema(df.schema))
+    return df.sparkSession.createDataFrame(table, schema=df.schema)
 
 
 def lookup_join(
@@ -96,5 +110,7 @@ def lookup_join(
 
     The shuffle join leaves hot keys to the adaptive skew join (see ``RUNTIME_CONF``).
     """
-    side = F.broadcast(lookup) if known_small(lookup, max_rows) else lookup
-    return facts.join(side, on, how)
+    if _bounded_by_statistics(lookup):
+        return facts.join(F.broadcast(lookup), on, how)
+    local = settle(lookup, max_rows)
+    return facts.join(lookup if local is None else F.broadcast(local), on, how)
