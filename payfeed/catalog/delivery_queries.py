@@ -14,8 +14,8 @@ from payfeed.catalog.star_schema import hr_tables, read, rostering
 from payfeed.functions.fields import ntz
 from payfeed.operators.batching import batch_keys, batch_rows, envelopes, iso_records
 from payfeed.operators.predicates import current_salary
-from payfeed.plans import attendance, overtime
-from payfeed.plans.increment import FEEDS, pack, run_increment
+from payfeed.plans import attendance
+from payfeed.plans.increment import FEEDS, cut, pack, run_increment
 from payfeed.session import run_path
 from payfeed.sources.delivery import apply_outcomes, batch_log
 from payfeed.sources.marks import commit_mark, latest_mark, next_mark
@@ -360,16 +360,20 @@ def increment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "stream_increment",
-    """SELECT d.ED_EMPID AS "EmployeeID", r.EmpCode AS "EmployeeCode", count(*) AS n, max(r.UpdatedDate) AS newest
+    """SELECT d.ED_EMPID AS "EmployeeID", r.EmpCode AS "EmployeeCode", count(*) AS n, CAST(max(r."Date") AS VARCHAR) AS newest
     FROM rostering r JOIN employee_details d ON r.EmpCode = d.ED_EMPCode GROUP BY 1, 2""",
 )
 def stream_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The attendance feed over arriving event files, summed up per employee at the end."""
+    """Attendance batches of arriving event files; what was sent, summed up per employee."""
     t = hr_tables(spark, sf_dir)
     path = run_path(spark, "stream")
 
     def shape(arrived: DataFrame, epoch: int) -> DataFrame:
-        return attendance.attendance_feed({**t, "rostering": rostering(arrived)}, dt.datetime(1900, 1, 1), ROSTER_AS_OF)
+        tables = {"rostering": rostering(arrived), "employee_details": t["employee_details"]}
+        feed = FEEDS["attendance"]
+        rows = feed.build(tables, mark=dt.datetime(1900, 1, 1), as_of=ROSTER_AS_OF)
+        batched = cut(rows.withColumn("source_db", F.lit("db-1")), feed)
+        return pack(batched, feed, {"db-1": "sub-1"}, ROSTER_AS_OF).drop("records")
 
     run_stream(
         spark,
@@ -380,8 +384,10 @@ def stream_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{path}/checkpoint",
         glob="events.parquet",
     )
+    sent = F.from_json("payload", "records array<struct<EmployeeID bigint, EmployeeCode string, AttendanceDate string>>")
     return (
         spark.read.parquet(f"{path}/outbox")
-        .groupBy("EmployeeID", "EmployeeCode")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("updateDate_timestamp").alias("newest"))
+        .select(F.explode(sent["records"]).alias("r"))
+        .groupBy("r.EmployeeID", "r.EmployeeCode")
+        .agg(F.count(F.lit(1)).alias("n"), F.max("r.AttendanceDate").alias("newest"))
     )

@@ -377,7 +377,7 @@ def to_int(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey",
         "l_linenumber",
         fields.to_int(F.col("l_extendedprice"), text=False).alias("whole_price"),
-        fields.to_int(F.col("word"), 1).alias("whole_word"),
+        fields.to_int(F.col("word"), 1, text=True).alias("whole_word"),
     )
 
 
@@ -388,7 +388,7 @@ def to_int(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM (SELECT *, {_WORDS} AS word FROM lineitem) w""",
 )
 def to_float(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _words(spark, sf_dir).select("l_orderkey", "l_linenumber", fields.to_float(F.col("word")).alias("number"))
+    return _words(spark, sf_dir).select("l_orderkey", "l_linenumber", fields.to_float(F.col("word"), text=True).alias("number"))
 
 
 @query(

@@ -8,22 +8,38 @@ through sorted arrays, so nothing needs a global window or a cross join.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payfeed.functions.fields import OPEN_END, ntz
 from payfeed.operators.attributes import MODULE
-
-TABLES = ("region", "nation", "customer", "part", "orders", "lineitem", "events")
+from payfeed.session import settle
 
 # Countries and property codes of the derived configuration.
 COUNTRIES = (101, 103)
 PROPERTY_CODES = ("SSSEMPLOYEE", "PHILHEALTHEMPLOYEE", "OTAPPLICABLE")
 
 
+# Columns of the star-schema tables (see FIXTURES.md); stating them saves
+# a job per table that would only read the file footers.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def emp_code(key: Column) -> Column:
@@ -259,30 +275,63 @@ def ot_parameter_master(spark: SparkSession) -> DataFrame:
     )
 
 
-def hr_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All HR tables, lazily; a query pays only for the ones it reads."""
-    star = {name: read(spark, sf_dir, name) for name in TABLES}
-    units = attribute_unit_master(star["customer"], star["region"])
-    combos = unit_type_configuration(units)
-    groups = pay_group_master(combos)
-    heads = payhead_master(star["part"])
-    rules = pay_group_payhead_details(groups, heads)
-    return {
-        "employee_details": employee_details(star["customer"]),
-        "employee_fin_details": employee_fin_details(star["customer"]),
-        "attribute_type_master": attribute_type_master(spark),
-        "attribute_unit_master": units,
-        "employee_attribute_details": employee_attribute_details(
-            star["customer"], star["nation"], star["region"], units
-        ),
-        "type_configuration": type_configuration(spark),
-        "unit_type_configuration": combos,
-        "pay_group_master": groups,
-        "payhead_master": heads,
-        "pay_group_payhead_details": rules,
-        "payhead_properties": payhead_properties(rules),
-        "salary_master": salary_master(star["lineitem"], star["orders"], star["part"]),
-        "emp_variable": emp_variable(star["orders"]),
-        "rostering": rostering(star["events"]),
-        "ot_parameter_master": ot_parameter_master(spark),
-    }
+def _configuration(df: DataFrame) -> DataFrame:
+    """A configuration table that is derived by scanning a large one: evaluated once.
+
+    The other configuration tables follow from it, and feeds read them several times.
+    """
+    local = settle(df)
+    return df if local is None else local
+
+
+class HrTables(Mapping):
+    """The HR tables of one data folder, each built when first read."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._dir = spark, sf_dir
+        self._built: dict[str, DataFrame] = {}
+        self._read: dict[str, DataFrame] = {}
+        star, own = self._star, self.__getitem__
+        self._builders = {
+            "employee_details": lambda: employee_details(star("customer")),
+            "employee_fin_details": lambda: employee_fin_details(star("customer")),
+            "attribute_type_master": lambda: attribute_type_master(spark),
+            "attribute_unit_master": lambda: _configuration(
+                attribute_unit_master(star("customer"), star("region"))
+            ),
+            "employee_attribute_details": lambda: employee_attribute_details(
+                star("customer"), star("nation"), star("region"), own("attribute_unit_master")
+            ),
+            "type_configuration": lambda: type_configuration(spark),
+            "unit_type_configuration": lambda: unit_type_configuration(own("attribute_unit_master")),
+            "pay_group_master": lambda: pay_group_master(own("unit_type_configuration")),
+            "payhead_master": lambda: _configuration(payhead_master(star("part"))),
+            "pay_group_payhead_details": lambda: pay_group_payhead_details(
+                own("pay_group_master"), own("payhead_master")
+            ),
+            "payhead_properties": lambda: payhead_properties(own("pay_group_payhead_details")),
+            "salary_master": lambda: salary_master(star("lineitem"), star("orders"), star("part")),
+            "emp_variable": lambda: emp_variable(star("orders")),
+            "rostering": lambda: rostering(star("events")),
+            "ot_parameter_master": lambda: ot_parameter_master(spark),
+        }
+
+    def _star(self, name: str) -> DataFrame:
+        if name not in self._read:
+            self._read[name] = read(self._spark, self._dir, name)
+        return self._read[name]
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
+def hr_tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
+    return HrTables(spark, sf_dir)

@@ -11,7 +11,6 @@ from payfeed.operators import attributes, properties
 from payfeed.operators.attributes import MODULE
 from payfeed.operators.predicates import current_salary
 from payfeed.plans import attendance, overtime, stars, variable
-from payfeed.session import lookup_join
 
 CODES = list(PROPERTY_CODES)
 
@@ -129,9 +128,7 @@ def assign_pay_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def salary_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = hr_tables(spark, sf_dir)
     salary = current_salary(t["salary_master"]).select("EmpCode", "HeadCode", "MonthlyRate", "updateDate")
-    rows = stars.rule_star(
-        salary, attributes.employee_pay_groups(t), stars.people_with_finance(t), stars.head_rules(t)
-    )
+    rows = stars.rule_star(salary, stars.employee_roll(t, stars.people_with_finance(t)), stars.head_rules(t))
     return rows.select(
         "EmpCode", "PayGroupID", "PayHeadID", "HeadCode", "MonthlyRate", "updateDate", "EFD_StateId", "TaxApp"
     )
@@ -153,7 +150,7 @@ def property_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = hr_tables(spark, sf_dir)
     salary = current_salary(t["salary_master"]).select("EmpCode", "HeadCode", "MonthlyRate", "updateDate")
     lookup, codes = stars.property_lookup(t, COUNTRY, CODES, with_rules=False)
-    rows = stars.rule_star(salary, attributes.employee_pay_groups(t), stars.people(t).select("EmpCode"), lookup)
+    rows = stars.rule_star(salary, stars.employee_roll(t, stars.people(t).select("EmpCode")), lookup)
     return stars.merge_flags(
         rows.select(
             "EmpCode", "PayGroupID", "PayHeadID", "HeadCode", "MonthlyRate", "updateDate", "CountryId", *codes
@@ -173,24 +170,26 @@ def property_star(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def variable_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = hr_tables(spark, sf_dir)
-    rows = variable.variable_rows(t["emp_variable"], VARIABLE_MARK, VARIABLE_AS_OF).select(
-        "EmpCode", "HeadCode", "Amount", "UpdatedDate"
-    )
-    star = stars.rule_star(
-        rows, attributes.employee_pay_groups(t), stars.people_with_finance(t), stars.head_rules(t)
+    rows, keys = stars.stage_changes(
+        variable.variable_rows(t["emp_variable"], VARIABLE_MARK, VARIABLE_AS_OF).select(
+            "EmpCode", "HeadCode", "Amount", "UpdatedDate"
+        )
     )
+    roll = stars.employee_roll(t, stars.people_with_finance(t), keys=keys)
+    star = stars.rule_star(rows, roll, stars.head_rules(t))
     return star.select(
         "EmpCode", "PayGroupID", "PayHeadID", "HeadCode", "Amount", "UpdatedDate", "OTApplicable", "ED_EMPID"
     )
 
 
 def _salary_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Salary rows with one row per property of their head, in every pay group."""
+    """Salary rows with one row per property that their head has in the employee's pay group."""
     t = hr_tables(spark, sf_dir)
     props = t["payhead_properties"].where(F.col("GPP_CountryID") == COUNTRY)
     heads = stars.active_heads(t).select(F.col("PayHeadID").alias("PM_PayheadID"), "HeadCode")
+    lookup = props.withColumnRenamed("APGD_PaygroupID", "PayGroupID").join(heads, "PM_PayheadID")
     salary = current_salary(t["salary_master"]).select("EmpCode", "HeadCode", "MonthlyRate", "FromDate")
-    return lookup_join(salary, props.join(heads, "PM_PayheadID"), "HeadCode")
+    return stars.rule_star(salary, stars.employee_roll(t, stars.people(t).select("EmpCode")), lookup)
 
 
 @query(
@@ -200,8 +199,10 @@ def _salary_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     max(CASE WHEN b.GPP_PropertyCode = 'PHILHEALTHEMPLOYEE' THEN coalesce(CAST(b.PropertyChecked AS INT), 0) END) AS "PHILHEALTHEMPLOYEE",
     max(CASE WHEN b.GPP_PropertyCode = 'OTAPPLICABLE' THEN coalesce(CAST(b.PropertyChecked AS INT), 0) END) AS "OTAPPLICABLE"
     FROM (SELECT DISTINCT EmpCode, HeadCode, MonthlyRate, FromDate FROM salary_master WHERE ToDate IS NULL AND MonthlyRate <> 0) s
+    JOIN assigned a ON a.EmpCode = s.EmpCode
     JOIN payhead_master p ON s.HeadCode = p.PayHeadCode AND p.Applicable = 1
-    JOIN payhead_properties b ON b.PM_PayheadID = p.PayHeadID AND b.GPP_CountryID = 103
+    JOIN payhead_properties b ON b.PM_PayheadID = p.PayHeadID AND b.GPP_CountryID = 103 AND b.APGD_PaygroupID = a.PayGroupID
+    JOIN employee_details d ON s.EmpCode = d.ED_EMPCode
     GROUP BY 1, 2, 3, 4, 5""",
 )
 def property_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,7 +216,8 @@ def property_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     "property_codes",
     """SELECT string_agg(c, ',' ORDER BY c) AS property_codes FROM (SELECT DISTINCT b.GPP_PropertyCode AS c
     FROM salary_master s JOIN payhead_master p ON s.HeadCode = p.PayHeadCode AND p.Applicable = 1
-    JOIN payhead_properties b ON b.PM_PayheadID = p.PayHeadID AND b.GPP_CountryID = 103
+    JOIN assigned a ON a.EmpCode = s.EmpCode JOIN employee_details d ON s.EmpCode = d.ED_EMPCode
+    JOIN payhead_properties b ON b.PM_PayheadID = p.PayHeadID AND b.GPP_CountryID = 103 AND b.APGD_PaygroupID = a.PayGroupID
     WHERE s.ToDate IS NULL AND s.MonthlyRate <> 0) x""",
 )
 def property_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,9 +233,8 @@ def resolve_property(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = hr_tables(spark, sf_dir)
     salary = current_salary(t["salary_master"]).select("EmpCode", "HeadCode", "MonthlyRate")
     lookup, codes = stars.property_lookup(t, COUNTRY, None, with_rules=False)
-    rows = stars.rule_star(
-        salary, attributes.employee_pay_groups(t), stars.people(t).select("EmpCode", "ED_EMPID"), lookup
-    )
+    roll = stars.employee_roll(t, stars.people(t).select("EmpCode", "ED_EMPID"))
+    rows = stars.rule_star(salary, roll, lookup)
     merged = stars.merge_flags(
         rows.select(
             F.col("ED_EMPID").alias("EmployeeID"), F.col("PayHeadID").alias("PayheadId"), "MonthlyRate", *codes

@@ -49,7 +49,7 @@ def unit_code(conversion: Column) -> Column:
 
 def minutes_value(text: Column) -> Column:
     """Minutes held as text; blank counts as 0, anything else not a number gives null."""
-    return F.when(F.trim(text) == "", F.lit(0.0)).otherwise(to_float(text, None))
+    return F.when(F.trim(text) == "", F.lit(0.0)).otherwise(to_float(text, None, text=True))
 
 
 # ---- employees and salaries --------------------------------------------------
@@ -117,29 +117,23 @@ def proper_case(text: Column, sep: str = ",") -> Column:
 # ---- conversions used when a row becomes a payload ----------------------------
 
 
-def to_int(value: Column, default: int = 0, text: bool = True) -> Column:
+def to_int(value: Column, default: int = 0, *, text: bool) -> Column:
     """Whole number the lenient way: null, '' and anything unreadable give ``default``.
 
-    Fractions in numbers are cut off; fractions in text are unreadable. Pass
-    ``text=False`` for a column known not to be text, which skips the text rule.
+    Fractions in numbers are cut off; fractions in text are unreadable. ``text`` says
+    whether the column is text. Only readable text is cast at all: a failing cast costs
+    an exception per row.
     """
-    number = value.try_cast("bigint")
     if text:
-        word = value.cast("string")
-        grouped = F.regexp_replace(word, "_", "").try_cast("bigint")
-        number = F.coalesce(number, F.when(word.rlike(_PYTHON_INT), grouped))
-    return F.coalesce(number, F.lit(default).cast("bigint"))
+        value = F.when(value.rlike(_PYTHON_INT), F.regexp_replace(value, "_", ""))
+    return F.coalesce(value.try_cast("bigint"), F.lit(default).cast("bigint"))
 
 
-def to_float(value: Column, default: float | None = 0.0, text: bool = True) -> Column:
+def to_float(value: Column, default: float | None = 0.0, *, text: bool) -> Column:
     """Floating-point number the lenient way; ``default`` for null, '' and unreadable text."""
-    number = value.try_cast("double")
     if text:
-        word = value.cast("string")
-        readable = F.regexp_replace(word, "_", "").try_cast("double")
-        number = F.when(word.rlike(_PYTHON_FLOAT), readable).when(
-            word.isin("true", "false"), number
-        )
+        value = F.when(value.rlike(_PYTHON_FLOAT), F.regexp_replace(value, "_", ""))
+    number = value.try_cast("double")
     return number if default is None else F.coalesce(number, F.lit(float(default)))
 
 

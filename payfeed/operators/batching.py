@@ -79,17 +79,13 @@ def number_rows(df: DataFrame, order: list[str], name: str = "row_index") -> Dat
     return placed.withColumn(name, start + position).drop(_PLACE)
 
 
-def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
-
-
-def _join_back(df: DataFrame, extra: DataFrame, by: list[str], small: bool = False) -> DataFrame:
-    """Add the columns of ``extra`` by keys that may be null."""
-    renamed = extra.select(*[F.col(c).alias(f"_by_{i}") for i, c in enumerate(by)],
-                           *[c for c in extra.columns if c not in by])
+def _join_back(df: DataFrame, extra: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
+    """Join on keys that may be null."""
+    renamed = extra.select(
+        *[F.col(c).alias(f"_by_{i}") for i, c in enumerate(by)], *[c for c in extra.columns if c not in by]
+    )
     on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_by_{i}")) for i, c in enumerate(by)])
-    joined = lookup_join(df, renamed, on) if small else df.join(renamed, on)
-    return joined.drop(*[f"_by_{i}" for i in range(len(by))])
+    return lookup_join(df, renamed, on, how).drop(*[f"_by_{i}" for i in range(len(by))])
 
 
 def _from_start(numbered: DataFrame, within: list[str]) -> DataFrame:
@@ -98,7 +94,7 @@ def _from_start(numbered: DataFrame, within: list[str]) -> DataFrame:
         return numbered
     starts = numbered.groupBy(*within).agg(F.min("row_index").alias("_start"))
     return (
-        _join_back(numbered, starts, within, small=True)
+        _join_back(numbered, starts, within)
         .withColumn("row_index", F.col("row_index") - F.col("_start"))
         .drop("_start")
     )
@@ -121,17 +117,16 @@ def batch_keys(df: DataFrame, key: str, n: int, within: tuple[str, ...] = ()) ->
 def split_parts(batched: DataFrame, by: list[str], order: list[str], max_records: int = MAX_RECORDS) -> DataFrame:
     """Number the parts of batches that are too large for one envelope; all others are part 0.
 
-    Only the rows of oversize batches are ordered again.
+    Only the rows of oversize batches are ordered again. At most one batch per
+    ``max_records`` rows is oversize.
     """
     sizes = batched.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
-    oversize = sizes.where(F.col("_size") > max_records).select(*by)
+    oversize = materialize(sizes.where(F.col("_size") > max_records).select(*by), "oversize")
     if oversize.isEmpty():
         return batched.withColumn("part", F.lit(0).cast("bigint"))
-    marked = _join_back(batched, sizes, by)
-    small = marked.where(F.col("_size") <= max_records).drop("_size")
-    large = marked.where(F.col("_size") > max_records).drop("_size")
+    small = _join_back(batched, oversize, by, "left_anti")
     index = "_large_index"
-    numbered = number_rows(large, [*by, *order], index)
+    numbered = number_rows(_join_back(batched, oversize, by, "left_semi"), [*by, *order], index)
     starts = numbered.groupBy(*by).agg(F.min(index).alias("_start"))
     parts = (
         _join_back(numbered, starts, by)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payfeed.functions.fields import ntz
+from payfeed.session import staged_join
 
 # How far a first run looks back.
 BACKFILL_DAYS = 90
@@ -64,7 +65,7 @@ def changed_keys(df: DataFrame, key: str, update_col: str, mark: dt.datetime | N
 def only_changed(df: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
     """All rows of ``df`` whose key changed, changed rows or not."""
     columns = [on] if isinstance(on, str) else on
-    return df.join(keys.select(*columns), on=columns, how="left_semi")
+    return staged_join(df, keys.select(*columns).distinct(), columns, "left_semi", "keys")
 
 
 def changed_days(df: DataFrame, changed: DataFrame, on: list[str], parity: bool = False) -> DataFrame:
@@ -78,7 +79,7 @@ def changed_days(df: DataFrame, changed: DataFrame, on: list[str], parity: bool
     times = changed.select(*on, *update_cols).distinct().groupBy(*on).agg(
         F.count(F.lit(1)).cast("int").alias("_copies")
     )
-    repeated = df.join(times, on=on, how="inner").withColumn(
+    repeated = staged_join(df, times, on, label="days").withColumn(
         "_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))
     )
     return repeated.drop("_copy", "_copies")

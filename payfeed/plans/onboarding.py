@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from payfeed.functions.fields import ONBOARDING_FLOOR, date_floor
-from payfeed.operators.attributes import MODULE, employee_pay_groups
-from payfeed.operators.changes import changed_since, only_changed
+from payfeed.operators.attributes import MODULE
+from payfeed.operators.changes import changed_since
 from payfeed.operators.predicates import (
     STATUS_ACTIVE_AND_NOTICE,
     STATUS_ONBOARDING_INDIA,
@@ -17,6 +17,7 @@ from payfeed.operators.predicates import (
     with_status,
 )
 from payfeed.plans import stars
+from payfeed.session import materialize
 
 ORDER = ("EmployeeID",)
 
@@ -31,17 +32,15 @@ def proper(code: str) -> str:
     return code[:1].upper() + code[1:].lower()
 
 
-def _changed_salary(tables, mark: dt.datetime | None) -> tuple[DataFrame, DataFrame | None]:
-    """Current salaries of employees with any changed salary row, and those employees.
+def _changed_employees(tables, mark: dt.datetime | None) -> DataFrame | None:
+    """Employees with any changed salary row; None for all of them, on a first run.
 
-    On a first run every employee counts as changed, and no key set is needed.
+    Limiting the employee roll to them also limits the salaries joined to it.
     """
-    salary = tables["salary_master"]
-    current = current_salary(salary)
     if mark is None or mark == _NO_MARK:
-        return current, None
-    keys = changed_since(salary, "updateDate", mark, days=None).select("EmpCode").distinct()
-    return only_changed(current, keys, "EmpCode"), keys
+        return None
+    changed = changed_since(tables["salary_master"], "updateDate", mark, days=None)
+    return materialize(changed.select("EmpCode").distinct(), "changed")
 
 
 def onboarding_india_feed(
@@ -51,13 +50,12 @@ def onboarding_india_feed(
     module: str = MODULE,
     with_update_time: bool = False,
 ) -> DataFrame:
-    current, keys = _changed_salary(tables, mark)
-    salary = current.select(
+    salary = current_salary(tables["salary_master"]).select(
         "EmpCode", "HeadCode", "MonthlyRate", "YearlyValue", "FromDate", "ToDate", "EffDate", "updateDate"
     )
     staff = with_status(stars.people_with_finance(tables), STATUS_ONBOARDING_INDIA)
-    rules = stars.head_rules(tables).where(F.col("GrossNetApp") == 1)
-    rows = stars.rule_star(salary, employee_pay_groups(tables, module, keys), staff, rules)
+    roll = stars.employee_roll(tables, staff, module, _changed_employees(tables, mark))
+    rows = stars.rule_star(salary, roll, stars.head_rules(tables).where(F.col("GrossNetApp") == 1))
     salutation, first, middle, last, dob, gender = stars.names(include_gender_code=False)
     columns = [
         F.lit("Daily").alias("InputType"),
@@ -115,13 +113,13 @@ def onboarding_philippines_feed(
     present_only: bool = False,
 ) -> DataFrame:
     """``override_date`` replaces joining and start date; None keeps the floored dates."""
-    current, keys = _changed_salary(tables, mark)
-    salary = current.select(
+    salary = current_salary(tables["salary_master"]).select(
         "EmpCode", "HeadCode", "MonthlyRate", "YearlyValue", "ToDate", "EffDate", "updateDate"
     )
     lookup, codes = stars.property_lookup(tables, country_id, codes, proper)
     staff = with_status(stars.people(tables), STATUS_ACTIVE_AND_NOTICE)
-    rows = stars.rule_star(salary, employee_pay_groups(tables, module, keys), staff, lookup)
+    roll = stars.employee_roll(tables, staff, module, _changed_employees(tables, mark))
+    rows = stars.rule_star(salary, roll, lookup)
     joined = date_floor(F.col("ED_DOJ"), ONBOARDING_FLOOR) if override_date is None else F.lit(override_date)
     flags = [proper(c) for c in codes]
     salutation, first, middle, last, dob, gender = stars.names()

@@ -292,19 +292,19 @@ def _value(field: Field, dtype: str | None, as_of: dt.datetime | None, null_text
         }
         return lacking.get(kind, F.lit("")), None
     if kind in ("i", "i1"):
-        return to_int(column, 0, text), None
+        return to_int(column, 0, text=text), None
     if kind == "f":
-        return to_float(column, 0.0, text), None
+        return to_float(column, 0.0, text=text), None
     if kind in ("f!", "r!"):
-        number = to_float(column, None, text)
+        number = to_float(column, None, text=text)
         return (round_money(number) if kind == "r!" else number), number.isNull()
     if kind in ("n0", "n1", "nf"):
         default = 1 if kind == "n1" else 0
         missing = column.isNull() | F.isnan(column) if dtype in ("double", "float") else column.isNull()
         if kind == "nf":
-            number = to_float(column, None, text)
+            number = to_float(column, None, text=text)
             return F.when(missing, F.lit(0.0)).otherwise(number), ~missing & number.isNull()
-        number = F.nullif(to_int(column, -(2**63), text), F.lit(-(2**63)))
+        number = F.nullif(to_int(column, -(2**63), text=text), F.lit(-(2**63)))
         return F.when(missing, F.lit(default).cast("bigint")).otherwise(number), ~missing & number.isNull()
     if kind == "s":
         return plain_text(column, dtype, null_text), None

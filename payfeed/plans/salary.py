@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from payfeed.functions.fields import date_floor, effective_date, year_start_floor
-from payfeed.operators.attributes import MODULE, employee_pay_groups
+from payfeed.operators.attributes import MODULE
 from payfeed.operators.changes import changed_since
 from payfeed.operators.predicates import (
     STATUS_ACTIVE,
@@ -24,9 +24,10 @@ ORDER = ("EmployeeID",)
 _SALARY = ("EmpCode", "HeadCode", "MonthlyRate", "YearlyValue", "FromDate", "ToDate", "EffDate", "updateDate")
 
 
-def _revised(tables, mark, as_of) -> DataFrame:
+def _revised(tables, mark, as_of) -> tuple[DataFrame, DataFrame]:
+    """Changed current salaries, staged, and their employees."""
     changed = changed_since(tables["salary_master"], "updateDate", mark, inclusive=True, as_of=as_of)
-    return current_salary(changed).select(*_SALARY)
+    return stars.stage_changes(current_salary(changed).select(*_SALARY))
 
 
 def salary_india_feed(
@@ -36,9 +37,9 @@ def salary_india_feed(
     module: str = MODULE,
 ) -> DataFrame:
     staff = with_status(stars.people_with_finance(tables), STATUS_ACTIVE_AND_NOTICE)
-    rows = stars.rule_star(
-        _revised(tables, mark, as_of), employee_pay_groups(tables, module), staff, stars.head_rules(tables)
-    )
+    salary, keys = _revised(tables, mark, as_of)
+    roll = stars.employee_roll(tables, staff, module, keys)
+    rows = stars.rule_star(salary, roll, stars.head_rules(tables))
     salutation, first, middle, last, dob, gender = stars.names()
     return rows.select(
         F.col("ED_EMPID").alias("EmployeeID"),
@@ -84,9 +85,8 @@ def _salary_with_properties(
 ) -> DataFrame:
     lookup, codes = stars.property_lookup(tables, country_id, codes, proper, with_rules)
     staff = with_status(stars.people(tables), status)
-    rows = stars.rule_star(
-        _revised(tables, mark, as_of), employee_pay_groups(tables, module), staff, lookup
-    )
+    salary, keys = _revised(tables, mark, as_of)
+    rows = stars.rule_star(salary, stars.employee_roll(tables, staff, module, keys), lookup)
     joined = date_floor(F.col("ED_DOJ"), year_start_floor(as_of))
     start = F.lit(as_of.date()) if country == "PHILIPPINES" else joined
     flags = [proper(c) for c in codes]

@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from payfeed.functions.fields import gender_code
+from payfeed.operators.attributes import MODULE, employee_pay_groups
 from payfeed.operators.properties import distinct_codes, property_matrix
-from payfeed.session import lookup_join
+from payfeed.session import lookup_join, materialize
 
 # Rule flags that follow a pay head whatever the pay group.
 HEAD_FLAGS = ("LeenPayApp", "TaxApp", "SpotTaxApp")
@@ -52,10 +53,33 @@ def names(include_gender_code: bool = True) -> list:
     ]
 
 
-def rule_star(rows: DataFrame, assigned: DataFrame, staff: DataFrame, rules: DataFrame) -> DataFrame:
+def employee_roll(
+    tables: dict[str, DataFrame],
+    staff: DataFrame,
+    module: str = MODULE,
+    keys: DataFrame | None = None,
+) -> DataFrame:
+    """Persons with each of their pay groups; ``keys`` limits it to some employees.
+
+    Everything that depends on the employee alone, in one table to be staged: rows are
+    then shuffled on the employee once, and the hot ones can be split.
+    """
+    roll = employee_pay_groups(tables, module, keys).join(staff, "EmpCode")
+    return materialize(roll, "roll")
+
+
+def rule_star(rows: DataFrame, roll: DataFrame, rules: DataFrame) -> DataFrame:
     """Employee-keyed rows with pay group, person and the rules of group and head."""
-    placed = rows.join(assigned, "EmpCode").join(staff, "EmpCode")
-    return lookup_join(placed, rules, ["PayGroupID", "HeadCode"])
+    return lookup_join(rows.join(roll, "EmpCode"), rules, ["PayGroupID", "HeadCode"])
+
+
+def stage_changes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Changed rows written once, and their employees.
+
+    The large table is read once; all further work is of the size of the change.
+    """
+    staged = materialize(rows, "changed")
+    return staged, staged.select("EmpCode").distinct()
 
 
 def property_lookup(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from payfeed.functions.fields import signed_amount
-from payfeed.operators.attributes import MODULE, employee_pay_groups
+from payfeed.operators.attributes import MODULE
 from payfeed.operators.changes import changed_since
 from payfeed.operators.predicates import current_salary
 from payfeed.operators.properties import PF_CODES, SSC_CODES, VPF_CODES, resolved_flag
@@ -33,15 +33,13 @@ def variable_india_feed(
     module: str = MODULE,
     with_update_time: bool = False,
 ) -> DataFrame:
-    changed = variable_rows(tables["emp_variable"], mark, as_of).select(
-        "EmpCode", "HeadCode", "Amount", "UpdatedDate"
-    )
-    rows = stars.rule_star(
-        changed,
-        employee_pay_groups(tables, module),
-        stars.people_with_finance(tables),
-        stars.head_rules(tables),
+    changed, keys = stars.stage_changes(
+        variable_rows(tables["emp_variable"], mark, as_of).select(
+            "EmpCode", "HeadCode", "Amount", "UpdatedDate"
+        )
     )
+    roll = stars.employee_roll(tables, stars.people_with_finance(tables), module, keys)
+    rows = stars.rule_star(changed, roll, stars.head_rules(tables))
 
     def flag(column: str, alias: str):
         return F.coalesce(F.col(column), F.lit(0)).alias(alias)
@@ -80,7 +78,7 @@ def applicability(
     lookup, codes = stars.property_lookup(tables, country_id, codes)
     heads = current_salary(tables["salary_master"]).select("EmpCode", "HeadCode").distinct()
     ids = stars.people(tables).select("EmpCode", "ED_EMPID")
-    rows = stars.rule_star(heads, employee_pay_groups(tables, module), ids, lookup)
+    rows = stars.rule_star(heads, stars.employee_roll(tables, ids, module), lookup)
     per_head = rows.groupBy("EmpCode", "ED_EMPID", "PayHeadID", *stars.HEAD_FLAGS).agg(
         *[F.max(f"`{c}`").alias(c) for c in codes]
     )

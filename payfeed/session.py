@@ -96,7 +96,8 @@ def settle(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
         return None
     columns = [pa.array([row[i] for row in rows], type=field.type) for i, field in enumerate(to_arrow_schema(df.schema))]
     table = pa.Table.from_arrays(columns, schema=to_arrow_schema(df.schema))
-    return df.sparkSession.createDataFrame(table, schema=df.schema)
+    # One partition: what follows from a bounded table needs no exchange.
+    return df.sparkSession.createDataFrame(table, schema=df.schema).coalesce(1)
 
 
 def lookup_join(
@@ -108,9 +109,22 @@ def lookup_join(
 ) -> DataFrame:
     """Join facts to a lookup: broadcast when proven small, else a shuffle join.
 
-    The shuffle join leaves hot keys to the adaptive skew join (see ``RUNTIME_CONF``).
+    For the shuffle join the lookup is staged first, see ``staged_join``.
     """
     if _bounded_by_statistics(lookup):
         return facts.join(F.broadcast(lookup), on, how)
     local = settle(lookup, max_rows)
-    return facts.join(lookup if local is None else F.broadcast(local), on, how)
+    if local is not None:
+        return facts.join(F.broadcast(local), on, how)
+    return staged_join(facts, lookup, on, how)
+
+
+def staged_join(facts: DataFrame, side: DataFrame, on, how: str = "inner", label: str = "side") -> DataFrame:
+    """Join facts to a side that is computed first and written out.
+
+    The adaptive skew join splits a hot key only where both sides come straight from
+    an exchange; a side that is still an aggregate or a join on the same key does not,
+    and would leave all rows of a hot key to one task. A written side does, and its
+    known size lets the planner broadcast it where it is small.
+    """
+    return facts.join(materialize(side, label), on, how)
