@@ -171,7 +171,9 @@ def run_increment(
     """Write the batches of everything that changed to the outbox, and return them.
 
     The changed rows are written once before they are cut, so batches, times and
-    payloads all come from the same rows however the sources move on.
+    payloads all come from the same rows however the sources move on. Every run has a
+    folder of its own under ``outbox``, named by feed and ``as_of``; a run that is
+    repeated replaces it.
     """
     changed = {}
     for name, tables in sources.items():
@@ -181,8 +183,10 @@ def run_increment(
     packed = pack(cut(rows, feed, batch_size), feed, subscriptions, as_of)
     if log is not None:
         packed = new_batches(packed, log)
-    write_outbox(packed.drop("records"), outbox)
-    return rows.sparkSession.read.parquet(outbox)
+    label = f"{feed.name}-{feed.country.lower()}" if feed.country else feed.name
+    path = f"{outbox.rstrip('/')}/{label}/{as_of:%Y%m%dT%H%M%S}"
+    write_outbox(packed.drop("records"), path, mode="overwrite")
+    return rows.sparkSession.read.parquet(path)
 
 
 def record_outcomes(

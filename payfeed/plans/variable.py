@@ -95,7 +95,8 @@ def variable_philippines_feed(
     tables: dict[str, DataFrame],
     mark: dt.datetime | None = None,
     as_of: dt.datetime | None = None,
-    country_id: int | None = None,
+    *,
+    country_id: int,
     codes: list[str] | None = None,
     module: str = MODULE,
 ) -> DataFrame:
