@@ -196,14 +196,15 @@ def record_outcomes(
     marks: DataFrame,
     at: dt.datetime,
     policy: str = "safe",
+    bump: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """Log rows of delivered batches, and mark rows to append.
+    """Log rows of delivered batches, and mark rows to append (see ``next_mark``).
 
     Feeds with one mark for all sources advance every source to the same mark.
     """
     outcomes = apply_outcomes(sent, results, feed.name)
     if feed.per_source_mark:
-        new = next_mark(outcomes, marks, policy)
+        new = next_mark(outcomes, marks, policy, bump)
     else:
         latest = read_mark(marks)
         shared = marks.limit(0).unionByName(
@@ -213,7 +214,7 @@ def record_outcomes(
                 F.lit("").alias("source_db"),
             )
         )
-        new = next_mark(outcomes.withColumn("source_db", F.lit("")), shared, policy).withColumn(
+        new = next_mark(outcomes.withColumn("source_db", F.lit("")), shared, policy, bump).withColumn(
             "source_db", F.lit(None).cast("string")
         )
     return batch_log(outcomes, at, feed.name), commit_mark(marks, new)

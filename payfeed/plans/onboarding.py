@@ -24,7 +24,8 @@ ORDER = ("EmployeeID",)
 # Country of the Philippines feed, and its joining date until go-live.
 PHILIPPINES_ID = 103
 GO_LIVE = dt.date(2026, 1, 1)
-_NO_MARK = dt.datetime(1900, 1, 1)
+# A mark that the India feed takes for no mark.
+EMPTY_MARK = dt.datetime(1900, 1, 1)
 
 
 def proper(code: str) -> str:
@@ -37,7 +38,7 @@ def _changed_employees(tables, mark: dt.datetime | None) -> DataFrame | None:
 
     Limiting the employee roll to them also limits the salaries joined to it.
     """
-    if mark is None or mark == _NO_MARK:
+    if mark is None:
         return None
     changed = changed_since(tables["salary_master"], "updateDate", mark, days=None)
     return materialize(changed.select("EmpCode").distinct(), "changed")
@@ -54,6 +55,7 @@ def onboarding_india_feed(
         "EmpCode", "HeadCode", "MonthlyRate", "YearlyValue", "FromDate", "ToDate", "EffDate", "updateDate"
     )
     staff = with_status(stars.people_with_finance(tables), STATUS_ONBOARDING_INDIA)
+    mark = None if mark == EMPTY_MARK else mark
     roll = stars.employee_roll(tables, staff, module, _changed_employees(tables, mark))
     rows = stars.rule_star(salary, roll, stars.head_rules(tables).where(F.col("GrossNetApp") == 1))
     salutation, first, middle, last, dob, gender = stars.names(include_gender_code=False)

@@ -80,13 +80,15 @@ def _bounded_by_statistics(df: DataFrame) -> bool:
     The estimate is an upper bound for scans, filters, joins and aggregates, but not
     once lists are exploded.
     """
+    if not hasattr(df, "_jdf"):
+        return False
     plan = df._jdf.queryExecution().optimizedPlan()
     estimate = int(str(plan.stats().sizeInBytes()))
     return estimate <= BROADCAST_BYTES and "Generate " not in plan.toString()
 
 
 def settle(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
-    """``df`` evaluated once as a local table, or None if it exceeds ``max_rows``.
+    """``df`` (flat columns) evaluated once as a local table, or None beyond ``max_rows`` rows.
 
     Configuration lookups are joined from several tables and used in several places;
     fetching at most ``max_rows + 1`` rows both proves the bound and saves the repeats.
@@ -94,8 +96,9 @@ def settle(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
     rows = df.take(max_rows + 1)
     if len(rows) > max_rows:
         return None
-    columns = [pa.array([row[i] for row in rows], type=field.type) for i, field in enumerate(to_arrow_schema(df.schema))]
-    table = pa.Table.from_arrays(columns, schema=to_arrow_schema(df.schema))
+    schema = to_arrow_schema(df.schema)
+    columns = [pa.array([row[i] for row in rows], type=field.type) for i, field in enumerate(schema)]
+    table = pa.Table.from_arrays(columns, schema=schema)
     # One partition: what follows from a bounded table needs no exchange.
     return df.sparkSession.createDataFrame(table, schema=df.schema).coalesce(1)
 
