@@ -119,11 +119,7 @@ def assign_pay_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "salary_star",
-    """SELECT a.EmpCode, a.PayGroupID, p.PayHeadID, s.HeadCode, s.MonthlyRate, s.updateDate, f.EFD_StateId, g.TaxApp
-    FROM assigned a JOIN pay_group_payhead_details g ON a.PayGroupID = g.PayGroupID
-    JOIN payhead_master p ON g.PayHeadID = p.PayHeadID AND p.Applicable = 1
-    JOIN salary_master s ON a.EmpCode = s.EmpCode AND p.PayHeadCode = s.HeadCode AND s.ToDate IS NULL AND s.MonthlyRate <> 0
-    JOIN employee_details d ON s.EmpCode = d.ED_EMPCode JOIN employee_fin_details f ON d.ED_EMPID = f.EFD_ED_EMPID""",
+    """SELECT EmpCode, PayGroupID, PayHeadID, HeadCode, MonthlyRate, updateDate, StateID AS "EFD_StateId", TaxApp FROM ruled_pay""",
 )
 def salary_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = hr_tables(spark, sf_dir)
@@ -136,15 +132,11 @@ def salary_star(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "property_star",
-    """SELECT a.EmpCode, a.PayGroupID, b.PM_PayheadID AS "PayHeadID", s.HeadCode, s.MonthlyRate, s.updateDate, b.GPP_CountryID AS "CountryId",
-    max(CASE WHEN b.GPP_PropertyCode = 'SSSEMPLOYEE' THEN coalesce(CAST(b.PropertyChecked AS INT), 0) END) AS "SSSEMPLOYEE",
-    max(CASE WHEN b.GPP_PropertyCode = 'PHILHEALTHEMPLOYEE' THEN coalesce(CAST(b.PropertyChecked AS INT), 0) END) AS "PHILHEALTHEMPLOYEE",
-    max(CASE WHEN b.GPP_PropertyCode = 'OTAPPLICABLE' THEN coalesce(CAST(b.PropertyChecked AS INT), 0) END) AS "OTAPPLICABLE"
-    FROM assigned a JOIN payhead_properties b ON a.PayGroupID = b.APGD_PaygroupID AND b.GPP_CountryID = 103
-    JOIN payhead_master p ON b.PM_PayheadID = p.PayHeadID AND p.Applicable = 1
-    JOIN (SELECT DISTINCT * FROM salary_master) s ON a.EmpCode = s.EmpCode AND p.PayHeadCode = s.HeadCode AND s.ToDate IS NULL AND s.MonthlyRate <> 0
-    JOIN employee_details d ON s.EmpCode = d.ED_EMPCode
-    GROUP BY 1, 2, 3, 4, 5, 6, 7""",
+    """SELECT EmpCode, PayGroupID, PayHeadID, HeadCode, MonthlyRate, updateDate, CountryId,
+    max(CASE code WHEN 'SSSEMPLOYEE' THEN flag END) AS "SSSEMPLOYEE",
+    max(CASE code WHEN 'PHILHEALTHEMPLOYEE' THEN flag END) AS "PHILHEALTHEMPLOYEE",
+    max(CASE code WHEN 'OTAPPLICABLE' THEN flag END) AS "OTAPPLICABLE"
+    FROM property_pay GROUP BY 1, 2, 3, 4, 5, 6, 7""",
 )
 def property_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = hr_tables(spark, sf_dir)
@@ -194,16 +186,11 @@ def _salary_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "property_matrix",
-    """SELECT s.EmpCode, s.HeadCode, s.MonthlyRate, s.FromDate, b.PM_PayheadID,
-    max(CASE WHEN b.GPP_PropertyCode = 'SSSEMPLOYEE' THEN coalesce(CAST(b.PropertyChecked AS INT), 0) END) AS "SSSEMPLOYEE",
-    max(CASE WHEN b.GPP_PropertyCode = 'PHILHEALTHEMPLOYEE' THEN coalesce(CAST(b.PropertyChecked AS INT), 0) END) AS "PHILHEALTHEMPLOYEE",
-    max(CASE WHEN b.GPP_PropertyCode = 'OTAPPLICABLE' THEN coalesce(CAST(b.PropertyChecked AS INT), 0) END) AS "OTAPPLICABLE"
-    FROM (SELECT DISTINCT EmpCode, HeadCode, MonthlyRate, FromDate FROM salary_master WHERE ToDate IS NULL AND MonthlyRate <> 0) s
-    JOIN assigned a ON a.EmpCode = s.EmpCode
-    JOIN payhead_master p ON s.HeadCode = p.PayHeadCode AND p.Applicable = 1
-    JOIN payhead_properties b ON b.PM_PayheadID = p.PayHeadID AND b.GPP_CountryID = 103 AND b.APGD_PaygroupID = a.PayGroupID
-    JOIN employee_details d ON s.EmpCode = d.ED_EMPCode
-    GROUP BY 1, 2, 3, 4, 5""",
+    """SELECT EmpCode, HeadCode, MonthlyRate, FromDate, PayHeadID AS "PM_PayheadID",
+    max(CASE code WHEN 'SSSEMPLOYEE' THEN flag END) AS "SSSEMPLOYEE",
+    max(CASE code WHEN 'PHILHEALTHEMPLOYEE' THEN flag END) AS "PHILHEALTHEMPLOYEE",
+    max(CASE code WHEN 'OTAPPLICABLE' THEN flag END) AS "OTAPPLICABLE"
+    FROM property_pay GROUP BY 1, 2, 3, 4, 5""",
 )
 def property_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _salary_properties(spark, sf_dir).select(
@@ -214,11 +201,7 @@ def property_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "property_codes",
-    """SELECT string_agg(c, ',' ORDER BY c) AS property_codes FROM (SELECT DISTINCT b.GPP_PropertyCode AS c
-    FROM salary_master s JOIN payhead_master p ON s.HeadCode = p.PayHeadCode AND p.Applicable = 1
-    JOIN assigned a ON a.EmpCode = s.EmpCode JOIN employee_details d ON s.EmpCode = d.ED_EMPCode
-    JOIN payhead_properties b ON b.PM_PayheadID = p.PayHeadID AND b.GPP_CountryID = 103 AND b.APGD_PaygroupID = a.PayGroupID
-    WHERE s.ToDate IS NULL AND s.MonthlyRate <> 0) x""",
+    """SELECT string_agg(code, ',' ORDER BY code) AS property_codes FROM (SELECT DISTINCT code FROM property_pay) x""",
 )
 def property_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return properties.property_codes(_salary_properties(spark, sf_dir))
@@ -226,8 +209,8 @@ def property_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "resolve_property",
-    """SELECT EmployeeID, PayheadId, MonthlyRate, coalesce(SSSEMPLOYEE, 0) AS pf, coalesce(PHILHEALTHEMPLOYEE, 0) AS ssc, 0 AS vpf
-    FROM (SELECT DISTINCT EmployeeID, PayheadId, MonthlyRate, SSSEMPLOYEE, PHILHEALTHEMPLOYEE FROM applicability_rows) a""",
+    """SELECT EmployeeID, PayheadId, MonthlyRate, coalesce(Sssemployee, 0) AS pf, coalesce(Philhealthemployee, 0) AS ssc, 0 AS vpf
+    FROM (SELECT DISTINCT EmployeeID, PayheadId, MonthlyRate, Sssemployee, Philhealthemployee FROM applicability_rows) a""",
 )
 def resolve_property(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = hr_tables(spark, sf_dir)

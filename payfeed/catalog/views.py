@@ -7,6 +7,22 @@ from __future__ import annotations
 
 import re
 
+# Column lists that several views share.
+PERSON = "Salutation, FirstName, MiddleName, LastName, DOB"
+INDIA_FLAGS = """PfApp AS IsPFApplicable, EFD_PFApplicable AS IsPFApplicableForEmployee,
+        EsicApp AS IsESICApplicable, EFD_ESICApplicable AS IsESICApplicableForEmployee,
+        PtApp AS IsPTApplicable, EFD_PTApplicable AS IsPTApplicableForEmployee,
+        LwfApp AS IsLWFApplicable, EFD_LwfApplicable AS IsLWFApplicableForEmployee,
+        PfApp AS IsVPFApplicable, EFD_VPFApplicable AS IsVPFApplicableForEmployee,
+        OTApplicable AS IsOTApplicable, TaxApp AS IsTaxApplicable, SpotTaxApp, GratuityApp AS gratuity_applicable"""
+PROPERTY_KEYS = f"""ED_EMPID AS EmployeeID, EmpCode AS EmployeeCode, CountryId, {PERSON}, gender_code AS Gender,
+        HeadCode AS PayheadCode, PayHeadCategoryID, PayHeadID AS PayheadId, MonthlyRate, YearlyValue AS YearlyRate,
+        CAST(ToDate AS DATE) AS ToDate"""
+PROPERTY_FLAGS = ", ".join(
+    f"max(CASE WHEN code = '{name.upper()}' THEN flag END) AS {name}"
+    for name in ("Sssemployee", "Philhealthemployee", "Otapplicable")
+)
+
 # In dependency order: the HR tables, then steps that several oracles share.
 VIEWS: dict[str, str] = {
     "employee_details": """
@@ -162,157 +178,91 @@ VIEWS: dict[str, str] = {
         FROM roster_params p JOIN employee_details d ON p.EmpCode = d.ED_EMPCode JOIN ot_parameter_master m ON p.Code = m.Name
         WHERE p.OT_UpdatedDate > TIMESTAMP '2024-01-15 00:00:00'
     """,
-    "onboarding_india_all": """
-        SELECT 'Daily' AS InputType, d.ED_EMPID AS EmployeeID, coalesce(d.ED_EMPCode, '') AS EmployeeCode, d.ED_CountryID AS CountryId,
-        coalesce(d.ED_Salutation, '') AS Salutation, coalesce(d.ED_FirstName, '') AS FirstName,
-        coalesce(d.ED_MiddleName, '') AS MiddleName, coalesce(d.ED_LastName, '') AS LastName, f.EFD_StateId AS StateID,
-        d.ED_DOB AS DOB, d.ED_DOJ AS DOJ, d.ED_Sex AS Gender, p.PayHeadCode AS PayHead, p.PayHeadID, p.PayHeadCategoryID,
-        s.MonthlyRate AS MonthlyAmount, s.YearlyValue AS YearlyAmount, s.FromDate, s.ToDate, s.EffDate AS effDate,
-        d.ED_Status, d.ED_DOL, g.PfApp AS IsPFApplicable, f.EFD_PFApplicable AS IsPFApplicableForEmployee,
-        g.EsicApp AS IsESICApplicable, f.EFD_ESICApplicable AS IsESICApplicableForEmployee, g.PtApp AS IsPTApplicable,
-        f.EFD_PTApplicable AS IsPTApplicableForEmployee, g.LwfApp AS IsLWFApplicable, f.EFD_LwfApplicable AS IsLWFApplicableForEmployee,
-        g.PfApp AS IsVPFApplicable, f.EFD_VPFApplicable AS IsVPFApplicableForEmployee, g.OTApplicable AS IsOTApplicable,
-        g.TaxApp AS IsTaxApplicable, g.SpotTaxApp, g.GrossNetApp, g.GratuityApp AS gratuity_applicable
-        FROM assigned a JOIN pay_group_payhead_details g ON a.PayGroupID = g.PayGroupID
-        JOIN payhead_master p ON g.PayHeadID = p.PayHeadID AND p.Applicable = 1
-        JOIN salary_master s ON a.EmpCode = s.EmpCode AND s.ToDate IS NULL AND p.PayHeadCode = s.HeadCode
-        JOIN employee_details d ON s.EmpCode = d.ED_EMPCode
-        JOIN employee_fin_details f ON d.ED_EMPID = f.EFD_ED_EMPID
-        WHERE s.MonthlyRate <> 0 AND g.GrossNetApp = 1 AND d.ED_Status IN (1, 10, 5, 6)
+    "staff": """
+        SELECT ED_EMPID, ED_EMPCode, ED_CountryID, ED_DOB AS DOB, ED_DOJ, ED_Sex, ED_Status, ED_DOL,
+        coalesce(ED_Salutation, '') AS Salutation, coalesce(ED_FirstName, '') AS FirstName,
+        coalesce(ED_MiddleName, '') AS MiddleName, coalesce(ED_LastName, '') AS LastName,
+        CASE lower(ED_Sex) WHEN 'male' THEN 1 WHEN 'female' THEN 2 ELSE 3 END AS gender_code,
+        EFD_StateId AS StateID, EFD_PFApplicable, EFD_ESICApplicable, EFD_PTApplicable, EFD_LwfApplicable, EFD_VPFApplicable
+        FROM employee_details JOIN employee_fin_details ON EFD_ED_EMPID = ED_EMPID
+    """,
+    "current_pay": """
+        SELECT s.*, a.PayGroupID, h.PayHeadID, h.PayHeadCategoryID
+        FROM (SELECT * FROM salary_master WHERE ToDate IS NULL AND MonthlyRate <> 0) s
+        JOIN assigned a USING (EmpCode)
+        JOIN (SELECT * FROM payhead_master WHERE Applicable = 1) h ON h.PayHeadCode = s.HeadCode
+    """,
+    "ruled_pay": """
+        SELECT * FROM current_pay JOIN pay_group_payhead_details USING (PayGroupID, PayHeadID)
+        JOIN staff ON ED_EMPCode = EmpCode
+    """,
+    "changed_since_2001": "SELECT DISTINCT EmpCode FROM salary_master WHERE updateDate > TIMESTAMP '2001-01-01 00:00:00'",
+    "onboarding_india_all": f"""
+        SELECT 'Daily' AS InputType, ED_EMPID AS EmployeeID, EmpCode AS EmployeeCode, ED_CountryID AS CountryId, {PERSON},
+        StateID, ED_DOJ AS DOJ, ED_Sex AS Gender, HeadCode AS PayHead, PayHeadID, PayHeadCategoryID, MonthlyRate AS MonthlyAmount,
+        YearlyValue AS YearlyAmount, FromDate, ToDate, EffDate AS effDate, ED_Status, ED_DOL, {INDIA_FLAGS}, GrossNetApp
+        FROM ruled_pay WHERE GrossNetApp = 1 AND ED_Status IN (1, 5, 6, 10)
     """,
     "onboarding_india_rows": """
-        SELECT * FROM onboarding_india_all WHERE EmployeeCode IN
-        (SELECT EmpCode FROM salary_master WHERE updateDate > TIMESTAMP '2001-01-01 00:00:00')
-    """,
-    "onboarding_philippines_rows": """
-        SELECT EmployeeID, EmployeeCode, CountryId, Salutation, FirstName, MiddleName, LastName, DOB, DATE '2026-01-01' AS DOJ,
-        Gender, PayheadCode, PayHeadCategoryID, PayheadId, MonthlyRate, YearlyRate, DATE '2026-01-01' AS FromDate, ToDate, EffDate,
-        LeenPayApp, TaxApp, SpotTaxApp,
-        max(CASE WHEN GPP_PropertyCode = 'SSSEMPLOYEE' THEN flag END) AS Sssemployee,
-        max(CASE WHEN GPP_PropertyCode = 'PHILHEALTHEMPLOYEE' THEN flag END) AS Philhealthemployee,
-        max(CASE WHEN GPP_PropertyCode = 'OTAPPLICABLE' THEN flag END) AS Otapplicable,
-        updateDate_timestamp
-        FROM (SELECT d.ED_EMPID AS EmployeeID, d.ED_EMPCode AS EmployeeCode, b.GPP_CountryID AS CountryId,
-            coalesce(d.ED_Salutation, '') AS Salutation, coalesce(d.ED_FirstName, '') AS FirstName,
-            coalesce(d.ED_MiddleName, '') AS MiddleName, coalesce(d.ED_LastName, '') AS LastName, d.ED_DOB AS DOB,
-            CASE WHEN lower(d.ED_Sex) = 'male' THEN 1 WHEN lower(d.ED_Sex) = 'female' THEN 2 ELSE 3 END AS Gender,
-            p.PayHeadCode AS PayheadCode, p.PayHeadCategoryID, b.PM_PayheadID AS PayheadId, b.GPP_PropertyCode,
-            coalesce(CAST(b.PropertyChecked AS INT), 0) AS flag, s.MonthlyRate, s.YearlyValue AS YearlyRate,
-            CAST(s.ToDate AS DATE) AS ToDate, CAST(s.EffDate AS DATE) AS EffDate, t.LeenPayApp, t.TaxApp, t.SpotTaxApp,
-            s.updateDate AS updateDate_timestamp
-            FROM assigned a JOIN payhead_properties b ON a.PayGroupID = b.APGD_PaygroupID AND b.GPP_CountryID = 103
-            JOIN payhead_master p ON b.PM_PayheadID = p.PayHeadID AND p.Applicable = 1
-            JOIN pay_group_payhead_details t ON t.PayHeadID = p.PayHeadID
-            JOIN salary_master s ON a.EmpCode = s.EmpCode AND s.ToDate IS NULL AND p.PayHeadCode = s.HeadCode
-            JOIN employee_details d ON s.EmpCode = d.ED_EMPCode
-            WHERE s.MonthlyRate <> 0 AND d.ED_Status IN (1, 10) AND s.EmpCode IN
-            (SELECT EmpCode FROM salary_master WHERE updateDate > TIMESTAMP '2001-01-01 00:00:00')) x
-        GROUP BY ALL
-    """,
-    "salary_india_rows": """
-        SELECT d.ED_EMPID AS EmployeeID, s.updateDate AS updateDate_timestamp, coalesce(d.ED_EMPCode, '') AS EmployeeCode,
-        d.ED_CountryID AS CountryId, coalesce(d.ED_Salutation, '') AS Salutation, coalesce(d.ED_FirstName, '') AS FirstName,
-        coalesce(d.ED_MiddleName, '') AS MiddleName, coalesce(d.ED_LastName, '') AS LastName, f.EFD_StateId AS StateID,
-        d.ED_DOB AS DOB, CAST(s.FromDate AS DATE) AS FromDate,
-        CASE WHEN lower(d.ED_Sex) = 'male' THEN 1 WHEN lower(d.ED_Sex) = 'female' THEN 2 ELSE 3 END AS Gender,
-        p.PayHeadCode AS PayHead, p.PayHeadID, p.PayHeadCategoryID, s.MonthlyRate AS MonthlyAmount, s.YearlyValue AS YearlyAmount,
-        CAST(s.ToDate AS DATE) AS ToDate, CAST(coalesce(s.EffDate, s.FromDate) AS DATE) AS EffDate,
-        g.PfApp AS IsPFApplicable, f.EFD_PFApplicable AS IsPFApplicableForEmployee, g.EsicApp AS IsESICApplicable,
-        f.EFD_ESICApplicable AS IsESICApplicableForEmployee, g.PtApp AS IsPTApplicable, f.EFD_PTApplicable AS IsPTApplicableForEmployee,
-        g.LwfApp AS IsLWFApplicable, f.EFD_LwfApplicable AS IsLWFApplicableForEmployee, g.PfApp AS IsVPFApplicable,
-        f.EFD_VPFApplicable AS IsVPFApplicableForEmployee, g.OTApplicable AS IsOTApplicable, g.TaxApp AS IsTaxApplicable,
-        g.SpotTaxApp, g.GrossNetApp, g.GratuityApp AS gratuity_applicable, g.LeenPayApp
-        FROM assigned a JOIN pay_group_payhead_details g ON a.PayGroupID = g.PayGroupID
-        JOIN payhead_master p ON g.PayHeadID = p.PayHeadID AND p.Applicable = 1
-        JOIN salary_master s ON a.EmpCode = s.EmpCode AND s.ToDate IS NULL AND p.PayHeadCode = s.HeadCode
-        JOIN employee_details d ON s.EmpCode = d.ED_EMPCode
-        JOIN employee_fin_details f ON d.ED_EMPID = f.EFD_ED_EMPID
-        WHERE s.MonthlyRate <> 0 AND d.ED_Status IN (1, 10) AND s.updateDate >= TIMESTAMP '2001-01-01 00:00:00'
-    """,
-    "salary_philippines_rows": """
-        SELECT EmployeeID, EmployeeCode, CountryId, Salutation, FirstName, MiddleName, LastName, DOB, DOJ, Gender, PayheadCode,
-        PayHeadCategoryID, PayheadId, MonthlyRate, YearlyRate, FromDate, ToDate, EffDate,
-        max(CASE WHEN GPP_PropertyCode = 'SSSEMPLOYEE' THEN flag END) AS Sssemployee,
-        max(CASE WHEN GPP_PropertyCode = 'PHILHEALTHEMPLOYEE' THEN flag END) AS Philhealthemployee,
-        max(CASE WHEN GPP_PropertyCode = 'OTAPPLICABLE' THEN flag END) AS Otapplicable
-        FROM (SELECT d.ED_EMPID AS EmployeeID, d.ED_EMPCode AS EmployeeCode, b.GPP_CountryID AS CountryId,
-            coalesce(d.ED_Salutation, '') AS Salutation, coalesce(d.ED_FirstName, '') AS FirstName,
-            coalesce(d.ED_MiddleName, '') AS MiddleName, coalesce(d.ED_LastName, '') AS LastName, d.ED_DOB AS DOB,
-            CASE WHEN d.ED_DOJ >= DATE '2000-01-01' THEN d.ED_DOJ ELSE DATE '2000-01-01' END AS DOJ, DATE '2001-11-05' AS FromDate,
-            CASE WHEN lower(d.ED_Sex) = 'male' THEN 1 WHEN lower(d.ED_Sex) = 'female' THEN 2 ELSE 3 END AS Gender,
-            p.PayHeadCode AS PayheadCode, p.PayHeadCategoryID, b.PM_PayheadID AS PayheadId, b.GPP_PropertyCode,
-            coalesce(CAST(b.PropertyChecked AS INT), 0) AS flag, s.MonthlyRate, s.YearlyValue AS YearlyRate,
-            CAST(s.ToDate AS DATE) AS ToDate, CAST(s.FromDate AS DATE) AS EffDate
-            FROM assigned a JOIN payhead_properties b ON a.PayGroupID = b.APGD_PaygroupID AND b.GPP_CountryID = 103
-            JOIN payhead_master p ON b.PM_PayheadID = p.PayHeadID AND p.Applicable = 1
-            JOIN salary_master s ON a.EmpCode = s.EmpCode AND s.ToDate IS NULL AND p.PayHeadCode = s.HeadCode
-            JOIN employee_details d ON s.EmpCode = d.ED_EMPCode
-            WHERE s.MonthlyRate <> 0 AND d.ED_Status IN (1) AND s.updateDate >= TIMESTAMP '2001-01-01 00:00:00') x
-        GROUP BY ALL
-    """,
-    "salary_thailand_rows": """
-        SELECT EmployeeID, EmployeeCode, CountryId, Salutation, FirstName, MiddleName, LastName, DOB, DOJ, Gender, PayheadCode,
-        PayHeadCategoryID, PayheadId, MonthlyRate, YearlyRate, FromDate, ToDate, EffDate, LeenPayApp, TaxApp, SpotTaxApp,
-        max(CASE WHEN GPP_PropertyCode = 'SSSEMPLOYEE' THEN flag END) AS Sssemployee,
-        max(CASE WHEN GPP_PropertyCode = 'PHILHEALTHEMPLOYEE' THEN flag END) AS Philhealthemployee,
-        max(CASE WHEN GPP_PropertyCode = 'OTAPPLICABLE' THEN flag END) AS Otapplicable
-        FROM (SELECT d.ED_EMPID AS EmployeeID, d.ED_EMPCode AS EmployeeCode, b.GPP_CountryID AS CountryId,
-            coalesce(d.ED_Salutation, '') AS Salutation, coalesce(d.ED_FirstName, '') AS FirstName,
-            coalesce(d.ED_MiddleName, '') AS MiddleName, coalesce(d.ED_LastName, '') AS LastName, d.ED_DOB AS DOB,
-            CASE WHEN d.ED_DOJ >= DATE '2000-01-01' THEN d.ED_DOJ ELSE DATE '2000-01-01' END AS DOJ,
-            CASE WHEN d.ED_DOJ >= DATE '2000-01-01' THEN d.ED_DOJ ELSE DATE '2000-01-01' END AS FromDate,
-            CASE WHEN lower(d.ED_Sex) = 'male' THEN 1 WHEN lower(d.ED_Sex) = 'female' THEN 2 ELSE 3 END AS Gender,
-            p.PayHeadCode AS PayheadCode, p.PayHeadCategoryID, b.PM_PayheadID AS PayheadId, b.GPP_PropertyCode,
-            coalesce(CAST(b.PropertyChecked AS INT), 0) AS flag, s.MonthlyRate, s.YearlyValue AS YearlyRate,
-            CAST(s.ToDate AS DATE) AS ToDate,
-            CASE WHEN s.EffDate IS NOT NULL THEN CAST(s.FromDate AS DATE) ELSE CAST(s.EffDate AS DATE) END AS EffDate,
-            t.LeenPayApp, t.TaxApp, t.SpotTaxApp
-            FROM assigned a JOIN payhead_properties b ON a.PayGroupID = b.APGD_PaygroupID AND b.GPP_CountryID = 103
-            JOIN payhead_master p ON b.PM_PayheadID = p.PayHeadID AND p.Applicable = 1
-            JOIN pay_group_payhead_details t ON t.PayHeadID = p.PayHeadID
-            JOIN salary_master s ON a.EmpCode = s.EmpCode AND s.ToDate IS NULL AND p.PayHeadCode = s.HeadCode
-            JOIN employee_details d ON s.EmpCode = d.ED_EMPCode
-            WHERE s.MonthlyRate <> 0 AND d.ED_Status IN (1, 10) AND s.updateDate >= TIMESTAMP '2001-01-01 00:00:00') x
-        GROUP BY ALL
+        SELECT * FROM onboarding_india_all SEMI JOIN changed_since_2001 ON EmpCode = EmployeeCode
+    """,
+    "salary_india_rows": f"""
+        SELECT ED_EMPID AS EmployeeID, EmpCode AS EmployeeCode, ED_CountryID AS CountryId, {PERSON}, StateID, gender_code AS Gender,
+        HeadCode AS PayHead, PayHeadID, PayHeadCategoryID, MonthlyRate AS MonthlyAmount, YearlyValue AS YearlyAmount,
+        CAST(FromDate AS DATE) AS FromDate, CAST(ToDate AS DATE) AS ToDate, CAST(coalesce(EffDate, FromDate) AS DATE) AS EffDate,
+        {INDIA_FLAGS}, GrossNetApp, LeenPayApp, updateDate AS updateDate_timestamp
+        FROM ruled_pay WHERE ED_Status IN (1, 10) AND updateDate >= TIMESTAMP '2001-01-01 00:00:00'
+    """,
+    # One row per property of the head in the employee's pay group, in the country 103.
+    "property_pay": """
+        SELECT c.*, s.*, b.GPP_CountryID AS CountryId, b.GPP_PropertyCode AS code, coalesce(CAST(b.PropertyChecked AS INT), 0) AS flag
+        FROM current_pay c JOIN staff s ON s.ED_EMPCode = c.EmpCode
+        JOIN payhead_properties b ON b.APGD_PaygroupID = c.PayGroupID AND b.PM_PayheadID = c.PayHeadID AND b.GPP_CountryID = 103
+    """,
+    # The same with the rules that the head has in any pay group.
+    "property_rule_pay": """
+        SELECT p.*, r.LeenPayApp, r.TaxApp, r.SpotTaxApp FROM property_pay p JOIN pay_group_payhead_details r ON r.PayHeadID = p.PayHeadID
+    """,
+    "onboarding_philippines_rows": f"""
+        SELECT {PROPERTY_KEYS}, CAST(EffDate AS DATE) AS EffDate, DATE '2026-01-01' AS DOJ, DATE '2026-01-01' AS FromDate,
+        LeenPayApp, TaxApp, SpotTaxApp, updateDate AS updateDate_timestamp, {PROPERTY_FLAGS}
+        FROM property_rule_pay SEMI JOIN changed_since_2001 USING (EmpCode) WHERE ED_Status IN (1, 10) GROUP BY ALL
+    """,
+    "salary_philippines_rows": f"""
+        SELECT {PROPERTY_KEYS}, CAST(FromDate AS DATE) AS EffDate, greatest(ED_DOJ, DATE '2000-01-01') AS DOJ,
+        DATE '2001-11-05' AS FromDate, {PROPERTY_FLAGS}
+        FROM property_pay WHERE ED_Status = 1 AND updateDate >= TIMESTAMP '2001-01-01 00:00:00' GROUP BY ALL
+    """,
+    "salary_thailand_rows": f"""
+        SELECT {PROPERTY_KEYS}, CASE WHEN EffDate IS NOT NULL THEN CAST(FromDate AS DATE) END AS EffDate,
+        greatest(ED_DOJ, DATE '2000-01-01') AS DOJ, greatest(ED_DOJ, DATE '2000-01-01') AS FromDate,
+        LeenPayApp, TaxApp, SpotTaxApp, {PROPERTY_FLAGS}
+        FROM property_rule_pay WHERE ED_Status IN (1, 10) AND updateDate >= TIMESTAMP '2001-01-01 00:00:00' GROUP BY ALL
+    """,
+    "applicability_rows": f"""
+        SELECT ED_EMPID AS EmployeeID, PayHeadID AS PayheadId, MonthlyRate, YearlyValue, CAST(EffDate AS DATE) AS EffDate,
+        LeenPayApp, TaxApp, SpotTaxApp, {PROPERTY_FLAGS} FROM property_rule_pay GROUP BY ALL
     """,
     "variable_india_rows": """
-        SELECT d.ED_EMPID AS EmployeeID, coalesce(d.ED_EMPCode, '') AS EmployeeCode, d.ED_CountryID AS CountryId, p.PayHeadCode,
-        p.PayHeadID, v.UpdatedDate AS ApprovedDate, CASE WHEN p.PayHeadCategoryID = 2 THEN v.Amount * -1 ELSE v.Amount END AS Amount,
-        p.PayHeadCategoryID AS Type, coalesce(f.EFD_PFApplicable, 0) AS PFApplicable, coalesce(f.EFD_PTApplicable, 0) AS PTApplicable,
-        coalesce(f.EFD_LwfApplicable, 0) AS LWFApplicable, coalesce(f.EFD_ESICApplicable, 0) AS ESICApplicable,
-        coalesce(f.EFD_VPFApplicable, 0) AS VPFApplicable, coalesce(g.TaxApp, 0) AS TaxApplicable,
-        coalesce(g.SpotTaxApp, 0) AS SpotTaxApplicable, coalesce(g.OTApplicable, 0) AS OTApplicable
-        FROM assigned a JOIN emp_variable v ON a.EmpCode = v.EmpCode
-        JOIN payhead_master p ON v.HeadCode = p.PayHeadCode AND p.Applicable = 1
-        JOIN pay_group_payhead_details g ON a.PayGroupID = g.PayGroupID AND p.PayHeadID = g.PayHeadID
-        JOIN employee_details d ON v.EmpCode = d.ED_EMPCode
-        JOIN employee_fin_details f ON d.ED_EMPID = f.EFD_ED_EMPID
-        WHERE v.UpdatedDate IS NOT NULL AND v.Amount <> 0 AND v.UpdatedDate >= TIMESTAMP '1998-01-01 00:00:00'
-    """,
-    "applicability_rows": """
-        SELECT EmployeeID, PayheadId, MonthlyRate, YearlyRate, EffDate, LeenPayApp, TaxApp, SpotTaxApp,
-        max(CASE WHEN GPP_PropertyCode = 'SSSEMPLOYEE' THEN flag END) AS SSSEMPLOYEE,
-        max(CASE WHEN GPP_PropertyCode = 'PHILHEALTHEMPLOYEE' THEN flag END) AS PHILHEALTHEMPLOYEE
-        FROM (SELECT d.ED_EMPID AS EmployeeID, b.PM_PayheadID AS PayheadId, s.MonthlyRate, s.YearlyValue AS YearlyRate,
-            CAST(s.EffDate AS DATE) AS EffDate, t.LeenPayApp, t.TaxApp, t.SpotTaxApp, b.GPP_PropertyCode,
-            coalesce(CAST(b.PropertyChecked AS INT), 0) AS flag
-            FROM assigned a JOIN payhead_properties b ON a.PayGroupID = b.APGD_PaygroupID AND b.GPP_CountryID = 103
-            JOIN payhead_master p ON b.PM_PayheadID = p.PayHeadID AND p.Applicable = 1
-            JOIN pay_group_payhead_details t ON t.PayHeadID = p.PayHeadID
-            JOIN salary_master s ON a.EmpCode = s.EmpCode AND s.ToDate IS NULL AND p.PayHeadCode = s.HeadCode
-            JOIN employee_details d ON s.EmpCode = d.ED_EMPCode
-            WHERE s.MonthlyRate <> 0) x
-        GROUP BY ALL
+        SELECT ED_EMPID AS EmployeeID, v.EmpCode AS EmployeeCode, ED_CountryID AS CountryId, PayHeadCode, r.PayHeadID,
+        UpdatedDate AS ApprovedDate, CASE PayHeadCategoryID WHEN 2 THEN 0 - Amount ELSE Amount END AS Amount,
+        PayHeadCategoryID AS Type, ifnull(EFD_PFApplicable, 0) AS PFApplicable, ifnull(EFD_PTApplicable, 0) AS PTApplicable,
+        ifnull(EFD_LwfApplicable, 0) AS LWFApplicable, ifnull(EFD_ESICApplicable, 0) AS ESICApplicable,
+        ifnull(EFD_VPFApplicable, 0) AS VPFApplicable, ifnull(TaxApp, 0) AS TaxApplicable,
+        ifnull(SpotTaxApp, 0) AS SpotTaxApplicable, ifnull(OTApplicable, 0) AS OTApplicable
+        FROM (SELECT * FROM emp_variable WHERE Amount <> 0 AND UpdatedDate >= TIMESTAMP '1998-01-01 00:00:00') v
+        JOIN staff ON ED_EMPCode = v.EmpCode
+        JOIN assigned a ON a.EmpCode = v.EmpCode
+        JOIN payhead_master h ON h.PayHeadCode = v.HeadCode AND h.Applicable = 1
+        JOIN pay_group_payhead_details r ON r.PayGroupID = a.PayGroupID AND r.PayHeadID = h.PayHeadID
     """,
     "variable_philippines_rows": """
-        SELECT DISTINCT d.ED_EMPID AS EmployeeID, v.EmpCode AS EmployeeCode, p.PayHeadID, v.HeadCode AS PayheadCode,
-        p.PayHeadCategoryID, v.CreatedDate AS ApprovedDate,
-        CASE WHEN p.PayHeadCategoryID = 2 THEN 0 - v.Amount ELSE v.Amount END AS Amount, 1 AS Type,
-        coalesce(a.SSSEMPLOYEE, 0) AS PFApplicable, coalesce(a.PHILHEALTHEMPLOYEE, 0) AS SSCApplicable, 0 AS VPFApplicable,
-        a.LeenPayApp, a.TaxApp AS TaxApplicable, a.SpotTaxApp AS SpotTaxApplicable
-        FROM emp_variable v JOIN payhead_master p ON p.PayHeadCode = v.HeadCode
-        JOIN employee_details d ON v.EmpCode = d.ED_EMPCode
-        JOIN applicability_rows a ON d.ED_EMPID = a.EmployeeID
+        SELECT DISTINCT ED_EMPID AS EmployeeID, EmpCode AS EmployeeCode, payhead_master.PayHeadID, HeadCode AS PayheadCode, PayHeadCategoryID,
+        CreatedDate AS ApprovedDate, CASE PayHeadCategoryID WHEN 2 THEN 0 - Amount ELSE Amount END AS Amount, 1 AS Type,
+        ifnull(Sssemployee, 0) AS PFApplicable, ifnull(Philhealthemployee, 0) AS SSCApplicable, 0 AS VPFApplicable,
+        LeenPayApp, TaxApp AS TaxApplicable, SpotTaxApp AS SpotTaxApplicable
+        FROM emp_variable JOIN payhead_master ON PayHeadCode = HeadCode JOIN staff ON ED_EMPCode = EmpCode
+        JOIN applicability_rows ON EmployeeID = ED_EMPID
     """,
 }
 

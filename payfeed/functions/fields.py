@@ -48,8 +48,15 @@ def unit_code(conversion: Column) -> Column:
 
 
 def minutes_value(text: Column) -> Column:
-    """Minutes held as text; blank counts as 0, anything else not a number gives null."""
-    return F.when(F.trim(text) == "", F.lit(0.0)).otherwise(to_float(text, None, text=True))
+    """Minutes held as text; blank counts as 0, anything else not a number gives null.
+
+    A number ends in a digit or a point; the cast alone would also take '1d' or 'NaN'.
+    """
+    word = F.trim(text)
+    last = F.substring(word, -1, 1)
+    return F.when(word == "", F.lit(0.0)).when(
+        last.between("0", "9") | (last == "."), word.try_cast("double")
+    )
 
 
 # ---- employees and salaries --------------------------------------------------

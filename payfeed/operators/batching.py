@@ -106,9 +106,17 @@ def batch_rows(df: DataFrame, n: int, order: list[str], within: tuple[str, ...]
     return numbered.withColumn("batch_no", F.floor(F.col("row_index") / n))
 
 
-def batch_keys(df: DataFrame, key: str, n: int, within: tuple[str, ...] = ()) -> DataFrame:
-    """Batches of ``n`` consecutive keys; all rows of a key are in one batch."""
+def batch_keys(
+    df: DataFrame, key: str, n: int, within: tuple[str, ...] = (), staged: bool = False
+) -> DataFrame:
+    """Batches of ``n`` consecutive keys; all rows of a key are in one batch.
+
+    The rows are read twice, for their keys and to be numbered, so they are written out
+    first unless they are ``staged`` already.
+    """
     by = [*within, key]
+    if not staged:
+        df = materialize(df, "rows")
     keys = _from_start(number_rows(df.select(*by).distinct(), by), list(within))
     numbers = keys.select(*by, F.floor(F.col("row_index") / n).alias("batch_no"))
     return _join_back(df, numbers, by)

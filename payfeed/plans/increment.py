@@ -93,12 +93,12 @@ FEEDS = {
 }
 
 
-def cut(rows: DataFrame, feed: Feed, batch_size: int | None = None) -> DataFrame:
+def cut(rows: DataFrame, feed: Feed, batch_size: int | None = None, staged: bool = False) -> DataFrame:
     """Batch numbers for the rows of a feed, per source."""
     size = batch_size or feed.batch_size
     if feed.batch_key is None:
         return batch_rows(rows, size, list(feed.order), within=("source_db",))
-    return batch_keys(rows, feed.batch_key, size, within=("source_db",))
+    return batch_keys(rows, feed.batch_key, size, within=("source_db",), staged=staged)
 
 
 def pack(
@@ -180,7 +180,7 @@ def run_increment(
         mark = read_mark(marks, name if feed.per_source_mark else None)
         changed[name] = feed.build(tables, mark=mark, as_of=as_of, **{**feed.options, **options})
     rows = materialize(fan_in(changed), feed.name)
-    packed = pack(cut(rows, feed, batch_size), feed, subscriptions, as_of)
+    packed = pack(cut(rows, feed, batch_size, staged=True), feed, subscriptions, as_of)
     if log is not None:
         packed = new_batches(packed, log)
     label = f"{feed.name}-{feed.country.lower()}" if feed.country else feed.name

@@ -21,12 +21,15 @@ MAX_SCALAR = 4000
 
 def _scalar(value: Column) -> Column:
     """Text of a JSON scalar; nested objects and lists have none."""
-    return F.when(~value.rlike(r"^[\[{]") & (F.length(value) <= MAX_SCALAR), value)
+    nested = F.substring(value, 1, 1).isin("[", "{")
+    return F.when(~nested & (F.length(value) <= MAX_SCALAR), value)
 
 
 def _parameters(text: Column) -> Column:
     """The parameter list, or null where the text is not one JSON list of objects."""
-    return F.when(text.rlike(r"(?s)^\s*\[.*\]\s*$"), F.from_json(text, PARAMETERS))
+    body = F.btrim(text, F.lit(" \t\r\n"))
+    is_list = F.startswith(body, F.lit("[")) & F.endswith(body, F.lit("]"))
+    return F.when(is_list, F.from_json(text, PARAMETERS))
 
 
 def explode_params(roster: DataFrame, keep: tuple[str, ...]) -> DataFrame:
