@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payfeed.functions.fields import iso_text
-from payfeed.session import lookup_join, materialize
+from payfeed.session import lookup_join, materialize, sized_partitions
 
 # Rows per attendance batch, employees per overtime and other batches.
 ATTENDANCE_ROWS = 250
@@ -36,9 +36,8 @@ def _place(df: DataFrame, keys: list[str]) -> DataFrame:
 
     Written out, because a second run of a range exchange may draw other boundaries.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     quoted = [F.col(f"`{k}`") for k in keys]
-    ordered = df.repartitionByRange(partitions, *quoted).sortWithinPartitions(*quoted)
+    ordered = df.repartitionByRange(sized_partitions(df), *quoted).sortWithinPartitions(*quoted)
     return materialize(ordered.withColumn(_PLACE, F.monotonically_increasing_id()), "order")
 
 

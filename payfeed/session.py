@@ -15,6 +15,10 @@ BROADCAST_ROWS = 50_000
 # ... or when the optimizer's own upper bound on its bytes is below this.
 BROADCAST_BYTES = 8 * 1024 * 1024
 
+# Rows of one partition when rows are put in order, and the most partitions for that.
+PARTITION_BYTES = 128 * 1024 * 1024
+MAX_PARTITIONS = 20_000
+
 # Runtime settings the feeds rely on; all may be changed on a live session.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -74,6 +78,21 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sized_partitions(df: DataFrame) -> int:
+    """Partitions for ordering ``df``: the session's number, or more for large staged rows.
+
+    A join's size estimate is far above its size, so only other plans are sized by it.
+    """
+    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not hasattr(df, "_jdf"):
+        return base
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if "Join " in plan.toString():
+        return base
+    wanted = -(-int(str(plan.stats().sizeInBytes())) // PARTITION_BYTES)
+    return min(max(base, wanted), max(base, MAX_PARTITIONS))
+
+
 def _bounded_by_statistics(df: DataFrame) -> bool:
     """Whether the optimizer's byte estimate proves ``df`` small.
 

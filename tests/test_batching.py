@@ -116,6 +116,21 @@ def test_lookups_beyond_the_bound_are_not_broadcast(spark):
     assert "BroadcastHashJoin" in plan
 
 
+def test_large_staged_rows_get_more_partitions(spark, monkeypatch):
+    from payfeed import session
+
+    staged = session.materialize(spark.range(20000), "size")
+    assert session.sized_partitions(staged) == 4
+    monkeypatch.setattr(session, "PARTITION_BYTES", 8 * 1024)
+    wanted = session.sized_partitions(staged)
+    assert wanted > 4
+    assert session.sized_partitions(staged.join(staged.withColumnRenamed("id", "x"), F.expr("id = x"))) == 4
+    got = batching.number_rows(staged, ["id"]).collect()
+    assert all(r.id == r.row_index for r in got) and len(got) == 20000
+    monkeypatch.setattr(session, "MAX_PARTITIONS", wanted - 1)
+    assert session.sized_partitions(staged) == max(4, wanted - 1)
+
+
 def test_shared_dir_follows_the_session(spark, monkeypatch):
     from payfeed import session
 
