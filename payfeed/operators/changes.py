@@ -68,18 +68,17 @@ def only_changed(df: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFra
     return staged_join(df, keys.select(*columns).distinct(), columns, "left_semi", "keys")
 
 
-def changed_days(df: DataFrame, changed: DataFrame, on: list[str], parity: bool = False) -> DataFrame:
+def changed_days(df: DataFrame, changed: DataFrame, on: list[str], carry: tuple[str, ...] = ()) -> DataFrame:
     """All rows of every key and day that has a changed row.
 
-    With ``parity`` a row comes back once per distinct update time of its day.
+    ``changed`` has the key columns, the update time, and ``carry``, columns added to the
+    result. ``changed_times`` in the result is the number of distinct update times.
     """
-    if not parity:
-        return only_changed(df, changed, on)
-    update_cols = [c for c in changed.columns if c not in on]
-    times = changed.select(*on, *update_cols).distinct().groupBy(*on).agg(
-        F.count(F.lit(1)).cast("int").alias("_copies")
-    )
-    repeated = staged_join(df, times, on, label="days").withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))
-    )
-    return repeated.drop("_copy", "_copies")
+    days = changed.distinct().groupBy(*on, *carry).agg(F.count(F.lit(1)).cast("int").alias("changed_times"))
+    return staged_join(df, days, on, label="days")
+
+
+def repeat_rows(df: DataFrame, times: str) -> DataFrame:
+    """Every row as often as its column ``times`` says; the column is dropped."""
+    copies = F.explode(F.sequence(F.lit(1), F.col(times))).alias("_copy")
+    return df.select("*", copies).drop("_copy", times)

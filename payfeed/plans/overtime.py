@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payfeed.functions.fields import minutes_value, overtime_hours, unit_code
-from payfeed.operators.changes import changed_days, changed_since
+from payfeed.operators.changes import changed_days, changed_since, repeat_rows
 from payfeed.plans.attendance import join_employees
 from payfeed.session import lookup_join
 
@@ -105,15 +105,21 @@ def overtime_days_feed(
     as_of: dt.datetime,
     parity: bool = True,
 ) -> DataFrame:
-    """The older feed: every row of an employee's day once anything on that day changed."""
-    roster = tables["rostering"].where(F.col("OT_Param_json").isNotNull())
-    columns = ("EmpCode", "Date", "OT_Param_json", "OT_UpdatedDate")
-    rows = join_employees(roster.select(*columns), tables["employee_details"])
-    changed = (
-        changed_since(rows, "OT_UpdatedDate", mark, backfill_col="Date", as_of=as_of)
-        .select("ED_EMPID", "Date", "OT_UpdatedDate")
-        .distinct()
+    """The older feed: every row of an employee's day once anything on that day changed.
+
+    With ``parity`` a row comes back once per distinct update time of its day.
+    """
+    roster = tables["rostering"].where(F.col("OT_Param_json").isNotNull()).select(
+        "EmpCode", "Date", "OT_Param_json", "OT_UpdatedDate"
     )
-    days = changed_days(rows, changed, ["ED_EMPID", "Date"], parity)
-    params = explode_params(days, ("ED_EMPID", "Date", "OT_UpdatedDate"))
-    return _shape(overtime_rates(params, tables["ot_parameter_master"]))
+    employees = tables["employee_details"]
+    new = changed_since(roster, "OT_UpdatedDate", mark, backfill_col="Date", as_of=as_of)
+    changed = join_employees(new, employees).select("ED_EMPID", "Date", "OT_UpdatedDate").distinct()
+    # Back to the codes of each employee, so that the roster itself is shuffled once.
+    codes = employees.select("ED_EMPID", F.col("ED_EMPCode").alias("EmpCode"))
+    days = changed.join(codes, "ED_EMPID")
+    rows = changed_days(roster, days, ["EmpCode", "Date"], carry=("ED_EMPID",))
+    params = explode_params(rows, ("ED_EMPID", "Date", "OT_UpdatedDate", "changed_times"))
+    rated = overtime_rates(params, tables["ot_parameter_master"])
+    # Copies are made last: they are copies of what is read from the JSON text, too.
+    return _shape(repeat_rows(rated, "changed_times") if parity else rated)

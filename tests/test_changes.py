@@ -61,12 +61,15 @@ def test_only_changed_keeps_all_rows_of_changed_keys(rows):
     assert [r.k for r in changes.only_changed(rows, keys, "k").collect()] == ["b", "b"]
 
 
-def test_changed_days_copies_once_per_time_in_parity_mode(spark):
+def test_changed_days_and_copies_per_update_time(spark):
     day = dt.date(2024, 1, 1)
     rows = spark.createDataFrame([(1, day, "x"), (1, day, "y"), (2, day, "z")], "k int, day date, v string")
     changed = spark.createDataFrame([(1, day, T0), (1, day, T0 + dt.timedelta(1))], "k int, day date, t timestamp_ntz")
-    assert sorted(r.v for r in changes.changed_days(rows, changed, ["k", "day"]).collect()) == ["x", "y"]
-    assert sorted(r.v for r in changes.changed_days(rows, changed, ["k", "day"], parity=True).collect()) == list("xxyy")
+    days = changes.changed_days(rows, changed, ["k", "day"])
+    assert sorted((r.v, r.changed_times) for r in days.collect()) == [("x", 2), ("y", 2)]
+    repeated = changes.repeat_rows(days, "changed_times")
+    assert repeated.columns == rows.columns
+    assert sorted(r.v for r in repeated.collect()) == list("xxyy")
 
 
 def test_country_of(spark):
