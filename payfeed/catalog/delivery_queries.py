@@ -15,12 +15,13 @@ from payfeed.functions.fields import ntz
 from payfeed.operators.batching import batch_keys, batch_rows, envelopes, iso_records
 from payfeed.operators.predicates import current_salary
 from payfeed.plans import attendance
-from payfeed.plans.increment import FEEDS, cut, pack, run_increment
+from payfeed.plans.increment import FEEDS, pack, run_increment
 from payfeed.session import run_path
 from payfeed.sources.delivery import apply_outcomes, batch_log
 from payfeed.sources.marks import commit_mark, latest_mark, next_mark
 from payfeed.sources.outbox import decode_envelopes, envelope_message, new_batches, write_outbox
 from payfeed.sources.tables import fan_in, route
+from payfeed.streaming.stream import arriving
 from payfeed.streaming.stream import stream_increment as run_stream
 
 
@@ -368,16 +369,9 @@ def stream_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = hr_tables(spark, sf_dir)
     path = run_path(spark, "stream")
 
-    def shape(arrived: DataFrame, epoch: int) -> DataFrame:
-        tables = {"rostering": rostering(arrived), "employee_details": t["employee_details"]}
-        feed = FEEDS["attendance"]
-        rows = feed.build(tables, mark=dt.datetime(1900, 1, 1), as_of=ROSTER_AS_OF)
-        batched = cut(rows.withColumn("source_db", F.lit("db-1")), feed)
-        return pack(batched, feed, {"db-1": "sub-1"}, ROSTER_AS_OF).drop("records")
-
     run_stream(
         spark,
-        shape,
+        arriving(FEEDS["attendance"], t, "rostering", "db-1", "sub-1", adapt=rostering, now=lambda: ROSTER_AS_OF),
         sf_dir,
         read(spark, sf_dir, "events").schema,
         f"{path}/outbox",

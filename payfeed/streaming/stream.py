@@ -2,15 +2,50 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import datetime as dt
+from collections import ChainMap
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from payfeed.plans.increment import Feed, cut, pack
+from payfeed.session import materialize
+
+Shape = Callable[[DataFrame, int], DataFrame]
+
+
+def arriving(
+    feed: Feed,
+    tables: Mapping[str, DataFrame],
+    table: str,
+    source: str,
+    subscription: str,
+    *,
+    adapt: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    now: Callable[[], dt.datetime] = dt.datetime.now,
+    **options,
+) -> Shape:
+    """Envelopes of arrived rows of ``table``, the other tables as they are.
+
+    For feeds whose rows come from one table of changes (attendance, overtime, salary,
+    variable pay of India). Whatever arrives has changed, so no mark is needed.
+    """
+
+    def shape(rows: DataFrame, epoch: int) -> DataFrame:
+        as_of = now()
+        bound = ChainMap({table: adapt(rows)}, tables)
+        built = feed.build(bound, mark=dt.datetime.min, as_of=as_of, **{**feed.options, **options})
+        staged = materialize(built.withColumn("source_db", F.lit(source)), feed.name)
+        return pack(cut(staged, feed, staged=True), feed, {source: subscription}, as_of).drop("records")
+
+    return shape
+
 
 def stream_increment(
     spark: SparkSession,
-    shape: Callable[[DataFrame, int], DataFrame],
+    shape: Shape,
     in_path: str,
     schema: StructType,
     outbox: str,
@@ -22,7 +57,8 @@ def stream_increment(
 ) -> None:
     """Process all files that have arrived, then stop; the next call goes on from there.
 
-    ``shape(rows, epoch)`` turns the arrived rows into what is written. Every
+    ``shape(rows, epoch)`` turns the arrived rows into what is written (``arriving``
+    makes one for a feed). Every
     micro-batch overwrites its own folder, so one that is repeated after a failure
     replaces what it left behind.
     """

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from payfeed.catalog.star_schema import PROPERTY_CODES, hr_tables, read, rostering
 from payfeed.plans.increment import FEEDS, cut, pack, record_outcomes, run_increment
 from payfeed.sources.marks import read_mark
-from payfeed.streaming.stream import stream_increment
+from payfeed.streaming.stream import arriving, stream_increment
 
 ROSTER = dt.datetime(2024, 1, 31)
 SALARY = dt.datetime(2001, 11, 5)
@@ -108,11 +108,11 @@ def test_stream_equals_batch_and_goes_on(spark, sf_dir, tables, tmp_path):
     events.where("event_id % 4 <> 0").write.parquet(arrived)
     feed, seen = FEEDS["attendance"], []
 
+    envelopes = arriving(feed, tables, "rostering", "db", "s", adapt=rostering, now=lambda: ROSTER)
+
     def shape(rows, epoch):
         seen.append(epoch)
-        bound = {"rostering": rostering(rows), "employee_details": tables["employee_details"]}
-        built = feed.build(bound, mark=dt.datetime(1900, 1, 1), as_of=ROSTER).withColumn("source_db", F.lit("db"))
-        return pack(cut(built, feed), feed, {"db": "s"}, ROSTER).drop("records")
+        return envelopes(rows, epoch)
 
     def run():
         stream_increment(
@@ -135,3 +135,16 @@ def test_stream_equals_batch_and_goes_on(spark, sf_dir, tables, tmp_path):
     batch = pack(cut(whole, feed), feed, {"db": "s"}, ROSTER).collect()
     want = sorted(json.dumps(r, sort_keys=True) for b in batch for r in json.loads(b.payload)["records"])
     assert records() == want
+
+
+def test_salary_rows_arriving_as_a_stream(spark, tables, tmp_path):
+    """Only the salary table arrives; groups, rules and persons are the tables at hand."""
+    feed, arrived = FEEDS["salary_india"], str(tmp_path / "arrived")
+    changed = tables["salary_master"].where(F.col("updateDate") >= dt.datetime(2001, 6, 1))
+    changed.write.parquet(arrived)
+    shape = arriving(feed, tables, "salary_master", "db", "s", now=lambda: SALARY)
+    stream_increment(spark, shape, arrived, changed.schema, str(tmp_path / "out"), str(tmp_path / "state"))
+    sent = spark.read.parquet(str(tmp_path / "out"))
+    want = feed.build(tables, mark=dt.datetime(2001, 6, 1), as_of=SALARY).count()
+    assert want > 0
+    assert sent.agg(F.sum("batch_size")).first()[0] == want
