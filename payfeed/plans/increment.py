@@ -21,7 +21,7 @@ from payfeed.operators.batching import (
     iso_records,
 )
 from payfeed.plans import attendance, onboarding, overtime, payloads, salary, variable
-from payfeed.session import materialize
+from payfeed.session import materialize, staging
 from payfeed.sources.delivery import apply_outcomes, batch_log
 from payfeed.sources.marks import commit_mark, next_mark, read_mark
 from payfeed.sources.outbox import api_payload, batch_id, new_batches, write_outbox
@@ -175,18 +175,20 @@ def run_increment(
     folder of its own under ``outbox``, named by feed and ``as_of``; a run that is
     repeated replaces it.
     """
-    changed = {}
-    for name, tables in sources.items():
-        mark = read_mark(marks, name if feed.per_source_mark else None)
-        changed[name] = feed.build(tables, mark=mark, as_of=as_of, **{**feed.options, **options})
-    rows = materialize(fan_in(changed), feed.name)
-    packed = pack(cut(rows, feed, batch_size, staged=True), feed, subscriptions, as_of)
-    if log is not None:
-        packed = new_batches(packed, log)
+    spark = marks.sparkSession
     label = f"{feed.name}-{feed.country.lower()}" if feed.country else feed.name
     path = f"{outbox.rstrip('/')}/{label}/{as_of:%Y%m%dT%H%M%S}"
-    write_outbox(packed.drop("records"), path, mode="overwrite")
-    return rows.sparkSession.read.parquet(path)
+    with staging(spark):
+        changed = {}
+        for name, tables in sources.items():
+            mark = read_mark(marks, name if feed.per_source_mark else None)
+            changed[name] = feed.build(tables, mark=mark, as_of=as_of, **{**feed.options, **options})
+        rows = materialize(fan_in(changed), feed.name)
+        packed = pack(cut(rows, feed, batch_size, staged=True), feed, subscriptions, as_of)
+        if log is not None:
+            packed = new_batches(packed, log)
+        write_outbox(packed.drop("records"), path, mode="overwrite")
+    return spark.read.parquet(path)
 
 
 def record_outcomes(

@@ -279,6 +279,8 @@ def _value(field: Field, dtype: str | None, as_of: dt.datetime | None, null_text
     kind, column = field.kind, F.col(f"`{field.source}`") if field.source else None
     text = dtype == "string"
     if kind == "=today":
+        if as_of is None:
+            raise ValueError(f"{field.output} is the day of the run: give as_of")
         return F.lit(as_of.strftime("%Y-%m-%d")), None
     if kind.startswith("="):
         constant = kind[1:]

@@ -74,12 +74,12 @@ def rule_star(rows: DataFrame, roll: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def stage_changes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Changed rows written once, and their employees.
+    """Changed rows written once, and the employees in them (with repeats).
 
     The large table is read once; all further work is of the size of the change.
     """
     staged = materialize(rows, "changed")
-    return staged, staged.select("EmpCode").distinct()
+    return staged, staged.select("EmpCode")
 
 
 def property_lookup(

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +22,8 @@ BROADCAST_BYTES = 8 * 1024 * 1024
 PARTITION_BYTES = 128 * 1024 * 1024
 MAX_PARTITIONS = 20_000
 
+_STAGING: ContextVar[str | None] = ContextVar("staging", default=None)
+
 # Runtime settings the feeds rely on; all may be changed on a live session.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -63,8 +68,25 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def run_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/payfeed/{label}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder, under the application or the current ``staging``."""
+    folder = _STAGING.get() or f"{shared_dir(spark)}/payfeed/{spark.sparkContext.applicationId}"
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[str]:
+    """Stage tables in a folder of their own, removed at the end.
+
+    For work that writes its result inside: staged tables must outlive what reads them.
+    """
+    folder = f"{shared_dir(spark)}/payfeed/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    token = _STAGING.set(folder)
+    try:
+        yield folder
+    finally:
+        _STAGING.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

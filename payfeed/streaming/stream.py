@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from payfeed.plans.increment import Feed, cut, pack
-from payfeed.session import materialize
+from payfeed.session import materialize, staging
 
 Shape = Callable[[DataFrame, int], DataFrame]
 
@@ -69,7 +69,8 @@ def stream_increment(
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
     def deliver(rows: DataFrame, epoch: int) -> None:
-        shape(rows, epoch).write.mode("overwrite").parquet(f"{outbox}/epoch={epoch}")
+        with staging(spark):
+            shape(rows, epoch).write.mode("overwrite").parquet(f"{outbox}/epoch={epoch}")
 
     query = (
         reader.load(in_path)

@@ -148,3 +148,16 @@ def test_salary_rows_arriving_as_a_stream(spark, tables, tmp_path):
     want = feed.build(tables, mark=dt.datetime(2001, 6, 1), as_of=SALARY).count()
     assert want > 0
     assert sent.agg(F.sum("batch_size")).first()[0] == want
+
+
+def test_increments_remove_what_they_staged(spark, tables, tmp_path):
+    from pathlib import Path
+
+    from payfeed.session import shared_dir
+
+    own = Path(shared_dir(spark)) / "payfeed" / spark.sparkContext.applicationId
+    before = set(own.iterdir()) if own.exists() else set()
+    marks = spark.createDataFrame([(1, dt.datetime(2024, 1, 20), "db")], MARK)
+    sent = run_increment(FEEDS["overtime"], {"db": tables}, {"db": "s"}, marks, ROSTER, str(tmp_path))
+    assert sent.count() > 0
+    assert (set(own.iterdir()) if own.exists() else set()) == before

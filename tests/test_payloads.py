@@ -86,3 +86,8 @@ def test_variable_india_unreadable_number_is_an_error(spark):
     got = payloads.project(df, "variable", "INDIA", with_errors=True).collect()
     assert [r[payloads.ERROR] for r in got] == ["EmployeeID", "Amount", None]
     assert (got[2].EmployeeID, got[2].Amount) == (0, 2.5)
+
+
+def test_day_of_the_run_must_be_given(spark):
+    with pytest.raises(ValueError, match="as_of"):
+        payloads.project(spark.range(1), "salary", "INDIA")
