@@ -99,8 +99,16 @@ def _from_start(numbered: DataFrame, within: list[str]) -> DataFrame:
     )
 
 
-def batch_rows(df: DataFrame, n: int, order: list[str], within: tuple[str, ...] = ()) -> DataFrame:
-    """Batches of ``n`` consecutive rows, numbered inside each source."""
+def batch_rows(
+    df: DataFrame, n: int, order: list[str], within: tuple[str, ...] = (), staged: bool = False
+) -> DataFrame:
+    """Batches of ``n`` consecutive rows, numbered inside each source.
+
+    A range exchange reads its rows twice, so they are written out first unless they are
+    ``staged`` already.
+    """
+    if not staged:
+        df = materialize(df, "rows")
     numbered = _from_start(number_rows(df, [*within, *order]), list(within))
     return numbered.withColumn("batch_no", F.floor(F.col("row_index") / n))
 

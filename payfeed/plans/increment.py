@@ -97,7 +97,7 @@ def cut(rows: DataFrame, feed: Feed, batch_size: int | None = None, staged: bool
     """Batch numbers for the rows of a feed, per source."""
     size = batch_size or feed.batch_size
     if feed.batch_key is None:
-        return batch_rows(rows, size, list(feed.order), within=("source_db",))
+        return batch_rows(rows, size, list(feed.order), within=("source_db",), staged=staged)
     return batch_keys(rows, feed.batch_key, size, within=("source_db",), staged=staged)
 
 

@@ -20,6 +20,7 @@ BROADCAST_BYTES = 8 * 1024 * 1024
 
 # Rows of one partition when rows are put in order, and the most partitions for that.
 PARTITION_BYTES = 128 * 1024 * 1024
+TINY_PARTITION_BYTES = 256 * 1024
 MAX_PARTITIONS = 20_000
 
 _STAGING: ContextVar[str | None] = ContextVar("staging", default=None)
@@ -101,7 +102,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def sized_partitions(df: DataFrame) -> int:
-    """Partitions for ordering ``df``: the session's number, or more for large staged rows.
+    """Partitions for ordering ``df``: the session's number, fewer for tiny and more for large rows.
 
     A join's size estimate is far above its size, so only other plans are sized by it.
     """
@@ -111,8 +112,9 @@ def sized_partitions(df: DataFrame) -> int:
     plan = df._jdf.queryExecution().optimizedPlan()
     if "Join " in plan.toString():
         return base
-    wanted = -(-int(str(plan.stats().sizeInBytes())) // PARTITION_BYTES)
-    return min(max(base, wanted), max(base, MAX_PARTITIONS))
+    size = int(str(plan.stats().sizeInBytes()))
+    few, many = size // TINY_PARTITION_BYTES + 1, size // PARTITION_BYTES + 1
+    return max(min(base, few), min(many, MAX_PARTITIONS))
 
 
 def _bounded_by_statistics(df: DataFrame) -> bool:

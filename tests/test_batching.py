@@ -11,6 +11,14 @@ from payfeed.operators import batching
 T0 = dt.datetime(2024, 1, 1)
 
 
+@pytest.fixture(autouse=True)
+def several_partitions(monkeypatch):
+    """The test tables are tiny; order them in more than one partition all the same."""
+    from payfeed import session
+
+    monkeypatch.setattr(session, "TINY_PARTITION_BYTES", 1)
+
+
 @pytest.fixture(scope="module")
 def rows(spark):
     random.seed(3)
@@ -120,6 +128,9 @@ def test_large_staged_rows_get_more_partitions(spark, monkeypatch):
     from payfeed import session
 
     staged = session.materialize(spark.range(20000), "size")
+    monkeypatch.setattr(session, "TINY_PARTITION_BYTES", 256 * 1024)
+    assert session.sized_partitions(staged) == 1
+    monkeypatch.setattr(session, "TINY_PARTITION_BYTES", 1024)
     assert session.sized_partitions(staged) == 4
     monkeypatch.setattr(session, "PARTITION_BYTES", 8 * 1024)
     wanted = session.sized_partitions(staged)
