@@ -92,10 +92,6 @@ def feed_variable_ph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- payloads: the literal field lookups, without corrections ------------------
 
-ISO = """strftime({0}, '%Y-%m-%dT%H:%M:%S') ||
-    CASE WHEN date_part('microseconds', {0}) % 1000000 = 0 THEN '' ELSE strftime({0}, '.%f') END"""
-
-
 @query(
     "payload_attendance",
     """SELECT EmployeeID, EmployeeCode, CAST(AttendanceDate AS VARCHAR) AS AttendanceDate,

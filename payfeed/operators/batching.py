@@ -162,7 +162,8 @@ def envelopes(
     """One row per batch (or part of one): its records in order, their number and times."""
     parts = split_parts(batched, by, order, max_records)
     record = F.struct(*[F.col(f"`{c}`") for c in record_cols])
-    ordered = F.array_sort(F.collect_list(F.struct(*[F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(order)], record.alias("r"))))
+    places = [F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(order)]
+    ordered = F.array_sort(F.collect_list(F.struct(*places, record.alias("r"))))
     moment = F.col(time_col) if time_col else F.lit(None).cast("timestamp_ntz")
     return parts.groupBy(*by, "part").agg(
         F.transform(ordered, lambda x: x["r"]).alias("records"),
