@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -53,19 +52,14 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, named by ``spark.checkpoint.dir``.
+    """The folder every executor can reach: ``spark.checkpoint.dir``, else one in the warehouse.
 
-    Only a local session may fall back to a folder of its own; on a cluster a
-    machine-local folder would be lost with its machine, so the setting is required.
+    Never a folder of one machine's own, which would be lost with its machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to storage that all executors share")
-    own = tempfile.mkdtemp(prefix="payfeed-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/staged"
 
 
 def run_path(spark: SparkSession, label: str) -> str:
