@@ -12,8 +12,7 @@ from __future__ import annotations
 import json
 import os
 import re
-
-import numpy as np
+from array import array
 
 # Units remembered by a worker before it starts anew; about 150 MB.
 MAX_UNITS = 1_000_000
@@ -21,7 +20,7 @@ MAX_UNITS = 1_000_000
 _SPACES = [c for c in map(chr, range(0x3001)) if c.isspace()]
 _SPACE_PAIRS = [c + " " for c in _SPACES]
 _ASCII_PAIRS = [c + " " for c in _SPACES if c < "\x80"]
-_WORD_AND_MARKS = re.compile(r"([A-Za-z]+)([.,;:!?]+)")
+_WORD_AND_MARKS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
 _ENCODERS: dict[str, UnitEncoder] = {}
 
 
@@ -31,12 +30,16 @@ class UnitEncoder:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.library = Tokenizer.from_file(path)
         # Text that spells a special token is ordinary text of the document.
         self.library.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
             self.cut = _cut_rule(json.load(file))
+        # How byte-level models spell the space and the two bytes of Latin letters.
+        spell = lambda c: "".join(p for p, _ in ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(c))
+        self.alphabet = {ord(c): spell(c) for c in [" ", *map(chr, range(0xC0, 0x100))]}
         self.first: dict[str, bytes] = {}
         self.inner: dict[str, bytes] = {}
 
@@ -64,20 +67,39 @@ class UnitEncoder:
         if len(known) + len(missing) > MAX_UNITS:
             known.clear()
             missing = list(set(units))
-        # Marks after a word are always units of their own, so a word is asked for once with or without them.
-        marked = {u: m for u in missing if (m := _WORD_AND_MARKS.fullmatch(u))}
-        ask = [u for u in missing if u not in marked] + [w for w in {m[1] for m in marked.values()} if w not in known]
-        known.update(zip(ask, self._library([before + u for u in ask])))
-        for unit, match in marked.items():
-            marks = self.first.get(match[2])
-            if marks is None:
-                marks = self.first[match[2]] = self._library([match[2]])[0]
-            known[unit] = known[match[1]] + marks
+        self._learn(known, missing, before)
         return b"".join(map(known.__getitem__, units))
 
+    def _learn(self, known: dict[str, bytes], missing: list[str], before: str) -> None:
+        """Plain words go to the library's model at once, whatever else through its whole chain."""
+        rest = []
+        for unit in missing:
+            match = _WORD_AND_MARKS.fullmatch(unit)
+            if match is None:
+                rest.append(unit)
+                continue
+            word, marks = match.groups()
+            data = known.get(word)
+            if data is None:
+                data = known[word] = self._word(word, before)
+            if marks:
+                known[unit] = data + self._marks(marks)
+        known.update(zip(rest, self._library([before + u for u in rest])))
+
+    def _word(self, word: str, before: str) -> bytes:
+        """One word of Latin letters: it is one pre-token, and normalization can only lower it."""
+        form = before + (word.lower() if self.cut == "dropped" else word)
+        return array("I", [t.id for t in self.library.model.tokenize(form.translate(self.alphabet))]).tobytes()
+
+    def _marks(self, marks: str) -> bytes:
+        """Marks after a word are a pre-token of their own."""
+        if marks not in self.first:
+            self.first[marks] = self._library([marks])[0]
+        return self.first[marks]
+
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in found]
+        return [array("I", e.ids).tobytes() for e in found]
 
 
 def _cut_rule(spec: dict) -> str | None:
