@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 
@@ -25,3 +26,14 @@ def fresh_file(folder: str, stem: str, suffix: str) -> str:
     files, path = open_fs(folder)
     files.create_dir(path, recursive=True)
     return f"{folder}/{stem}-{uuid.uuid4().hex}{suffix}"
+
+
+def reach_workers(spark) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    Enough where all machines see the same installation; else pass the package with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from payfeed.llm.files import reach_workers
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -17,6 +19,7 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reach_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -40,3 +43,20 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from payfeed.llm.tokenfiles import token_documents
 
     return token_documents(table(spark, sf_dir, "documents"), public_tokenizer("byte_bpe_50k.json"))
+
+
+@query
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of repeated windows."""
+    from payfeed.llm.substrings import remove_repeats
+
+    kept = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    from payfeed.llm.simhash import near_duplicate_groups
+
+    return near_duplicate_groups(table(spark, sf_dir, "documents"))
