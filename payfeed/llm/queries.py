@@ -60,3 +60,80 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from payfeed.llm.simhash import near_duplicate_groups
 
     return near_duplicate_groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside benchmark phrases."""
+    from payfeed.llm.decontaminate import find_phrases, n_hit
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_phrases(docs, table(spark, sf_dir, "benchmark"), ["doc_id"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit().alias("n_hit"),
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.size("begins") > 0).alias("contaminated"),
+    )
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those not held out."""
+    from payfeed.llm.language import held_out, predict, train
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = train(docs.filter(~held_out()))
+    found = predict(docs, model, ["doc_id"])
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives, normalised, and read back."""
+    from payfeed.llm.warc import archive_pages
+
+    return archive_pages(table(spark, sf_dir, "pages"))
+
+
+@query
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from payfeed.llm.pagetext import default_model, extract
+
+    return extract(table(spark, sf_dir, "pages"), ["page_id", "url"], default_model())
+
+
+@query
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL."""
+    from payfeed.llm.urls import judge
+
+    return judge(table(spark, sf_dir, "pages"), ["page_id"])
+
+
+_URL_PARTS = """
+    SELECT page_id, host, CASE WHEN rest IS NULL THEN '' ELSE regexp_extract(substr(rest, length(host) + 1), '^[^?#]*') END AS path
+    FROM (
+        SELECT page_id, rest, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host
+        FROM (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages)
+    )
+"""
+_URL_RULES = "(VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')) AS r(rule_host, rule_path, rule_verdict)"
+_URL_WORDS = "adult|bet|bets|betting|casino|gambling|jackpot|pills|poker|porn|replica|sex|slots|viagra|warez|xxx"
+ORACLES["op10_url_filter"] = f"""
+    WITH parts AS (SELECT row_number() OVER () AS n, * FROM ({_URL_PARTS})),
+    fits AS (
+        SELECT n, rule_host || rule_path AS rule, rule_verdict,
+               row_number() OVER (PARTITION BY n ORDER BY length(rule_host || rule_path) DESC) AS place
+        FROM parts JOIN {_URL_RULES}
+          ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+    )
+    SELECT p.page_id, host, path, f.rule,
+           CASE WHEN word = '' THEN NULL ELSE '*' || word || '*' END AS pattern,
+           coalesce(rule_verdict, CASE WHEN word = '' THEN 'allow' ELSE 'block' END) AS verdict
+    FROM (SELECT *, list_aggregate(list_append(list_sort(regexp_extract_all(regexp_replace(host, '([^a-z0-9])', '\\1\\1', 'g'), '(?:^|[^a-z0-9])({_URL_WORDS})(?:$|[^a-z0-9])', 1)), ''), 'first') AS word FROM parts) p
+    LEFT JOIN (SELECT * FROM fits WHERE place = 1) f ON p.n = f.n
+"""
