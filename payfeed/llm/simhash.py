@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payfeed.session import materialize
@@ -80,8 +80,7 @@ def links(fingerprints: DataFrame, max_distance: int) -> DataFrame:
         value = F.shiftrightunsigned("fingerprint", first).bitwiseAND(F.lit((1 << bits) - 1))
         key = F.lit(number << 56).bitwiseOR(value)
         homes.append(key)
-        clear = F.filter(F.sequence(F.lit(0), F.lit(bits - 1)), lambda i, v=value: F.getbit(v, i) == 0)
-        looks.append(F.transform(clear, lambda i, k=key: k.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), i))))
+        looks.append(_one_more_bit(key, value, bits))
     home = fingerprints.select("fingerprint", F.explode(F.array(*homes)).alias("key"))
     sizes = home.groupBy("key").agg(F.count(F.lit(1)).alias("entries"))
     seekers = fingerprints.select("fingerprint", F.explode(F.concat(F.array(*homes), *looks)).alias("key"))
@@ -118,6 +117,12 @@ def links(fingerprints: DataFrame, max_distance: int) -> DataFrame:
     return sorted_in.mapInPandas(verify, "a long, b long")
 
 
+def _one_more_bit(key: Column, value: Column, bits: int) -> Column:
+    """``key`` with each of the bits set that are clear in ``value``."""
+    clear = F.filter(F.sequence(F.lit(0), F.lit(bits - 1)), lambda i: F.getbit(value, i) == 0)
+    return F.transform(clear, lambda i: key.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), i)))
+
+
 class _Block:
     """Entries of one block and the groups that whoever looked has joined."""
 
