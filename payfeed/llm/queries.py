@@ -137,3 +137,11 @@ ORACLES["op10_url_filter"] = f"""
     FROM (SELECT *, list_aggregate(list_append(list_sort(regexp_extract_all(regexp_replace(host, '([^a-z0-9])', '\\1\\1', 'g'), '(?:^|[^a-z0-9])({_URL_WORDS})(?:$|[^a-z0-9])', 1)), ''), 'first') AS word FROM parts) p
     LEFT JOIN (SELECT * FROM fits WHERE place = 1) f ON p.n = f.n
 """
+
+
+@query
+def op4_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    from payfeed.llm.imatch import compare_with_edits
+
+    return compare_with_edits(table(spark, sf_dir, "documents"))
