@@ -40,10 +40,10 @@ from payfeed.session import materialize
 WINDOW = 35
 GRAM = 4
 # Words of one chunk, windows of one bucket on average, and counters for frequent grams.
-CHUNK_WORDS = 1_000_000
-BUCKET_WINDOWS = 2_000_000
+CHUNK_WORDS = 500_000
+BUCKET_WINDOWS = 1_000_000
 SLOTS = 1 << 18
-MAX_WORDS = 500_000
+MAX_WORDS = 300_000
 
 _WORDS: dict[bytes, int] = {}
 
@@ -222,22 +222,19 @@ def _count(window: int):
 
     def settle(bucket: int, blobs: list[tuple[str, bytes]]) -> Iterator[tuple]:
         unpacker = zstandard.ZstdDecompressor()
-        words: list[bytes] = []
-        sizes, often, count_of = [], [], []
+        parts, sizes, often, count_of = [], [], [], []
         for _, blob in blobs:
             data = unpacker.decompress(blob)
             (n,) = struct.unpack_from("<I", data)
             often.append(np.frombuffer(data, np.uint8, n, 4))
             for string in data[4 + n :].split(b"\n"):
-                mine = string.split(b" ")
-                sizes.append(len(mine))
-                words += mine
+                sizes.append(string.count(b" ") + 1)
+            parts.append(word_hashes(data[4 + n :].split()))
             count_of.append(n)
         sizes = np.array(sizes)
         ends = np.cumsum(sizes)
         windows = sizes - window + 1
-        hashes = word_hashes(words)
-        del words
+        hashes = np.concatenate(parts)
         string = np.repeat(np.arange(len(sizes)), windows)
         place = np.arange(len(string)) - np.repeat(np.cumsum(windows) - windows, windows)
         at = (ends - sizes)[string] + place
