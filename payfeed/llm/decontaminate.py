@@ -20,6 +20,7 @@ An empty benchmark hits nothing. Whole items of one word hit every such word.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -282,3 +283,31 @@ def _merged(batch: pa.RecordBatch, words, found, phrases: _Phrases, keep, names,
 def n_hit() -> F.Column:
     """Words inside spans."""
     return F.aggregate(F.zip_with("begins", "ends", lambda a, b: b - a), F.lit(0).cast("long"), lambda s, x: s + x)
+
+
+_TEXT_WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+
+
+def without_spans(found: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` and the ``text`` of rows from ``find_phrases`` without their spans.
+
+    What lies between the first and the last word of a span goes with them; a text without spans stays
+    as it is.
+    """
+    rows = found.select(*columns, F.col("text").cast("string").alias("_text"), "begins", "ends")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("_text").to_pylist()
+            for i, (begins, ends) in enumerate(zip(batch.column("begins").to_pylist(), batch.column("ends").to_pylist())):
+                if begins:
+                    places = [m.span() for m in _TEXT_WORD.finditer(texts[i])]
+                    kept, at = [], 0
+                    for begin, end in zip(begins, ends):
+                        kept.append(texts[i][at : places[begin][0]])
+                        at = places[end - 1][1]
+                    texts[i] = "".join([*kept, texts[i][at:]])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(texts, pa.string())], names=[*columns, "text"])
+
+    base = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.select(*columns).schema.fields)
+    return rows.mapInArrow(run, base + "text string")

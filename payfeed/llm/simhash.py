@@ -73,26 +73,31 @@ def _segments(max_distance: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges, edges[1:])]
 
 
+def deal(nodes: DataFrame, node: str, values: list[tuple[Column, int]]) -> DataFrame:
+    """Who meets where in the tables of segments: key, block, node, member.
+
+    ``values`` are the segments of a row of ``nodes`` and their bits. A row is an entry (``member``) under
+    each of its own values, and looks under those that have one more bit. Only keys with entries are
+    kept. Entries stand in one block of their key; whoever looks, entries included, looks in all.
+    """
+    homes = [F.lit(number << 56).bitwiseOR(value) for number, (value, _) in enumerate(values)]
+    looks = [_one_more_bit(key, value, bits) for key, (value, bits) in zip(homes, values)]
+    at = lambda keys, home: F.transform(keys, lambda k: F.struct(k.alias("key"), F.lit(home).alias("home")))
+    home = nodes.select(F.explode(F.array(*homes)).alias("key"))
+    sizes = home.groupBy("key").agg(F.count(F.lit(1)).alias("entries"))
+    seekers = nodes.select(F.col(node).alias("node"), F.inline(F.concat(at(F.array(*homes), True), at(F.concat(*looks), False))))
+    met = seekers.join(sizes, "key").withColumn("blocks", F.ceil(F.col("entries") / BLOCK).cast("int"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = met.select("key", "node", F.when(F.col("home"), own).alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    return dealt.select("key", "block", "node", F.coalesce(F.col("own") == F.col("block"), F.lit(False)).alias("member"))
+
+
 def links(fingerprints: DataFrame, max_distance: int) -> DataFrame:
     """Edges (a, b) whose components are those of all links between distinct ``fingerprint`` values."""
-    homes, looks = [], []
-    for number, (first, bits) in enumerate(_segments(max_distance)):
-        value = F.shiftrightunsigned("fingerprint", first).bitwiseAND(F.lit((1 << bits) - 1))
-        key = F.lit(number << 56).bitwiseOR(value)
-        homes.append(key)
-        looks.append(_one_more_bit(key, value, bits))
-    home = fingerprints.select("fingerprint", F.explode(F.array(*homes)).alias("key"))
-    sizes = home.groupBy("key").agg(F.count(F.lit(1)).alias("entries"))
-    seekers = fingerprints.select("fingerprint", F.explode(F.concat(F.array(*homes), *looks)).alias("key"))
-    met = seekers.join(sizes, "key")
-    is_home = F.lit(False)
-    for key in homes:
-        is_home = is_home | (F.col("key") == key)
-    met = met.withColumn("home", is_home).withColumn("blocks", F.ceil(F.col("entries") / BLOCK).cast("int"))
-    own = F.pmod(F.xxhash64("fingerprint"), F.col("blocks")).cast("int")
-    # Entries stand in one block; whoever looks, entries included, looks in all.
-    dealt = met.select("key", "fingerprint", F.when(F.col("home"), own).alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    dealt = dealt.withColumn("member", F.coalesce(F.col("own") == F.col("block"), F.lit(False))).drop("own")
+    values = [
+        (F.shiftrightunsigned("fingerprint", first).bitwiseAND(F.lit((1 << bits) - 1)), bits) for first, bits in _segments(max_distance)
+    ]
+    dealt = deal(fingerprints, "fingerprint", values)
     parts = int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sorted_in = dealt.repartition(parts, "key", "block").sortWithinPartitions("key", "block", F.desc("member"))
 
@@ -100,7 +105,7 @@ def links(fingerprints: DataFrame, max_distance: int) -> DataFrame:
         group = None
         for batch in batches:
             key, block = batch["key"].to_numpy(), batch["block"].to_numpy()
-            prints, member = batch["fingerprint"].to_numpy().view(np.uint64), batch["member"].to_numpy()
+            prints, member = batch["node"].to_numpy().view(np.uint64), batch["member"].to_numpy()
             cuts = np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1])) + 1
             found = []
             for a, b in zip(np.concatenate([[0], cuts]), np.concatenate([cuts, [len(key)]])):
