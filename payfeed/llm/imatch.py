@@ -114,7 +114,8 @@ def _ranges(docs: DataFrame) -> tuple[Column, list[tuple[int | None, int, int]]]
         return F.lit(0), [(None, 0, 0)]
     cells = 8 * ranges
     width = (high - low) // cells + 1
-    cell = ((F.lit(high).cast("decimal(20,0)") - F.col("doc_id")) / F.lit(width).cast("decimal(20,0)")).cast("int")
+    below = (F.lit(high).cast("decimal(20,0)") - F.col("doc_id").cast("decimal(20,0)")) / F.lit(width).cast("decimal(20,0)")
+    cell = F.least(F.floor(below).cast("int"), F.lit(cells - 1))
     counts = {r["cell"]: r["n"] for r in docs.filter("doc_id is not null").groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect()}
     of_cell, done = [], 0
     for i in range(cells):

@@ -5,8 +5,8 @@ characters as one space), hashed to ``DIMENSIONS`` slots, weighted by log counts
 document frequency, and normalised. Document frequencies are counted over all labelled
 rows. Centroids are found by spherical k-means within each language, on a bounded sample:
 about ``SAMPLE`` rows a language, chosen by hash. A text takes the language of the centroid
-with the largest cosine; one whose cosine stays below ``REJECT`` times the least cosine of that
-centroid's own sample is marked as rejected.
+with the largest cosine; one whose cosine stays below ``REJECT`` times the least cosine in the
+sample of that language is marked as rejected.
 
 Nulls, empty texts: a null text or one without a letter is ``und`` with score 0 and rejected;
 rows without a label are not learned from; without any labelled row everything is
@@ -28,7 +28,7 @@ UNKNOWN = "und"
 DIMENSIONS = 4096
 SAMPLE = 2000
 CENTROIDS = 4
-REJECT = 0.25
+REJECT = 0.15
 ROUNDS = 12
 _ROWS = 256
 _TO_SPACE = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -36,7 +36,7 @@ _TO_SPACE = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 @dataclass
 class LanguageModel:
-    """Centroids (rows), their languages and least cosines, and the weights of slots."""
+    """Centroids (rows), their languages and these' least cosines, and the weights of slots."""
 
     languages: list[str]
     centroids: np.ndarray
@@ -122,7 +122,7 @@ def train(labelled: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS)
             "lang": key[0],
             "number": keep.astype(np.int32),
             "centre": [centre[k].astype("<f4").tobytes() for k in keep],
-            "least": [float(cosine[mine == k].min()) for k in keep],
+            "least": float(cosine.min()),
         })
 
     found = chosen.groupBy("lang").applyInPandas(cluster, "lang string, number int, centre binary, least double").toPandas()
