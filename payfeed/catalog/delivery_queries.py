@@ -15,11 +15,12 @@ from payfeed.functions.fields import ntz
 from payfeed.operators.batching import batch_keys, batch_rows, envelopes, iso_records
 from payfeed.operators.predicates import current_salary
 from payfeed.plans import attendance
-from payfeed.plans.increment import FEEDS, pack, run_increment
-from payfeed.session import run_path
+from payfeed.plans.increment import FEEDS, run_increment, write_batches
+from payfeed.plans.overtime import overtime_rejects
+from payfeed.session import materialize, run_path
 from payfeed.sources.delivery import apply_outcomes, batch_log
 from payfeed.sources.marks import commit_mark, latest_mark, next_mark
-from payfeed.sources.outbox import decode_envelopes, envelope_message, new_batches, write_outbox
+from payfeed.sources.outbox import decode_envelopes, envelope_message, new_batches
 from payfeed.sources.tables import fan_in, route
 from payfeed.streaming.stream import arriving
 from payfeed.streaming.stream import stream_increment as run_stream
@@ -81,7 +82,6 @@ def order_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "orders").select(
         F.concat(F.lit("S"), (F.col("o_custkey") % 97).cast("string")).alias("source_db"),
         F.col("o_orderkey").alias("batch_no"),
-        F.lit(0).alias("part"),
         F.when(failed, "FAILED").otherwise("SUCCESS").alias("status"),
         (day - F.expr("INTERVAL 3 DAYS")).alias("min_timestamp"),
         day.alias("max_timestamp"),
@@ -297,36 +297,21 @@ def decoded_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "outbox",
-    f"""SELECT 'db-1' AS source_db, batch_no, CAST(0 AS BIGINT) AS part, count(*) AS batch_size, max(updateDate_timestamp) AS max_timestamp
+    f"""SELECT 'db-1' AS source_db, batch_no, count(*) AS batch_size, max(updateDate_timestamp) AS max_timestamp
     FROM ({_KEY_BATCHES}) b GROUP BY batch_no""",
 )
 def outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overtime batches written to an outbox and read back."""
-    rows = feed_overtime(spark, sf_dir).withColumn("source_db", F.lit("db-1"))
-    batched = batch_keys(rows, "EmployeeCode", 100, within=("source_db",))
-    packed = pack(batched, FEEDS["overtime"], {"db-1": "sub-1"}, ROSTER_AS_OF)
+    rows = materialize(feed_overtime(spark, sf_dir).withColumn("source_db", F.lit("db-1")), "rows")
     path = run_path(spark, "outbox")
-    write_outbox(packed.drop("records"), path)
-    return spark.read.parquet(path).select("source_db", "batch_no", "part", "batch_size", "max_timestamp")
+    write_batches(rows, FEEDS["overtime"], {"db-1": "sub-1"}, ROSTER_AS_OF, path)
+    return spark.read.parquet(f"{path}/batches").select("source_db", "batch_no", "batch_size", "max_timestamp")
 
 
-def roster_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def roster_marks(spark: SparkSession) -> DataFrame:
     """One source that was delivered up to the mark, and one that never was."""
-    first = read(spark, sf_dir, "events").agg(F.min("ts").alias("first"))
-    return first.select(
-        F.explode(
-            F.array(
-                F.struct(
-                    F.lit(1).alias("ID"), ntz(ROSTER_MARK).alias("last_timestamp"), F.lit("east").alias("source_db")
-                ),
-                F.struct(
-                    F.lit(2).alias("ID"),
-                    F.lit(None).cast("timestamp_ntz").alias("last_timestamp"),
-                    F.lit("west").alias("source_db"),
-                ),
-            )
-        ).alias("m")
-    ).select("m.*")
+    rows = [(1, ROSTER_MARK, "east"), (2, None, "west")]
+    return spark.createDataFrame(rows, "ID int, last_timestamp timestamp_ntz, source_db string")
 
 
 @query(
@@ -337,7 +322,7 @@ def roster_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
         SELECT 'west', d.ED_EMPID, r."Date", r.UpdatedDate, CASE WHEN r.AttValue1 = -1 OR r.AttValue1 IS NULL THEN 0 ELSE r.AttValue1 END
         FROM rostering r JOIN employee_details d ON r.EmpCode = d.ED_EMPCode
         WHERE r."Date" >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 90 DAY)
-    SELECT source_db, batch_no, CAST(0 AS BIGINT) AS part, count(*) AS batch_size, min(updateDate_timestamp) AS min_timestamp,
+    SELECT source_db, batch_no, count(*) AS batch_size, min(updateDate_timestamp) AS min_timestamp,
     max(updateDate_timestamp) AS max_timestamp, 'sub-' || source_db AS subscription_name
     FROM (SELECT *, (row_number() OVER (PARTITION BY source_db
         ORDER BY EmployeeID, AttendanceDate, updateDate_timestamp, Attendance) - 1) // 250 AS batch_no FROM rows) b
@@ -350,12 +335,12 @@ def increment(spark: SparkSession, sf_dir: str) -> DataFrame:
         FEEDS["attendance"],
         {"east": t, "west": t},
         {"east": "sub-east", "west": "sub-west"},
-        roster_marks(spark, sf_dir),
+        roster_marks(spark),
         ROSTER_AS_OF,
         run_path(spark, "increment"),
     )
     return sent.select(
-        "source_db", "batch_no", "part", "batch_size", "min_timestamp", "max_timestamp", "subscription_name"
+        "source_db", "batch_no", "batch_size", "min_timestamp", "max_timestamp", "subscription_name"
     )
 
 
@@ -378,10 +363,28 @@ def stream_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{path}/checkpoint",
         glob="events.parquet",
     )
-    sent = F.from_json("payload", "records array<struct<EmployeeID bigint, EmployeeCode string, AttendanceDate string>>")
+    sent = F.from_json("record", "EmployeeID bigint, EmployeeCode string, AttendanceDate string")
     return (
-        spark.read.parquet(f"{path}/outbox")
-        .select(F.explode(sent["records"]).alias("r"))
+        spark.read.parquet(f"{path}/outbox/records")
+        .select(sent.alias("r"))
         .groupBy("r.EmployeeID", "r.EmployeeCode")
         .agg(F.count(F.lit(1)).alias("n"), F.max("r.AttendanceDate").alias("newest"))
     )
+
+
+@query(
+    "overtime_rejects",
+    """SELECT EmpCode, "Date", OT_UpdatedDate, CASE WHEN second(OT_UpdatedDate) % 17 = 0 THEN 'not a JSON list of parameters'
+    ELSE 'minutes are not a number' END AS reason FROM rostering WHERE OT_Param_json IS NOT NULL
+    AND (second(OT_UpdatedDate) % 17 = 0 OR second(OT_UpdatedDate) % 19 = 0)""",
+)
+def unreadable_overtime(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roster rows with broken parameter lists and with minutes that are no number."""
+    second = F.second("OT_UpdatedDate")
+    broken = F.when(second % 17 == 0, F.lit("[{")).when(
+        second % 19 == 0, F.lit('[{"ParameterCode":"click","ParameterValue":"some","Conversion":"H"}]')
+    )
+    roster = hr_tables(spark, sf_dir)["rostering"]
+    text = F.when(F.col("OT_Param_json").isNotNull(), F.coalesce(broken, F.col("OT_Param_json")))
+    found = overtime_rejects(roster.withColumn("OT_Param_json", text))
+    return found.select("EmpCode", "Date", "OT_UpdatedDate", "reason")

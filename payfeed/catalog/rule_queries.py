@@ -20,7 +20,6 @@ from payfeed.functions import fields
 from payfeed.operators import attributes, changes, predicates
 from payfeed.operators.batching import iso_records
 from payfeed.plans import overtime, variable
-from payfeed.session import lookup_join
 
 # A first run in the middle of a day.
 BACKFILL_AS_OF = dt.datetime(2024, 4, 15, 12)
@@ -264,7 +263,7 @@ def effective_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 def signed_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = hr_tables(spark, sf_dir)
     heads = t["payhead_master"].select(F.col("PayHeadCode").alias("HeadCode"), "PayHeadCategoryID")
-    rows = lookup_join(t["emp_variable"], heads, "HeadCode")
+    rows = t["emp_variable"].join(heads, "HeadCode")
     amount = fields.signed_amount(F.col("PayHeadCategoryID"), F.col("Amount")).alias("amount")
     return rows.select("EmpCode", "HeadCode", "CreatedDate", amount)
 

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from payfeed.functions.fields import OPEN_END, ntz
 from payfeed.operators.attributes import MODULE
-from payfeed.session import settle
 
 # Countries and property codes of the derived configuration.
 COUNTRIES = (101, 103)
@@ -275,15 +274,6 @@ def ot_parameter_master(spark: SparkSession) -> DataFrame:
     )
 
 
-def _configuration(df: DataFrame) -> DataFrame:
-    """A configuration table that is derived by scanning a large one: evaluated once.
-
-    The other configuration tables follow from it, and feeds read them several times.
-    """
-    local = settle(df)
-    return df if local is None else local
-
-
 class HrTables(Mapping):
     """The HR tables of one data folder, each built when first read."""
 
@@ -296,16 +286,14 @@ class HrTables(Mapping):
             "employee_details": lambda: employee_details(star("customer")),
             "employee_fin_details": lambda: employee_fin_details(star("customer")),
             "attribute_type_master": lambda: attribute_type_master(spark),
-            "attribute_unit_master": lambda: _configuration(
-                attribute_unit_master(star("customer"), star("region"))
-            ),
+            "attribute_unit_master": lambda: attribute_unit_master(star("customer"), star("region")),
             "employee_attribute_details": lambda: employee_attribute_details(
                 star("customer"), star("nation"), star("region"), own("attribute_unit_master")
             ),
             "type_configuration": lambda: type_configuration(spark),
             "unit_type_configuration": lambda: unit_type_configuration(own("attribute_unit_master")),
             "pay_group_master": lambda: pay_group_master(own("unit_type_configuration")),
-            "payhead_master": lambda: _configuration(payhead_master(star("part"))),
+            "payhead_master": lambda: payhead_master(star("part")),
             "pay_group_payhead_details": lambda: pay_group_payhead_details(
                 own("pay_group_master"), own("payhead_master")
             ),

@@ -207,20 +207,23 @@ def round_money(value: Column) -> Column:
 
     ``round`` decides on the printed decimals instead (2.675 would go up although the
     stored number lies below the tie). The distance to the tie is computed exactly by
-    splitting the value into two halves of 26 bits.
+    splitting the fraction into two halves of 26 bits. From 2**46 on, stored numbers lie further
+    apart than cents, so each is its own nearest.
     """
     size = F.abs(value)
-    thousandths = F.round(size * 1000.0, 0)
-    split = size * 134217729.0
-    high = split - (split - size)
-    low = size - high
+    whole = F.when(size < float(1 << 46), F.floor(size).cast("double"))
+    part = size - whole
+    thousandths = F.round(part * 1000.0, 0)
+    split = part * 134217729.0
+    high = split - (split - part)
+    low = part - high
     distance = (high * 1000.0 - thousandths) + low * 1000.0
-    at_tie = (thousandths % 10 == 5) & (F.abs(distance) < 1e-3) & (size < 1e12)
     below = (thousandths - 5) / 10
-    cents = (
+    tie = (
         F.when(distance > 0, below + 1)
         .when(distance < 0, below)
-        .otherwise(F.when(below % 2 == 0, below).otherwise(below + 1))
+        .otherwise(F.when((whole * 100 + below) % 2 == 0, below).otherwise(below + 1))
     )
-    settled = F.when(value < 0, -cents / 100).otherwise(cents / 100)
-    return F.when(at_tie, settled).otherwise(F.round(value, 2))
+    cents = F.when(thousandths % 10 == 5, tie).otherwise(F.rint(part * 100.0))
+    rounded = (whole * 100 + cents) / 100
+    return F.when(whole.isNull(), value).when(value < 0, -rounded).otherwise(rounded)

@@ -13,12 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from payfeed.functions.fields import is_open, split_list
-from payfeed.session import lookup_join
 
 # The configuration scope that pay groups live in.
 MODULE = "CompensationAndBenefits"
-# Attribute lists are short; a longer one means the wrong table was passed.
-MAX_DIMENSIONS = 200
 
 SUFFIX = "_Description"
 
@@ -39,19 +36,13 @@ def scoped_config(config: DataFrame, module: str = MODULE, sub_module: str | Non
 def configured_dimensions(
     config: DataFrame, module: str = MODULE, sub_module: str | None = None
 ) -> list[str]:
-    """Attribute descriptions configured for a module, in configured order."""
-    lists = (
-        scoped_config(config, module, sub_module)
-        .select(split_list(F.col("AttributeBasedOnDesc")).alias("items"))
-        .limit(MAX_DIMENSIONS + 1)
-        .collect()
-    )
-    names = [item for row in lists for item in row["items"]]
-    names = list(dict.fromkeys(names))
+    """Distinct attribute descriptions configured for a module, sorted; they become columns."""
+    items = scoped_config(config, module, sub_module).select(
+        F.explode(split_list(F.col("AttributeBasedOnDesc"))).alias("item")
+    )
+    names = sorted(row["item"] for row in items.distinct().collect())
     if not names:
         raise PayGroupNotConfigured(f"no attributes configured for module {module}")
-    if len(names) > MAX_DIMENSIONS:
-        raise ValueError(f"{len(names)} attributes configured, at most {MAX_DIMENSIONS} expected")
     return names
 
 
@@ -108,7 +99,7 @@ def attribute_rows(details: DataFrame, types: DataFrame, units: DataFrame) -> Da
     opened = details.where(is_open(F.col("ToDate"))).select(
         "EmployeeCode", "AttributeTypeID", "AttributeTypeUnitID"
     )
-    return lookup_join(opened, names, ["AttributeTypeID", "AttributeTypeUnitID"]).select(
+    return opened.join(names, ["AttributeTypeID", "AttributeTypeUnitID"]).select(
         "EmployeeCode", "AttributeTypeDescription", "AttributeTypeUnitDescription"
     )
 
@@ -153,7 +144,7 @@ def assign_pay_groups(employees: DataFrame, groups: DataFrame, dims: list[str])
         lambda a, b: a & b,
         [F.col(f"`{dimension_column(d)}`") == F.col(f"`{d}`") for d in dims],
     )
-    return lookup_join(employees, groups, same).select(
+    return employees.join(groups, same).select(
         F.col("EmployeeCode").alias("EmpCode"), "CombinationID", "PayGroupID", *[f"`{d}`" for d in dims]
     )
 

@@ -14,16 +14,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payfeed.functions.fields import iso_text
-from payfeed.session import lookup_join, materialize, sized_partitions
+from payfeed.session import materialize
 
 # Rows per attendance batch, employees per overtime and other batches.
 ATTENDANCE_ROWS = 250
 OVERTIME_EMPLOYEES = 100
 OTHER_EMPLOYEES = 1
 
-# An envelope holds at most this many records; a larger batch is sent in parts.
-MAX_RECORDS = 5_000
-
 _PLACE = "_place"
 _PARTITION_BITS = 33
 # Range partitions this much above the average hold copies that the order cannot split.
@@ -37,7 +34,8 @@ def _place(df: DataFrame, keys: list[str]) -> DataFrame:
     Written out, because a second run of a range exchange may draw other boundaries.
     """
     quoted = [F.col(f"`{k}`") for k in keys]
-    ordered = df.repartitionByRange(sized_partitions(df), *quoted).sortWithinPartitions(*quoted)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = df.repartitionByRange(parts, *quoted).sortWithinPartitions(*quoted)
     return materialize(ordered.withColumn(_PLACE, F.monotonically_increasing_id()), "order")
 
 
@@ -57,25 +55,26 @@ def _is_lopsided(sizes: dict[int, int]) -> bool:
 def number_rows(df: DataFrame, order: list[str], name: str = "row_index") -> DataFrame:
     """Number all rows from 0 in the given order (nulls first).
 
-    Ties are broken by the remaining columns. Rows that agree on everything are
-    interchangeable; where there are so many that a partition overflows, the placed
-    rows are ordered once more with their position as last key, which splits them.
+    Ties are broken by a hash of the remaining columns, so these are not sorted. Rows that
+    agree on everything are interchangeable; where there are so many that a partition
+    overflows, the placed rows are ordered once more with their position as last key,
+    which splits them.
     """
     rest = sorted(c for c in df.columns if c not in order)
-    keys = [*order, *rest]
-    placed = _place(df, keys)
+    keys = [*order, "_tie"] if rest else list(order)
+    tied = df.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in rest])) if rest else df
+    placed = _place(tied, keys)
     sizes = _partition_sizes(placed)
     if _is_lopsided(sizes):
         placed = _place(placed.withColumnRenamed(_PLACE, "_copy"), [*keys, "_copy"]).drop("_copy")
         sizes = _partition_sizes(placed)
-    counts = [sizes.get(p, 0) for p in range(max(sizes, default=0) + 1)]
-    starts = [0, *accumulate(counts)][: len(counts)]
-    start = F.element_at(
-        F.expr("array(" + ",".join(f"{s}L" for s in starts) + ")"),
-        (F.shiftright(F.col(_PLACE), _PARTITION_BITS) + 1).cast("int"),
+    parts = sorted(sizes)
+    starts = df.sparkSession.createDataFrame(
+        list(zip(parts, accumulate([0, *(sizes[p] for p in parts)]))), "_part long, _first long"
     )
     position = F.col(_PLACE).bitwiseAND(F.lit((1 << _PARTITION_BITS) - 1))
-    return placed.withColumn(name, start + position).drop(_PLACE)
+    numbered = placed.withColumn("_part", F.shiftright(F.col(_PLACE), _PARTITION_BITS)).join(F.broadcast(starts), "_part")
+    return numbered.withColumn(name, F.col("_first") + position).drop(_PLACE, "_part", "_first", "_tie")
 
 
 def _join_back(df: DataFrame, extra: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
@@ -84,7 +83,7 @@ def _join_back(df: DataFrame, extra: DataFrame, by: list[str], how: str = "inner
         *[F.col(c).alias(f"_by_{i}") for i, c in enumerate(by)], *[c for c in extra.columns if c not in by]
     )
     on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_by_{i}")) for i, c in enumerate(by)])
-    return lookup_join(df, renamed, on, how).drop(*[f"_by_{i}" for i in range(len(by))])
+    return df.join(renamed, on, how).drop(*[f"_by_{i}" for i in range(len(by))])
 
 
 def _from_start(numbered: DataFrame, within: list[str]) -> DataFrame:
@@ -129,43 +128,17 @@ def batch_keys(
     return _join_back(df, numbers, by)
 
 
-def split_parts(batched: DataFrame, by: list[str], order: list[str], max_records: int = MAX_RECORDS) -> DataFrame:
-    """Number the parts of batches that are too large for one envelope; all others are part 0.
+def envelopes(batched: DataFrame, record_cols: list[str], by: list[str], order: list[str], time_col: str | None = None) -> DataFrame:
+    """One row per batch with its records in order, their number and times.
 
-    Only the rows of oversize batches are ordered again. At most one batch per
-    ``max_records`` rows is oversize.
+    For batches that fit a message, as those of a fixed number of rows do; batches of
+    whole employees have no bound and travel as rows, see ``manifest``.
     """
-    sizes = batched.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
-    oversize = materialize(sizes.where(F.col("_size") > max_records).select(*by), "oversize")
-    if oversize.isEmpty():
-        return batched.withColumn("part", F.lit(0).cast("bigint"))
-    small = _join_back(batched, oversize, by, "left_anti")
-    index = "_large_index"
-    numbered = number_rows(_join_back(batched, oversize, by, "left_semi"), [*by, *order], index)
-    starts = numbered.groupBy(*by).agg(F.min(index).alias("_start"))
-    parts = (
-        _join_back(numbered, starts, by)
-        .withColumn("part", F.floor((F.col(index) - F.col("_start")) / max_records))
-        .drop(index, "_start")
-    )
-    return small.withColumn("part", F.lit(0).cast("bigint")).unionByName(parts)
-
-
-def envelopes(
-    batched: DataFrame,
-    record_cols: list[str],
-    by: list[str],
-    order: list[str],
-    time_col: str | None = None,
-    max_records: int = MAX_RECORDS,
-) -> DataFrame:
-    """One row per batch (or part of one): its records in order, their number and times."""
-    parts = split_parts(batched, by, order, max_records)
     record = F.struct(*[F.col(f"`{c}`") for c in record_cols])
     places = [F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(order)]
     ordered = F.array_sort(F.collect_list(F.struct(*places, record.alias("r"))))
     moment = F.col(time_col) if time_col else F.lit(None).cast("timestamp_ntz")
-    return parts.groupBy(*by, "part").agg(
+    return batched.groupBy(*by).agg(
         F.transform(ordered, lambda x: x["r"]).alias("records"),
         F.count(F.lit(1)).alias("batch_size"),
         F.min(moment).alias("min_timestamp"),
@@ -173,6 +146,22 @@ def envelopes(
     )
 
 
+def manifest(records: DataFrame, by: list[str], content: str, time_col: str, error_col: str) -> DataFrame:
+    """One row per batch of any size: number of records, times, first error, and a digest.
+
+    Only sums, so a batch that holds most rows is counted where they lie. ``digest``
+    is the same for the same records in whatever order they are met.
+    """
+    marks = [F.xxhash64(content, F.lit(seed)) for seed in (1, 2)]
+    return records.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("batch_size"),
+        F.min(time_col).alias("min_timestamp"),
+        F.max(time_col).alias("max_timestamp"),
+        F.min(error_col).alias("error"),
+        F.concat_ws("-", *[F.sum(m.cast("decimal(38,0)")).cast("string") for m in marks]).alias("digest"),
+    )
+
+
 def iso_records(df: DataFrame, columns: list[str]) -> DataFrame:
     """Dates and times as ISO text and decimals as doubles, as they go into an envelope."""
     types = dict(df.dtypes)

@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A pivot makes one column per code; more codes than this is a wrong table.
-MAX_CODES = 500
-
 # Property codes that stand for the three flags of a variable-pay row.
 PF_CODES = ("SSSEMPLOYEE", "PFAPPLICABLE", "PF", "PFEMPLOYEE", "PF_EMPLOYEE", "PF_APPLICABLE")
 SSC_CODES = ("PHILHEALTHEMPLOYEE", "SSCAPPLICABLE", "SSC", "SSCEMPLOYEE", "SSC_EMPLOYEE", "SSC_APPLICABLE")
@@ -24,9 +21,7 @@ VPF_CODES = (
 
 def distinct_codes(df: DataFrame, column: str = "GPP_PropertyCode") -> list[str]:
     """Property codes present, sorted; read on the driver to name the pivot columns."""
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(MAX_CODES + 1).collect()
-    if len(rows) > MAX_CODES:
-        raise ValueError(f"more than {MAX_CODES} property codes")
+    rows = df.select(column).where(F.col(column).isNotNull()).distinct().collect()
     return sorted(row[0] for row in rows)
 
 

@@ -112,7 +112,7 @@ def onboarding_philippines_feed(
     override_date: dt.date | None = GO_LIVE,
     country_id: int = PHILIPPINES_ID,
     module: str = MODULE,
-    present_only: bool = False,
+    present_only: bool = True,
 ) -> DataFrame:
     """``override_date`` replaces joining and start date; None keeps the floored dates."""
     salary = current_salary(tables["salary_master"]).select(

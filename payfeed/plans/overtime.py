@@ -10,19 +10,16 @@ from pyspark.sql import functions as F
 from payfeed.functions.fields import minutes_value, overtime_hours, unit_code
 from payfeed.operators.changes import changed_days, changed_since, repeat_rows
 from payfeed.plans.attendance import join_employees
-from payfeed.session import lookup_join
 
 ORDER = ("EmployeeCode", "Date")
 
 PARAMETERS = "array<struct<ParameterCode:string,ParameterValue:string,Conversion:string>>"
-# A JSON scalar longer than this reads as null.
-MAX_SCALAR = 4000
 
 
 def _scalar(value: Column) -> Column:
     """Text of a JSON scalar; nested objects and lists have none."""
     nested = F.substring(value, 1, 1).isin("[", "{")
-    return F.when(~nested & (F.length(value) <= MAX_SCALAR), value)
+    return F.when(~nested, value)
 
 
 def _parameters(text: Column) -> Column:
@@ -33,9 +30,9 @@ def _parameters(text: Column) -> Column:
 
 
 def explode_params(roster: DataFrame, keep: tuple[str, ...]) -> DataFrame:
-    """One row per overtime parameter of a roster row; unreadable lists give no rows."""
+    """One row per overtime parameter of a roster row; rows that cannot be read in full give none."""
     return (
-        roster.where(F.col("OT_Param_json").isNotNull())
+        roster.where(F.col("OT_Param_json").isNotNull() & unreadable().isNull())
         .select(*keep, F.explode(_parameters(F.col("OT_Param_json"))).alias("p"))
         .select(
             *keep,
@@ -46,11 +43,8 @@ def explode_params(roster: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     )
 
 
-def overtime_rejects(roster: DataFrame) -> DataFrame:
-    """Roster rows whose parameters cannot be read, with the reason.
-
-    Reported instead of failing the whole feed.
-    """
+def unreadable() -> Column:
+    """Why the parameters of a roster row cannot be read; null where they can."""
     items = _parameters(F.col("OT_Param_json"))
     bad_minutes = F.exists(
         items,
@@ -60,20 +54,30 @@ def overtime_rejects(roster: DataFrame) -> DataFrame:
             F.lit(False),
         ),
     )
-    reason = F.when(items.isNull(), "not a JSON list of parameters").when(
-        bad_minutes, "minutes are not a number"
-    )
+    return F.when(items.isNull(), "not a JSON list of parameters").when(bad_minutes, "minutes are not a number")
+
+
+def overtime_rejects(roster: DataFrame) -> DataFrame:
+    """Roster rows whose parameters cannot be read, with the reason; feeds leave them out."""
     return (
         roster.where(F.col("OT_Param_json").isNotNull())
-        .withColumn("reason", reason)
+        .withColumn("reason", unreadable())
         .where(F.col("reason").isNotNull())
     )
 
 
+def rejected_changes(tables: dict[str, DataFrame], mark: dt.datetime | None, as_of: dt.datetime) -> DataFrame:
+    """Changed roster rows that an increment cannot send: EmpCode, Date, update time and reason."""
+    changed = changed_since(tables["rostering"], "OT_UpdatedDate", mark, backfill_col="Date", as_of=as_of)
+    return overtime_rejects(changed).select(
+        "EmpCode", "Date", F.col("OT_UpdatedDate").alias("updateDate_timestamp"), "reason"
+    )
+
+
 def overtime_rates(params: DataFrame, rates: DataFrame) -> DataFrame:
     """Parameters with a known rate; unknown codes are dropped."""
     known = rates.select(F.col("Name").alias("Code"), F.col("Rate").alias("ExtraTimePay"))
-    return lookup_join(params, known, "Code")
+    return params.join(known, "Code")
 
 
 def _shape(rows: DataFrame) -> DataFrame:

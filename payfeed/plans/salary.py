@@ -129,7 +129,7 @@ def salary_philippines_feed(
     codes: list[str] | None = None,
     module: str = MODULE,
     with_update_time: bool = False,
-    present_only: bool = False,
+    present_only: bool = True,
 ) -> DataFrame:
     return _salary_with_properties(
         tables, mark, as_of, country_id, codes, module,
@@ -146,7 +146,7 @@ def salary_thailand_feed(
     codes: list[str] | None = None,
     module: str = MODULE,
     with_update_time: bool = False,
-    present_only: bool = False,
+    present_only: bool = True,
 ) -> DataFrame:
     return _salary_with_properties(
         tables, mark, as_of, country_id, codes, module,

@@ -2,7 +2,7 @@
 
 The configuration side (groups, heads, rules, properties) is joined into one lookup
 keyed by pay group and head code first, so that salaries are shuffled on the employee
-only and meet the lookup in a size-checked broadcast.
+only; adaptive execution turns the lookup into a broadcast where its measured size allows.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from payfeed.functions.fields import gender_code
 from payfeed.operators.attributes import MODULE, employee_pay_groups
 from payfeed.operators.properties import distinct_codes, property_matrix
-from payfeed.session import lookup_join, materialize
+from payfeed.session import materialize
 
 # Rule flags that follow a pay head whatever the pay group.
 HEAD_FLAGS = ("LeenPayApp", "TaxApp", "SpotTaxApp")
@@ -70,7 +70,7 @@ def employee_roll(
 
 def rule_star(rows: DataFrame, roll: DataFrame, rules: DataFrame) -> DataFrame:
     """Employee-keyed rows with pay group, person and the rules of group and head."""
-    return lookup_join(rows.join(roll, "EmpCode"), rules, ["PayGroupID", "HeadCode"])
+    return rows.join(roll, "EmpCode").join(rules, ["PayGroupID", "HeadCode"])
 
 
 def stage_changes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -129,6 +129,15 @@ def merge_flags(rows: DataFrame, flags: list[str], newest: str | None = None) ->
 
 
 def drop_absent(feed: DataFrame, flags: list[str]) -> DataFrame:
-    """Leave out flag columns that no row fills (one pass over the feed)."""
-    filled = feed.agg(*[F.max(F.col(f"`{c}`").isNotNull()).alias(c) for c in flags]).first()
-    return feed.drop(*[c for c in flags if not filled[c]])
+    """Leave out flag columns that no row fills; the feed is staged to find out."""
+    staged = materialize(feed, "flags")
+    used = set(filled(staged, flags))
+    return staged.drop(*[c for c in flags if c not in used])
+
+
+def filled(rows: DataFrame, flags: list[str]) -> list[str]:
+    """Those of ``flags`` that some row has."""
+    if not flags:
+        return []
+    found = rows.agg(*[F.max(F.col(f"`{c}`").isNotNull()).alias(c) for c in flags]).first()
+    return [c for c in flags if found[c]]

@@ -13,7 +13,7 @@ from payfeed.operators.changes import changed_since
 from payfeed.operators.predicates import current_salary
 from payfeed.operators.properties import PF_CODES, SSC_CODES, VPF_CODES, resolved_flag
 from payfeed.plans import stars
-from payfeed.session import lookup_join
+from payfeed.session import materialize
 
 ORDER = ("EmployeeID",)
 
@@ -82,11 +82,14 @@ def applicability(
     per_head = rows.groupBy("EmpCode", "ED_EMPID", "PayHeadID", *stars.HEAD_FLAGS).agg(
         *[F.max(f"`{c}`").alias(c) for c in codes]
     )
+    # An alias counts only if some row of the result has it, so the rows are staged to see which do.
+    per_head = materialize(per_head, "heads")
+    used = stars.filled(per_head, codes)
     return per_head.select(
         "ED_EMPID",
-        resolved_flag(codes, PF_CODES).alias("PFApplicable"),
-        resolved_flag(codes, SSC_CODES).alias("SSCApplicable"),
-        resolved_flag(codes, VPF_CODES).alias("VPFApplicable"),
+        resolved_flag(used, PF_CODES).alias("PFApplicable"),
+        resolved_flag(used, SSC_CODES).alias("SSCApplicable"),
+        resolved_flag(used, VPF_CODES).alias("VPFApplicable"),
         *stars.HEAD_FLAGS,
     ).distinct()
 
@@ -112,7 +115,7 @@ def variable_philippines_feed(
         .distinct()
     )
     ids = stars.people(tables).select("EmpCode", "ED_EMPID").distinct()
-    rows = lookup_join(variable, heads, "HeadCode").join(ids, "EmpCode")
+    rows = variable.join(heads, "HeadCode").join(ids, "EmpCode")
     return rows.join(applicability(tables, country_id, codes, module), "ED_EMPID").select(
         F.col("ED_EMPID").alias("EmployeeID"),
         F.col("EmpCode").alias("EmployeeCode"),

@@ -1,4 +1,4 @@
-"""Session settings, shared storage, and size-checked broadcasts."""
+"""Session settings, shared storage, and staged tables."""
 
 from __future__ import annotations
 
@@ -7,20 +7,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-
-# A lookup side is broadcast only when it is known to hold at most this many rows.
-BROADCAST_ROWS = 50_000
-# ... or when the optimizer's own upper bound on its bytes is below this.
-BROADCAST_BYTES = 8 * 1024 * 1024
-
-# Rows of one partition when rows are put in order, and the most partitions for that.
-PARTITION_BYTES = 128 * 1024 * 1024
-TINY_PARTITION_BYTES = 256 * 1024
-MAX_PARTITIONS = 20_000
 
 _STAGING: ContextVar[str | None] = ContextVar("staging", default=None)
 
@@ -95,70 +82,6 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def sized_partitions(df: DataFrame) -> int:
-    """Partitions for ordering ``df``: the session's number, fewer for tiny and more for large rows.
-
-    A join's size estimate is far above its size, so only other plans are sized by it.
-    """
-    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if not hasattr(df, "_jdf"):
-        return base
-    plan = df._jdf.queryExecution().optimizedPlan()
-    if "Join " in plan.toString():
-        return base
-    size = int(str(plan.stats().sizeInBytes()))
-    few, many = size // TINY_PARTITION_BYTES + 1, size // PARTITION_BYTES + 1
-    return max(min(base, few), min(many, MAX_PARTITIONS))
-
-
-def _bounded_by_statistics(df: DataFrame) -> bool:
-    """Whether the optimizer's byte estimate proves ``df`` small.
-
-    The estimate is an upper bound for scans, filters, joins and aggregates, but not
-    once lists are exploded.
-    """
-    if not hasattr(df, "_jdf"):
-        return False
-    plan = df._jdf.queryExecution().optimizedPlan()
-    estimate = int(str(plan.stats().sizeInBytes()))
-    return estimate <= BROADCAST_BYTES and "Generate " not in plan.toString()
-
-
-def settle(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
-    """``df`` (flat columns) evaluated once as a local table, or None beyond ``max_rows`` rows.
-
-    Configuration lookups are joined from several tables and used in several places;
-    fetching at most ``max_rows + 1`` rows both proves the bound and saves the repeats.
-    """
-    rows = df.take(max_rows + 1)
-    if len(rows) > max_rows:
-        return None
-    schema = to_arrow_schema(df.schema)
-    columns = [pa.array([row[i] for row in rows], type=field.type) for i, field in enumerate(schema)]
-    table = pa.Table.from_arrays(columns, schema=schema)
-    # One partition: what follows from a bounded table needs no exchange.
-    return df.sparkSession.createDataFrame(table, schema=df.schema).coalesce(1)
-
-
-def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    on,
-    how: str = "inner",
-    max_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """Join facts to a lookup: broadcast when proven small, else a shuffle join.
-
-    For the shuffle join the lookup is staged first, see ``staged_join``.
-    """
-    if _bounded_by_statistics(lookup):
-        return facts.join(F.broadcast(lookup), on, how)
-    local = settle(lookup, max_rows)
-    if local is not None:
-        return facts.join(F.broadcast(local), on, how)
-    return staged_join(facts, lookup, on, how)
-
-
 def staged_join(facts: DataFrame, side: DataFrame, on, how: str = "inner", label: str = "side") -> DataFrame:
     """Join facts to a side that is computed first and written out.
 

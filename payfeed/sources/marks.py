@@ -7,11 +7,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from payfeed.operators.batching import number_rows
-
 
 def latest_mark(marks: DataFrame, per_source: bool = True) -> DataFrame:
     """Newest mark per source, or the newest mark of all."""
@@ -33,7 +31,7 @@ def next_mark(
 ) -> DataFrame:
     """Mark of every source after a delivery.
 
-    ``outcomes`` has source_db, batch_no, part, status, min_timestamp and max_timestamp.
+    ``outcomes`` has source_db, batch_no, status, min_timestamp and max_timestamp.
 
     * ``last_success``: newest time of the last batch that was delivered, even where an
       earlier batch failed or the mark moves back.
@@ -48,7 +46,7 @@ def next_mark(
     reached = F.col("max_timestamp") + step if bump else F.col("max_timestamp")
     open_batch = F.coalesce(~ok, F.lit(True))
     summary = outcomes.groupBy("source_db").agg(
-        F.max_by(F.when(ok, reached), F.when(ok, F.struct("batch_no", "part"))).alias("_last"),
+        F.max_by(F.when(ok, reached), F.when(ok, F.col("batch_no"))).alias("_last"),
         F.max(F.when(ok, reached)).alias("_newest"),
         F.min(F.when(open_batch, F.col("min_timestamp"))).alias("_open"),
         F.max(open_batch & F.col("min_timestamp").isNull()).alias("_undated"),
@@ -70,7 +68,5 @@ def next_mark(
 def commit_mark(marks: DataFrame, new: DataFrame) -> DataFrame:
     """Rows to append so that ``new`` becomes the newest mark of its sources."""
     top = marks.agg(F.coalesce(F.max("ID"), F.lit(0)).alias("m")).first()["m"]
-    numbered = number_rows(new.select("source_db", "last_timestamp"), ["source_db"])
-    return numbered.select(
-        (F.lit(top + 1) + F.col("row_index")).cast("int").alias("ID"), "last_timestamp", "source_db"
-    )
+    place = F.row_number().over(Window.orderBy("source_db"))  # one row a source
+    return new.select((F.lit(top) + place).cast("int").alias("ID"), "last_timestamp", "source_db")

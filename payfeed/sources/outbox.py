@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
-from payfeed.functions.fields import iso_text
+from payfeed.functions.fields import iso_text, ntz
 
 JSON_OPTIONS = {"ignoreNullFields": "false"}
 
@@ -30,7 +32,7 @@ def api_payload(record_key: str, records: str = "records") -> Column:
     return F.to_json(F.struct(F.col(records).alias(record_key), F.col("subscription_name")), JSON_OPTIONS)
 
 
-def batch_id(feed: str, content: Column) -> Column:
+def batch_id(feed: str, digest: Column) -> Column:
     """The same batch of the same increment always gets the same id."""
     return F.sha2(
         F.concat_ws(
@@ -38,10 +40,9 @@ def batch_id(feed: str, content: Column) -> Column:
             F.lit(feed),
             F.coalesce(F.col("source_db"), F.lit("")),
             F.col("batch_no").cast("string"),
-            F.col("part").cast("string"),
             F.coalesce(F.col("min_timestamp").cast("string"), F.lit("")),
             F.coalesce(F.col("max_timestamp").cast("string"), F.lit("")),
-            F.sha2(content, 256),
+            digest,
         ),
         256,
     )
@@ -51,12 +52,32 @@ def write_outbox(envelopes: DataFrame, path: str, mode: str = "append", fmt: str
     envelopes.write.mode(mode).format(fmt).save(path)
 
 
-def new_batches(envelopes: DataFrame, log: DataFrame) -> DataFrame:
-    """Envelopes not yet delivered according to the log."""
+def new_batches(envelopes: DataFrame, log: DataFrame, since: dt.datetime | None = None) -> DataFrame:
+    """Envelopes not yet delivered according to the log.
+
+    ``since`` limits the log to rows written from then on: a batch of rows newer than a mark
+    cannot have been logged before that mark was reached.
+    """
+    if since is not None:
+        log = log.where(F.col("Timestamp") >= ntz(since))
     done = log.where(F.col("Status") == "SUCCESS").select("batch_id")
     return envelopes.join(done, "batch_id", "left_anti")
 
 
+def message_bodies(sent: DataFrame, records: DataFrame, record_key: str) -> DataFrame:
+    """Batches with their JSON ``body``, for deliveries that take a batch in one message.
+
+    ``records`` are the rows of these batches; what a body holds must fit a row.
+    """
+    ordered = F.array_sort(F.collect_list(F.struct("place", "record")))
+    texts = records.groupBy("batch_id").agg(F.transform(ordered, lambda x: x["record"]).alias("_texts"))
+    head = F.to_json(F.struct(F.col("subscription_name")), JSON_OPTIONS)
+    body = F.concat(
+        F.lit('{"' + record_key + '":['), F.array_join("_texts", ","), F.lit("],"), F.substring(head, F.lit(2), F.length(head))
+    )
+    return sent.join(texts, "batch_id").withColumn("body", body).drop("_texts")
+
+
 def parse_envelopes(
     messages: DataFrame,
     record_schema: StructType,

@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from payfeed.session import lookup_join
 
 # The tables the feeds read.
 HR_TABLES = (
@@ -35,6 +34,7 @@ def bind_tables(
     *,
     catalog: str | None = None,
     jdbc: dict[str, str] | None = None,
+    jdbc_tables: dict[str, dict[str, str]] | None = None,
     names: dict[str, str] | None = None,
     tables: tuple[str, ...] = HR_TABLES,
     fmt: str = "parquet",
@@ -42,7 +42,8 @@ def bind_tables(
     """HR tables of one source: files under ``root``, a catalog schema, or a JDBC database.
 
     ``names`` maps a table to its name in the source. A JDBC source is given by its
-    reader options (url, driver, partitioning columns and so on).
+    reader options (url, driver and so on), and ``jdbc_tables`` adds or replaces options of single
+    tables, such as the column and bounds by which each is read in parallel.
     """
     if sum(x is not None for x in (root, catalog, jdbc)) != 1:
         raise ValueError("give exactly one of root, catalog and jdbc")
@@ -54,7 +55,8 @@ def bind_tables(
             return spark.read.format(fmt).load(f"{root.rstrip('/')}/{name}")
         if catalog is not None:
             return spark.table(f"{catalog}.{name}")
-        return spark.read.format("jdbc").options(**{**jdbc, "dbtable": name}).load()
+        own = (jdbc_tables or {}).get(table, {})
+        return spark.read.format("jdbc").options(**{**jdbc, "dbtable": name, **own}).load()
 
     return {table: load(table) for table in tables}
 
@@ -82,6 +84,6 @@ def route(envelopes: DataFrame, sources: DataFrame, by: str = "subscription_name
         .select("_route", *[F.col(f"_s.{c}").alias(f"source_{c}") for c in rest])
         .withColumn("_known", F.lit(True))
     )
-    joined = lookup_join(envelopes, known, F.col(by) == F.col("_route"), how="left")
+    joined = envelopes.join(known, F.col(by) == F.col("_route"), "left")
     missing = F.concat(F.lit("no source configured for "), F.coalesce(F.col(by), F.lit("null")))
     return joined.withColumn("route_error", F.when(F.col("_known").isNull(), missing)).drop("_route", "_known")

@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from payfeed.plans.increment import Feed, cut, pack
+from payfeed.plans.increment import Feed, batches_of
 from payfeed.session import materialize, staging
 
-Shape = Callable[[DataFrame, int], DataFrame]
+Shape = Callable[[DataFrame, int], dict[str, DataFrame]]
 
 
 def arriving(
@@ -27,18 +27,22 @@ def arriving(
     now: Callable[[], dt.datetime] = dt.datetime.now,
     **options,
 ) -> Shape:
-    """Envelopes of arrived rows of ``table``, the other tables as they are.
+    """Batches, records and rejects of arrived rows of ``table``, the other tables as they are.
 
     For feeds whose rows come from one table of changes (attendance, overtime, salary,
     variable pay of India). Whatever arrives has changed, so no mark is needed.
     """
 
-    def shape(rows: DataFrame, epoch: int) -> DataFrame:
+    def shape(rows: DataFrame, epoch: int) -> dict[str, DataFrame]:
         as_of = now()
         bound = ChainMap({table: adapt(rows)}, tables)
         built = feed.build(bound, mark=dt.datetime.min, as_of=as_of, **{**feed.options, **options})
         staged = materialize(built.withColumn("source_db", F.lit(source)), feed.name)
-        return pack(cut(staged, feed, staged=True), feed, {source: subscription}, as_of).drop("records")
+        batches, records = batches_of(staged, feed, {source: subscription}, as_of)
+        out = {"batches": batches, "records": records}
+        if feed.rejects is not None:
+            out["rejects"] = feed.rejects(bound, dt.datetime.min, as_of).withColumn("source_db", F.lit(source))
+        return out
 
     return shape
 
@@ -57,10 +61,9 @@ def stream_increment(
 ) -> None:
     """Process all files that have arrived, then stop; the next call goes on from there.
 
-    ``shape(rows, epoch)`` turns the arrived rows into what is written (``arriving``
-    makes one for a feed). Every
-    micro-batch overwrites its own folder, so one that is repeated after a failure
-    replaces what it left behind.
+    ``shape(rows, epoch)`` turns the arrived rows into tables by name (``arriving``
+    makes one for a feed), each written under its name in ``outbox``. Every micro-batch overwrites its
+    own folders, so one that is repeated after a failure replaces what it left behind.
     """
     reader = spark.readStream.format(fmt).schema(schema)
     if glob:
@@ -70,7 +73,8 @@ def stream_increment(
 
     def deliver(rows: DataFrame, epoch: int) -> None:
         with staging(spark):
-            shape(rows, epoch).write.mode("overwrite").parquet(f"{outbox}/epoch={epoch}")
+            for name, table in shape(rows, epoch).items():
+                table.write.mode("overwrite").parquet(f"{outbox}/{name}/epoch={epoch}")
 
     query = (
         reader.load(in_path)

@@ -127,7 +127,7 @@ def test_delivered_batches_are_not_offered_again(sent, results):
 # ---- marks -----------------------------------------------------------------------
 
 MARK = "ID int, last_timestamp timestamp_ntz, source_db string"
-OUTCOME = "source_db string, batch_no int, part int, status string, min_timestamp timestamp_ntz, max_timestamp timestamp_ntz"
+OUTCOME = "source_db string, batch_no int, status string, min_timestamp timestamp_ntz, max_timestamp timestamp_ntz"
 
 
 def test_latest_mark_may_be_empty(spark):
@@ -138,7 +138,7 @@ def test_latest_mark_may_be_empty(spark):
 
 
 def outcome(spark, *rows):
-    return spark.createDataFrame([("A", i, 0, s, T0 + lo * HOUR, T0 + hi * HOUR) for i, (s, lo, hi) in enumerate(rows)], OUTCOME)
+    return spark.createDataFrame([("A", i, s, T0 + lo * HOUR, T0 + hi * HOUR) for i, (s, lo, hi) in enumerate(rows)], OUTCOME)
 
 
 def test_last_success_can_skip_a_failure(spark):
@@ -167,7 +167,7 @@ def test_safe_mark(spark, rows, want):
 
 def test_safe_mark_stays_when_an_undated_batch_failed(spark):
     old = spark.createDataFrame([(1, T0, "A")], MARK)
-    rows = spark.createDataFrame([("A", 0, 0, "SUCCESS", T0, T0 + HOUR), ("A", 1, 0, "FAILED", None, T0 + HOUR)], OUTCOME)
+    rows = spark.createDataFrame([("A", 0, "SUCCESS", T0, T0 + HOUR), ("A", 1, "FAILED", None, T0 + HOUR)], OUTCOME)
     assert marks.next_mark(rows, old).first().last_timestamp == T0
 
 
@@ -178,7 +178,7 @@ def test_safe_mark_never_goes_back_or_past_a_failure(spark):
         old.append((n, T0 + random.randint(-5, 20) * HOUR if n % 4 else None, f"s{n}"))
         for b in range(random.randint(1, 5)):
             lo = random.randint(-5, 20)
-            rows.append((f"s{n}", b, 0, random.choice(["SUCCESS", "SUCCESS", "FAILED"]), T0 + lo * HOUR, T0 + (lo + random.randint(0, 5)) * HOUR))
+            rows.append((f"s{n}", b, random.choice(["SUCCESS", "SUCCESS", "FAILED"]), T0 + lo * HOUR, T0 + (lo + random.randint(0, 5)) * HOUR))
     got = dict(marks.next_mark(spark.createDataFrame(rows, OUTCOME), spark.createDataFrame(old, MARK)).collect())
     for _, before, source in old:
         mine = [r for r in rows if r[0] == source]
