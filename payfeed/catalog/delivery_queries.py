@@ -6,20 +6,21 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DataType, DoubleType, LongType, StringType, StructField, StructType
 
-from payfeed.catalog.feed_queries import feed_attendance, feed_overtime
+from payfeed.catalog.feed_queries import feed_attendance, feed_onboarding_in, feed_onboarding_ph, feed_overtime
 from payfeed.catalog.registry import ROSTER_AS_OF, ROSTER_MARK, query
 from payfeed.catalog.star_schema import hr_tables, read, rostering
 from payfeed.functions.fields import ntz
 from payfeed.operators.batching import batch_keys, batch_rows, envelopes, iso_records
 from payfeed.operators.predicates import current_salary
 from payfeed.plans import attendance
+from payfeed.plans.consume import consume
 from payfeed.plans.increment import FEEDS, run_increment, write_batches
 from payfeed.plans.overtime import overtime_rejects
 from payfeed.session import materialize, run_path
-from payfeed.sources.delivery import apply_outcomes, batch_log
-from payfeed.sources.marks import commit_mark, latest_mark, next_mark
+from payfeed.sources.delivery import append_log, apply_outcomes, batch_log
+from payfeed.sources.marks import append_marks, latest_mark, next_mark
 from payfeed.sources.outbox import decode_envelopes, envelope_message, new_batches
 from payfeed.sources.tables import fan_in, route
 from payfeed.streaming.stream import arriving
@@ -118,13 +119,20 @@ _OLD = """SELECT n + 1 AS ID, CASE n % 3 WHEN 1 THEN TIMESTAMP '1999-06-01 00:00
         FROM outcomes WHERE status = 'SUCCESS'), fresh AS (
         SELECT s.source_db, coalesce(ok.max_timestamp + INTERVAL 1 MICROSECOND, old.last_timestamp) AS last_timestamp
         FROM (SELECT DISTINCT source_db FROM outcomes) s LEFT JOIN ok ON ok.source_db = s.source_db AND ok.n = 1
-        LEFT JOIN old ON old.source_db = s.source_db)
-    SELECT CAST((SELECT max(ID) FROM old) + row_number() OVER (ORDER BY source_db) AS INT) AS "ID", last_timestamp, source_db FROM fresh""",
+        LEFT JOIN old ON old.source_db = s.source_db),
+        moved AS (SELECT fresh.* FROM fresh LEFT JOIN old USING (source_db) WHERE fresh.last_timestamp IS DISTINCT FROM old.last_timestamp)
+    SELECT CAST((SELECT max(ID) FROM old) + row_number() OVER (ORDER BY source_db) AS INT) AS "ID", last_timestamp, source_db FROM moved""",
 )
 def advance_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = old_marks(spark, sf_dir)
-    new = next_mark(order_outcomes(spark, sf_dir), marks, policy="last_success", bump=True)
-    return commit_mark(marks, new)
+    new = materialize(next_mark(order_outcomes(spark, sf_dir), marks, policy="last_success", bump=True), "new")
+    path = run_path(spark, "marks")
+    marks.write.parquet(path)
+    for _ in range(2):  # a repeated commit adds nothing
+        append_marks(new, path)
+    top = marks.agg(F.max("ID")).first()[0]
+    written = spark.read.parquet(path).where(F.col("ID") > top)
+    return written.select("ID", "last_timestamp", "source_db")
 
 
 @query(
@@ -191,10 +199,11 @@ def outcomes_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def batch_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent, results = order_envelopes(spark, sf_dir), order_results(spark, sf_dir)
-    logs = [
-        batch_log(apply_outcomes(sent, results, feed), dt.datetime(2001, 8, 2), feed).withColumn("feed", F.lit(feed))
-        for feed in ("onboarding", "attendance")
-    ]
+    path = run_path(spark, "log")
+    for feed in ("onboarding", "attendance", "attendance"):  # a repeated call adds nothing
+        log = batch_log(apply_outcomes(sent, results, feed), dt.datetime(2001, 8, 2), feed)
+        append_log(log, f"{path}/{feed}")
+    logs = [spark.read.parquet(f"{path}/{feed}").withColumn("feed", F.lit(feed)) for feed in ("onboarding", "attendance")]
     return logs[0].unionByName(logs[1])
 
 
@@ -207,8 +216,10 @@ def replay_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same batches offered again: only those not delivered remain."""
     sent = order_envelopes(spark, sf_dir)
     outcomes = apply_outcomes(sent, order_results(spark, sf_dir), "onboarding")
-    log = batch_log(outcomes, dt.datetime(2001, 8, 2), "onboarding")
-    return new_batches(sent, log).select("batch_id", "batch_size")
+    path = run_path(spark, "log")
+    append_log(batch_log(outcomes, dt.datetime(2001, 8, 2), "onboarding"), path)
+    log = spark.read.parquet(path)
+    return new_batches(sent, log, dt.datetime(2001, 8, 1)).select("batch_id", "batch_size")
 
 
 @query(
@@ -388,3 +399,36 @@ def unreadable_overtime(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.when(F.col("OT_Param_json").isNotNull(), F.coalesce(broken, F.col("OT_Param_json")))
     found = overtime_rejects(roster.withColumn("OT_Param_json", text))
     return found.select("EmpCode", "Date", "OT_UpdatedDate", "reason")
+
+
+def _as_json(dtype: str) -> str:
+    """The Spark type that a feed column has in a message."""
+    return "string" if dtype == "date" or dtype.startswith("timestamp") else "double" if dtype.startswith("decimal") else dtype
+
+
+@query(
+    "consume_onboarding",
+    """SELECT 'INDIA' AS country, EmployeeCode AS employee_code, count(*) AS n, max(coalesce(MonthlyAmount, 0.0)) AS monthly,
+    CAST(NULL AS VARCHAR) AS error FROM onboarding_india_rows GROUP BY EmployeeCode
+    UNION ALL
+    SELECT 'PHILIPPINES', EmployeeCode, count(*), max(coalesce(MonthlyRate, 0.0)), NULL
+    FROM onboarding_philippines_rows GROUP BY EmployeeCode
+    UNION ALL
+    SELECT NULL, NULL, 1, NULL, 'no source configured for nobody' FROM (SELECT count(*) FROM customer) c""",
+)
+def consume_onboarding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of an Indian and a Philippine source, and one of no source, in one call."""
+    feeds = {"INDIA": feed_onboarding_in(spark, sf_dir), "PHILIPPINES": feed_onboarding_ph(spark, sf_dir)}
+    schemas, sent = {}, []
+    for country, rows in feeds.items():
+        schemas[country] = StructType([StructField(c, DataType.fromDDL(_as_json(t))) for c, t in rows.dtypes])
+        folded = envelopes(iso_records(rows, rows.columns).withColumn("_key", F.col("EmployeeCode")), rows.columns, ["_key"], ["PayHeadCategoryID", "EmployeeID"])
+        named = folded.withColumn("source_db", F.lit("db")).withColumn("subscription_name", F.lit(f"sub-{country}"))
+        sent.append(named.select(F.concat_ws("-", F.lit(country), "_key").alias("message_id"), envelope_message(("subscription_name",)).alias("message")))
+    stray = read(spark, sf_dir, "customer").agg(F.lit("stray").alias("message_id"), F.lit('{"records":[{}],"subscription_name":"nobody"}').alias("message"))
+    sources = spark.createDataFrame([(c.lower(), f"sub-{c}", c) for c in feeds], "name string, subscription_name string, country string")
+    got = consume(sent[0].unionByName(sent[1]).unionByName(stray), "onboarding", sources, schemas, ROSTER_AS_OF)
+    return got.groupBy("country", F.get_json_object("record", "$.employee_code").alias("employee_code"), "error").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max(F.get_json_object("record", "$.monthly_rate").cast("double")).alias("monthly"),
+    )

@@ -230,3 +230,60 @@ def payload_variable_ph(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("payload_variable_th", _VARIABLE_PHILIPPINES)
 def payload_variable_th(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payloads.project(feed_variable_ph(spark, sf_dir), "variable", "THAILAND", corrected=False)
+
+
+# ---- the same payloads in the form that is sent: corrected field names -------------
+
+@query(
+    "payload_onboarding_ph_corrected",
+    f"""SELECT '2026-01-01' AS "DOJ", '2026-01-01' AS from_date, EmployeeCode AS employee_code, lower(PayheadCode) AS payhead_code,
+    {_ints('''country_id<-CountryId employee_id<-EmployeeID gender<-Gender leave_encash_applicable<-LeenPayApp
+    ot_applicable<-Otapplicable payhead_category_id<-PayHeadCategoryID payhead_id<-PayheadId
+    philhealth_employee<-Philhealthemployee sss_employee<-Sssemployee''')},
+    coalesce(MonthlyRate, 0.0) AS monthly_rate, coalesce(YearlyRate, 0.0) AS yearly_rate,
+    {_constants('''absent_deduction_applicable exemption income_tax_applicable pag_ibig_hdmf_employee pag_ibig_hdmf_employer
+    philhealth_employer sss_ecr_contri sss_employer voluntary_employee_contribution_app
+    workers_investment_and_savings_program_app w_tax''', 0)}
+    FROM onboarding_philippines_rows""",
+)
+def payload_onboarding_ph_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return payloads.project(feed_onboarding_ph(spark, sf_dir), "onboarding", "PHILIPPINES")
+
+
+@query(
+    "payload_salary_in_corrected",
+    f"""SELECT {_SALARY_COMMON}, CAST(EffDate AS VARCHAR)[:10] AS eff_date, '2026-2027' AS fin_year, lower(PayHead) AS payhead_code,
+    CAST(format('{{:.2f}}', MonthlyAmount) AS DOUBLE) AS monthly_rate, YearlyAmount AS yearly_rate,
+    {_ints('payhead_id<-PayHeadID income_tax_applicable<-IsTaxApplicable ot_applicable<-IsOTApplicable')},
+    {_constants('ssc_employee', 1)} FROM salary_india_rows""",
+)
+def payload_salary_in_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return payloads.project(feed_salary_in(spark, sf_dir), "salary", "INDIA", as_of=SALARY_AS_OF)
+
+
+@query(
+    "payload_salary_ph_corrected",
+    f"""SELECT EmployeeCode AS employee_code, CAST(EffDate AS VARCHAR)[:10] AS eff_date, CAST(FromDate AS VARCHAR)[:10] AS from_date,
+    lower(PayheadCode) AS payhead_code, '2026-2026' AS fin_year, MonthlyRate AS monthly_rate, YearlyRate AS yearly_rate,
+    {_ints('''country_id<-CountryId employee_id<-EmployeeID gender<-Gender ot_applicable<-Otapplicable
+    payhead_category_id<-PayHeadCategoryID payhead_id<-PayheadId philhealth_employee<-Philhealthemployee
+    sss_employee<-Sssemployee''')},
+    {_constants('''absent_deduction_applicable exemption income_tax_applicable pag_ibig_hdmf_employee pag_ibig_hdmf_employer
+    philhealth_employer sss_ecr_contri sss_employer voluntary_employee_contribution_app w_tax
+    workers_investment_and_savings_program_app''', 0)},
+    {_constants('leave_encash_applicable ot_arrear_applicable', 1)}
+    FROM salary_philippines_rows""",
+)
+def payload_salary_ph_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return payloads.project(feed_salary_ph(spark, sf_dir), "salary", "PHILIPPINES", as_of=SALARY_AS_OF)
+
+
+@query(
+    "payload_salary_th_corrected",
+    f"""SELECT {_SALARY_COMMON}, coalesce(CAST(EffDate AS VARCHAR)[:10], 'None') AS eff_date, '2026-2026' AS fin_year,
+    lower(PayheadCode) AS payhead_code, CAST(format('{{:.2f}}', MonthlyRate) AS DOUBLE) AS monthly_rate, YearlyRate AS yearly_rate,
+    {_ints('payhead_id<-PayheadId income_tax_applicable<-TaxApp ot_applicable<-Otapplicable ssc_employee<-Sssemployee')}
+    FROM salary_thailand_rows""",
+)
+def payload_salary_th_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return payloads.project(feed_salary_th(spark, sf_dir), "salary", "THAILAND", as_of=SALARY_AS_OF)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payfeed.functions.fields import ntz
@@ -64,3 +65,24 @@ def batch_log(outcomes: DataFrame, at: dt.datetime, feed: str) -> DataFrame:
         F.col("is_complete").alias("IsBatchComplete"),
         payload.alias("Payload"),
     )
+
+
+def append_log(log: DataFrame, path: str) -> None:
+    """Append log rows that the log at ``path`` does not have; a call that is repeated adds nothing.
+
+    One program writes a log at a time.
+    """
+    known = stored(log.sparkSession, path)
+    if known is not None:
+        log = log.join(known.select("batch_id", "Status", "Timestamp"), ["batch_id", "Status", "Timestamp"], "left_anti").select(*log.columns)
+    log.write.mode("append").parquet(path)
+
+
+def stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None where nothing was written yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None

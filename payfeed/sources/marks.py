@@ -70,3 +70,15 @@ def commit_mark(marks: DataFrame, new: DataFrame) -> DataFrame:
     top = marks.agg(F.coalesce(F.max("ID"), F.lit(0)).alias("m")).first()["m"]
     place = F.row_number().over(Window.orderBy("source_db"))  # one row a source
     return new.select((F.lit(top) + place).cast("int").alias("ID"), "last_timestamp", "source_db")
+
+
+def append_marks(new: DataFrame, path: str) -> None:
+    """Append the marks in ``new`` (source_db, last_timestamp) that move a source; repeating adds nothing.
+
+    The table at ``path`` must exist. One program writes it at a time.
+    """
+    marks = new.sparkSession.read.parquet(path)
+    now = latest_mark(marks).select(F.col("source_db").alias("_source"), F.col("last_timestamp").alias("_now"))
+    same = F.col("source_db").eqNullSafe(F.col("_source")) & F.col("last_timestamp").eqNullSafe(F.col("_now"))
+    moved = new.join(now, same, "left_anti").select("source_db", "last_timestamp")
+    commit_mark(marks, moved).write.mode("append").parquet(path)
