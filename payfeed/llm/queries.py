@@ -145,3 +145,58 @@ def op4_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     from payfeed.llm.imatch import compare_with_edits
 
     return compare_with_edits(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op7_warc"] = """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages),
+    first AS (SELECT html, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY html)
+    SELECT page_id, payload_bytes, sha256(html) AS payload_digest,
+           CASE WHEN page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+    FROM p LEFT JOIN first USING (html)
+"""
+
+ORACLES["op3_substring_dedup"] = r"""
+    WITH listed AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+    placed AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM listed),
+    windows AS (
+        SELECT doc_id, pos, word,
+               CASE WHEN count(*) OVER ahead = 35 THEN string_agg(word, ' ') OVER ahead END AS seq
+        FROM placed WINDOW ahead AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)
+    ),
+    counted AS (SELECT *, seq IS NOT NULL AND count(*) OVER (PARTITION BY seq) > 1 AS again FROM windows),
+    covered AS (
+        SELECT doc_id, pos, word,
+               max(CAST(again AS INT)) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
+        FROM counted
+    ),
+    kept AS (
+        SELECT doc_id, count(*) AS n_words, sum(gone) AS n_removed,
+               coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (WHERE gone = 0), '') AS text
+        FROM covered GROUP BY doc_id
+    )
+    SELECT d.doc_id, coalesce(n_words, 0) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+           sha256(coalesce(kept.text, '')) AS kept_sha256
+    FROM documents d LEFT JOIN kept USING (doc_id)
+"""
+
+_FOLDED = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+ORACLES["op5_decontamination"] = f"""
+    WITH docs AS (SELECT doc_id, {_FOLDED} AS words FROM documents),
+    items AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_FOLDED} AS words FROM benchmark),
+    starts AS (SELECT item_id, words, unnest(generate_series(1, greatest(1, len(words) - 9))) AS pos0 FROM items WHERE len(words) > 0),
+    phrases AS (SELECT DISTINCT item_id, array_to_string(words[pos0:pos0 + 9], ' ') AS phrase, least(len(words), 10) AS size FROM starts),
+    places AS (
+        SELECT doc_id, words, size, unnest(generate_series(1, CAST(len(words) - size + 1 AS BIGINT))) AS pos0
+        FROM docs, (SELECT DISTINCT size FROM phrases) s WHERE len(words) >= size
+    ),
+    found AS (
+        SELECT doc_id, pos0, p.size, item_id FROM places
+        JOIN phrases p ON p.size = places.size AND p.phrase = array_to_string(words[pos0:pos0 + places.size - 1], ' ')
+    ),
+    hit AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(generate_series(pos0, pos0 + size - 1)) AS pos FROM found) h GROUP BY doc_id),
+    named AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM found) n GROUP BY doc_id)
+    SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+    FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
