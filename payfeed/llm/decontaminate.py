@@ -29,11 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from payfeed.llm.caches import claim
 from payfeed.session import materialize
 
 WINDOW = 10
 PHRASES = 100_000
-SHARD_WORDS = 1_000_000
+SHARD_WORDS = 500_000
 SAMPLE = 16
 # Symbols that no phrase has: the end of an index, and whatever stands between known words.
 END, SEPARATOR = 0, 1
@@ -238,18 +239,18 @@ def _search_block(rows: DataFrame, columns: list[str], block, result_fields, fir
     names = [n for n, _ in result_fields]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("")
         phrases = _Phrases(*block.value)
         for batch in batches:
-            words, at, shard = [], 0, []
+            words, at, size = [], 0, 0
             texts = batch.column("_text").to_pylist()
             for i, text in enumerate(texts):
                 words.append(fold_words(text))
-                if sum(map(len, words[-1:])) + (shard[-1] if shard else 0) >= SHARD_WORDS or i == len(texts) - 1:
+                size += len(words[-1])
+                if size >= SHARD_WORDS or i == len(texts) - 1:
                     found = _search_shard(words, phrases)
                     yield _merged(batch.slice(at, len(words)), words, found, phrases, keep, names, first)
-                    at, words, shard = i + 1, [], []
-                else:
-                    shard.append((shard[-1] if shard else 0) + len(words[-1]))
+                    words, at, size = [], i + 1, 0
 
     base = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name not in names)
     return rows.mapInArrow(search, base + ", " + ", ".join(f"{n} {t}" for n, t in result_fields))

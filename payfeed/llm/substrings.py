@@ -35,6 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from payfeed.llm.caches import claim, register
 from payfeed.session import materialize
 
 WINDOW = 35
@@ -46,6 +47,7 @@ SLOTS = 1 << 18
 MAX_WORDS = 300_000
 
 _WORDS: dict[bytes, int] = {}
+register("words", _WORDS.clear)
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
@@ -116,6 +118,7 @@ def frequent_slots(docs: DataFrame) -> tuple[np.ndarray, int]:
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        claim("words")
         counts, n_words = np.zeros(SLOTS, np.int64), 0
         for batch in batches:
             words: list[bytes] = []
@@ -199,6 +202,7 @@ MOVED = "dest long, chunk string, kind int, bucket long, payload binary"
 
 def _send(slots: np.ndarray, buckets: int, window: int):
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        claim("words")
         frequent = np.zeros(SLOTS, bool)
         frequent[slots] = True
         part, number, chunk = TaskContext.get().partitionId(), 0, _Chunk()
@@ -262,6 +266,7 @@ def _count(window: int):
                 yield 0, chunk, 1, bucket, zstandard.ZstdCompressor(level=1).compress(mine.astype("<i4").tobytes())
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        claim("words")
         bucket, blobs = None, []
         for batch in batches:
             out = []
@@ -357,7 +362,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     def keep(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        claim("")
+        for batch in (whole.slice(at, 1024) for whole in batches for at in range(0, whole.num_rows, 1024)):
             texts, counts, removed = [], [], []
             for text, ranges in zip(batch.column("_text").to_pylist(), batch.column("_ranges").to_pylist()):
                 words = _words(text)

@@ -14,6 +14,8 @@ import os
 import re
 from array import array
 
+from payfeed.llm.caches import claim, register
+
 # Units remembered by a worker before it starts anew; about 150 MB.
 MAX_UNITS = 1_000_000
 
@@ -22,6 +24,7 @@ _SPACE_PAIRS = [c + " " for c in _SPACES]
 _ASCII_PAIRS = [c + " " for c in _SPACES if c < "\x80"]
 _WORD_AND_MARKS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
 _ENCODERS: dict[str, UnitEncoder] = {}
+register("units", _ENCODERS.clear)
 
 
 class UnitEncoder:
@@ -118,6 +121,7 @@ def _cut_rule(spec: dict) -> str | None:
 
 def encoder(path: str) -> UnitEncoder:
     """This worker's encoder for a tokenizer file."""
+    claim("units")
     if path not in _ENCODERS:
         _ENCODERS[path] = UnitEncoder(path)
     return _ENCODERS[path]
