@@ -64,6 +64,8 @@ def employee_roll(
     Everything that depends on the employee alone, in one table to be staged: rows are
     then shuffled on the employee once, and the hot ones can be split.
     """
+    if keys is not None:
+        staff = staff.join(keys.select("EmpCode"), "EmpCode", "left_semi")
     roll = employee_pay_groups(tables, module, keys).join(staff, "EmpCode")
     return materialize(roll, "roll")
 

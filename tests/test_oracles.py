@@ -5,6 +5,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import frame, oracle
+from payfeed.catalog.all_queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,7 +13,7 @@ def con(sf_dir):
     return oracle(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, sf_dir, con, name):
     got = frame(queries()[name](spark, sf_dir).toPandas())
     relation = con.sql(oracle_sql()[name])

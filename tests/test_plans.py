@@ -5,6 +5,7 @@ import re
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
+from payfeed.catalog.all_queries import ORACLES, QUERIES
 from payfeed.catalog.star_schema import hr_tables
 
 FEEDS = sorted(n for n in queries() if n.startswith(("feed_", "payload_")))
@@ -32,7 +33,8 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
 def test_hr_tables_are_lazy(spark, sf_dir):
