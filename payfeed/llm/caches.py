@@ -6,8 +6,12 @@ others had remembered there, so a chain of operators needs no more memory than t
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
 from collections.abc import Callable
 
+import pyarrow as pa
+
 _OWNER: list[str] = [""]
 _RELEASE: dict[str, Callable[[], None]] = {}
 
@@ -23,3 +27,13 @@ def claim(name: str) -> None:
             if other != name:
                 release()
         _OWNER[0] = name
+        _give_back()
+
+
+def _give_back() -> None:
+    """Return freed memory to the system, where the allocators can."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.util.find_library("c")
+    trim = getattr(ctypes.CDLL(libc), "malloc_trim", None) if libc else None
+    if trim is not None:
+        trim(0)

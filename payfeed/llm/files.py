@@ -28,11 +28,17 @@ def fresh_file(folder: str, stem: str, suffix: str) -> str:
     return f"{folder}/{stem}-{uuid.uuid4().hex}{suffix}"
 
 
+# Rows that go to a Python worker at once where the session has Spark's default: whole texts are long.
+BATCH_ROWS = 1500
+
+
 def reach_workers(spark) -> None:
-    """Let Python workers import this package from where the driver has it.
+    """Let Python workers import this package from where the driver has it, and send them small batches.
 
     Enough where all machines see the same installation; else pass the package with ``--py-files``.
     """
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):

@@ -44,7 +44,7 @@ GRAM = 4
 CHUNK_WORDS = 500_000
 BUCKET_WINDOWS = 1_000_000
 SLOTS = 1 << 18
-MAX_WORDS = 300_000
+MAX_WORDS = 200_000
 
 _WORDS: dict[bytes, int] = {}
 register("words", _WORDS.clear)
