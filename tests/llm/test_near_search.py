@@ -1,0 +1,57 @@
+"""Near copies against brute force: cut and appended texts, many versions of one text, small Arrow batches."""
+
+import random
+
+import pytest
+
+from payfeed.llm import neardedup, simhash
+from payfeed.llm.files import BATCH_ROWS
+
+
+def similarity(a, b):
+    return len(a & b) / len(a | b)
+
+
+def least_of_groups(pieces):
+    """The smallest id of the component of each id, over all pairs of similarity 0.8 or more."""
+    root = {i: i for i in pieces}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in sorted(pieces):
+        for j in pieces:
+            if j < i and 5 * len(pieces[i] & pieces[j]) >= 4 * len(pieces[i] | pieces[j]):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return {find(i) for i in pieces}
+
+
+def versions(rng, words, counts, n):
+    """``n`` versions of a text of so many words, each with some words replaced."""
+    base = [f"w{rng.randint(0, 3000)}" for _ in range(words)]
+    out = []
+    for _ in range(n):
+        new = list(base)
+        for at in rng.sample(range(words), rng.choice(counts)):
+            new[at] = f"x{rng.randint(0, 10**6)}"
+        out.append(" ".join(new))
+    return out
+
+
+def test_cut_and_appended_texts_at_the_limit(make_docs):
+    rng = random.Random(12)
+    word = lambda: f"w{int(rng.paretovariate(0.6)) % 5000}"
+    rows = []
+    for i in range(300):
+        n = 5 * rng.randint(8, 100)
+        words = [word() for _ in range(n + 4)]
+        rows.append((2 * i, " ".join(words)))
+        rows.append((2 * i + 1, " ".join(words[: n * 4 // 5 + 4] if i % 2 else words + [word() for _ in range(n // 4)])))
+    pieces = {d: set(neardedup.shingles(t)) for d, t in rows}
+    at_limit = sum(0.8 <= similarity(pieces[2 * i], pieces[2 * i + 1]) <= 0.82 for i in range(300))
+    assert at_limit > 200
+    kept = {r.doc_id for r in neardedup.drop_near_duplicates(make_docs(rows)).collect()}
+    assert kept == least_of_groups(pieces)
