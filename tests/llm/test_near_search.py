@@ -55,3 +55,15 @@ def test_cut_and_appended_texts_at_the_limit(make_docs):
     assert at_limit > 200
     kept = {r.doc_id for r in neardedup.drop_near_duplicates(make_docs(rows)).collect()}
     assert kept == least_of_groups(pieces)
+
+
+@pytest.mark.parametrize("cell", [16, 256])
+def test_many_versions_of_one_text(make_docs, monkeypatch, cell):
+    monkeypatch.setattr(neardedup, "CELL", cell)
+    rng = random.Random(13)
+    texts = versions(rng, 200, [1, 2, 3, 4], 120) + versions(rng, 200, [3], 120) + versions(rng, 100, [2, 3], 60)
+    rows = list(enumerate(texts))
+    pieces = {d: set(neardedup.shingles(t)) for d, t in rows}
+    want = least_of_groups(pieces)
+    assert 3 < len(want) < 200
+    assert {r.doc_id for r in neardedup.drop_near_duplicates(make_docs(rows)).collect()} == want
