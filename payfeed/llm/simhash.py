@@ -142,8 +142,8 @@ class _Block:
         self.members = np.concatenate([self.members, new])
         self.root = np.concatenate([self.root, np.arange(len(self.root), len(self.root) + len(new))])
         out: list[tuple[int, int]] = []
-        if len(self.members) == len(prints) == 1:
-            return out
+        if len(self.members) == len(prints) == len(new) == 1:
+            return out  # a lone entry; a lone looker may follow its entry in a batch of its own
         for at in range(0, len(prints), 1024):
             some = prints[at : at + 1024]
             near = np.bitwise_count(some[:, None] ^ self.members[None, :]) <= self.max_distance

@@ -67,3 +67,23 @@ def test_many_versions_of_one_text(make_docs, monkeypatch, cell):
     want = least_of_groups(pieces)
     assert 3 < len(want) < 200
     assert {r.doc_id for r in neardedup.drop_near_duplicates(make_docs(rows)).collect()} == want
+
+
+@pytest.mark.parametrize("batch", [1, 2, 3])
+def test_links_do_not_depend_on_batches(spark, make_docs, monkeypatch, batch):
+    monkeypatch.setattr(neardedup, "CELL", 4)
+    rng = random.Random(14)
+    base = [rng.getrandbits(62) for _ in range(12)]
+    # Three bits over both halves: the pair meets in one table, as an entry and one that looks.
+    prints = base + [p ^ (1 << rng.randrange(0, 32)) ^ (1 << (a := rng.randrange(32, 46))) ^ (1 << (a + 14)) for p in base]
+    rows = list(enumerate(versions(rng, 60, [1, 2], 25)))
+    pieces = {d: set(neardedup.shingles(t)) for d, t in rows}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        edges = simhash.links(spark.createDataFrame([(p,) for p in prints], "fingerprint long"), 3)
+        roots = {r.node: r.root for r in simhash.components(edges).collect()}
+        kept = {r.doc_id for r in neardedup.drop_near_duplicates(make_docs(rows)).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    assert all(roots.get(p) == min(p, q) and roots.get(q) == min(p, q) for p, q in zip(base, prints[12:]))
+    assert kept == least_of_groups(pieces)
