@@ -5,8 +5,10 @@ characters as one space), hashed to ``DIMENSIONS`` slots, weighted by log counts
 document frequency, and normalised. Document frequencies are counted over all labelled
 rows. Centroids are found by spherical k-means within each language, on a bounded sample:
 about ``SAMPLE`` rows a language, chosen by hash. A text takes the language of the centroid
-with the largest cosine; one whose cosine stays below ``REJECT`` times the least cosine in the
-sample of that language is marked as rejected.
+with the largest cosine. It is marked as rejected if that cosine stays below ``REJECT`` times the
+``LOW`` quantile of the cosines of the ``NEAR`` sample texts of that language that are nearest in length,
+each measured without its own share in its centroid: cosines grow with length, and a few odd or
+mislabelled rows do not move a quantile. Below the lengths of the sample it falls with the root of the length.
 
 Nulls, empty texts: a null text or one without a letter is ``und`` with score 0 and rejected;
 rows without a label are not learned from; without any labelled row everything is
@@ -30,7 +32,9 @@ UNKNOWN = "und"
 DIMENSIONS = 4096
 SAMPLE = 2000
 CENTROIDS = 4
-REJECT = 0.15
+REJECT = 0.6
+LOW, NEAR = 0.01, 300
+KNOTS = np.arange(2, 15)  # lengths in letters (bytes) as logarithms to base 2
 ROUNDS = 12
 _ROWS = 256
 _TO_SPACE = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -38,11 +42,11 @@ _TO_SPACE = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 @dataclass
 class LanguageModel:
-    """Centroids (rows), their languages and these' least cosines, and the weights of slots."""
+    """Centroids (rows), their languages and these' low cosines at ``KNOTS``, and the weights of slots."""
 
     languages: list[str]
     centroids: np.ndarray
-    least: np.ndarray
+    low: np.ndarray
     weights: np.ndarray
 
 
@@ -61,11 +65,38 @@ def slot_counts(text: str | None) -> np.ndarray:
     return np.bincount(grams >> np.uint32(32 - DIMENSIONS.bit_length() + 1), minlength=DIMENSIONS)
 
 
-def vectors(texts: list, weights: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(texts), DIMENSIONS), np.float32)
+def measured(texts: list, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of texts, and the logarithms of their lengths."""
+    out, length = np.zeros((len(texts), DIMENSIONS), np.float32), np.zeros(len(texts))
     for i, text in enumerate(texts):
-        out[i] = np.log1p(slot_counts(text)) * weights
-    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+        counts = slot_counts(text)
+        out[i], length[i] = np.log1p(counts) * weights, np.log2(counts.sum() / 3 + 1)
+    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9), length
+
+
+def vectors(texts: list, weights: np.ndarray) -> np.ndarray:
+    return measured(texts, weights)[0]
+
+
+def cosines_without_own(points: np.ndarray, mine: np.ndarray) -> np.ndarray:
+    """Each point's cosine with the nearest centroid, its own taken without the point."""
+    sums = np.zeros((mine.max() + 1, points.shape[1]))
+    np.add.at(sums, mine, points)
+    dots, norms, at = points @ sums.T, np.linalg.norm(sums, axis=1), np.arange(len(points))
+    own = dots[at, mine]
+    rest = np.sqrt(np.maximum(norms[mine] ** 2 - 2 * own + 1, 0))
+    cosine = dots / np.maximum(norms, 1e-9)
+    cosine[at, mine] = np.where(np.bincount(mine)[mine] > 1, (own - 1) / np.maximum(rest, 1e-9), 0)
+    return cosine.max(1)
+
+
+def low_cosines(cosine: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The low quantile of cosines at ``KNOTS``."""
+    out = []
+    for knot in KNOTS:
+        near = np.argsort(np.abs(length - knot), kind="stable")[:NEAR]
+        out.append(np.quantile(cosine[near], LOW) * min(1.0, 2 ** ((knot - length[near].min()) / 2)))
+    return np.array(out)
 
 
 def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
@@ -117,21 +148,25 @@ def train(labelled: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS)
 
     def cluster(key, group):
         texts = sorted(group["text"])
-        points = vectors(texts, weights)
+        points, length = measured(texts, weights)
         centre, mine = spherical_means(points, centroids)
-        cosine = np.einsum("ij,ij->i", points, centre[mine])
+        # A centroid of a few odd texts would take in whatever is as odd.
+        held = np.bincount(mine, minlength=len(centre))
+        centre = centre[held >= min(LOW * len(points), held.max())]
+        mine = np.argmax(points @ centre.T, axis=1)
+        low = low_cosines(cosines_without_own(points, mine), length)
         keep = np.unique(mine)
         return pd.DataFrame({
             "lang": key[0],
             "number": keep.astype(np.int32),
             "centre": [centre[k].astype("<f4").tobytes() for k in keep],
-            "least": float(cosine.min()),
+            "low": [low.tolist() for _ in keep],
         })
 
-    found = chosen.groupBy("lang").applyInPandas(cluster, "lang string, number int, centre binary, least double").toPandas()
+    found = chosen.groupBy("lang").applyInPandas(cluster, "lang string, number int, centre binary, low array<double>").toPandas()
     found = found.sort_values(["lang", "number"])
     centre = np.array([np.frombuffer(c, "<f4") for c in found["centre"]], np.float32).reshape(-1, DIMENSIONS)
-    return LanguageModel(found["lang"].tolist(), centre, found["least"].to_numpy(float), weights)
+    return LanguageModel(found["lang"].tolist(), centre, np.array(found["low"].tolist(), float).reshape(-1, len(KNOTS)), weights)
 
 
 def predict(docs: DataFrame, model: LanguageModel, columns: list[str], reject: float = REJECT) -> DataFrame:
@@ -153,14 +188,15 @@ def predict(docs: DataFrame, model: LanguageModel, columns: list[str], reject: f
                 if not len(m.languages):
                     names, scores, refused = names + [UNKNOWN] * len(some), scores + [0.0] * len(some), refused + [True] * len(some)
                     continue
-                cosine = vectors(some, m.weights) @ m.centroids.T
+                points, length = measured(some, m.weights)
+                cosine = points @ m.centroids.T
                 best = np.argmax(cosine, axis=1)
                 for i, text in enumerate(some):
                     good = has_letter(text)
                     value = float(min(1.0, max(0.0, cosine[i, best[i]]))) if good else 0.0
                     names.append(m.languages[best[i]] if good else UNKNOWN)
                     scores.append(value)
-                    refused.append(not good or value < reject * m.least[best[i]])
+                    refused.append(not good or value < reject * np.interp(length[i], KNOTS, m.low[best[i]]))
             kept = [batch.column(c) for c in columns]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(refused, pa.bool_())], names=[*columns, "lang_pred", "score", "rejected"])
 
