@@ -31,11 +31,16 @@ _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 # Element kinds of HTML.
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = set("script style textarea title noscript iframe xmp noembed noframes template svg math select head object audio video canvas button".split())
+_RAW = set("script style textarea title noscript iframe xmp noembed noframes template svg annotation annotation-xml select head object audio video canvas button".split())
 _INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+_MATH = set("math maction menclose merror mfenced mfrac mi mlabeledtr mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split())
+_INLINE |= _MATH
 _CLOSES_P = set("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 _CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = set("ul ol dl table body html article section div".split())
+# HTML tags that end an open svg or formula.
+_BREAKS = _CLOSES_P | set("b big body br center code dd dt em embed html i img li listing meta nobr ruby s small span strong strike sub sup td th tr tt u var".split())
+_FOREIGN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)(?:[^>"']|"[^"]*"|'[^']*')*>""", re.DOTALL)
 _LENGTHS = (1, 3, 6, 12, 25, 50, 100)
 _TOTALS = (0, 5, 20, 60, 150, 400, 1000)
 
@@ -56,6 +61,31 @@ class Tree:
         return len(self.parent) - 1
 
 
+def _after_foreign(page: str, at: int, name: str) -> int:
+    """Where the page goes on after an svg or annotation whose content begins at ``at``.
+
+    After its end tag, or before an HTML tag that ends it as in browsers, or before the end of its formula.
+    HTML within a foreignObject, title, desc or annotation-xml belongs to it, if that is closed.
+    """
+    depth, inner, broken = 1, int(name == "annotation-xml"), -1
+    for found in _FOREIGN.finditer(page, at):
+        tag, ends = (found[2] or "").lower(), bool(found[1])
+        if tag == name:
+            depth += -1 if ends else not found[0].endswith("/>")
+            if not depth:
+                return found.end()
+        elif tag in ("foreignobject", "title", "desc") and not found[0].endswith("/>"):
+            inner = max(0, inner + (-1 if ends else 1))
+            broken = broken if inner else -1
+        elif tag == "math" and ends and name != "svg":
+            return found.start()
+        elif tag in _BREAKS:
+            broken = found.start() if broken < 0 else broken
+            if not inner:
+                return broken
+    return broken if broken >= 0 else len(page)
+
+
 def parse(page: str | None) -> Tree:
     """Tree of a page. Labels are 1, 0, or -1 where no element says."""
     page = page or ""
@@ -107,6 +137,10 @@ def parse(page: str | None) -> Tree:
                     break
             continue
         if name in _RAW:
+            if name in ("svg", "annotation", "annotation-xml"):
+                at = at if found[0].endswith("/>") else _after_foreign(page, at, name)
+                pieces.append(" ")
+                continue
             end = re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(page, at)
             if not found[0].endswith("/>"):
                 if end:
@@ -121,7 +155,7 @@ def parse(page: str | None) -> Tree:
         if name in _INLINE:
             if name == "br":
                 pieces.append(" ")
-            elif name not in _VOID:
+            elif name not in _VOID and not (name in _MATH and found[0].endswith("/>")):
                 stack.append((name, stack[-1][1]))
                 linked[0] += name == "a"
             continue
