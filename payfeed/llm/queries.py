@@ -200,3 +200,82 @@ ORACLES["op5_decontamination"] = f"""
            sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
     FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+
+@query
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document and whether it stays inside the fences of its language and source."""
+    from payfeed.llm.quality import RULES, judge
+
+    found = judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return found.select(F.col("row.doc_id").alias("doc_id"), *counts, "base_failed", "kept", *[r.name for r in RULES])
+
+
+_QUALITY_RULES = "(VALUES ('word_length', 150), ('symbols', 200), ('dup_lines', 3500), ('repeats', 500)) AS slack(rule, slack)"
+_STEP = "(CAST(1 AS BIGINT) << greatest(length(bin({0})) - 7, 0))"
+
+
+def _quality_fences(groups: str) -> str:
+    """Fences of each rule in groups of the sketch."""
+    by = f"{groups}, rule" if groups else "rule"
+    return f"""
+        SELECT {by}, n, q10 - 3 * (q50 + {_STEP.format("q50")} - 1 - q10) - slack AS low,
+               q90 + {_STEP.format("q90")} - 1 + 3 * (q90 + {_STEP.format("q90")} - 1 - q50) + slack AS high
+        FROM (
+            SELECT {by}, max(total) AS n, min(bucket) FILTER (WHERE upto * 1000 >= total * 100) AS q10,
+                   min(bucket) FILTER (WHERE upto * 1000 >= total * 500) AS q50, min(bucket) FILTER (WHERE upto * 1000 >= total * 900) AS q90
+            FROM (
+                SELECT *, sum(n) OVER (PARTITION BY {by} ORDER BY bucket ROWS UNBOUNDED PRECEDING) AS upto, sum(n) OVER (PARTITION BY {by}) AS total
+                FROM (SELECT {by}, bucket, sum(n) AS n FROM sketch GROUP BY {by}, bucket) AS whole
+            ) AS placed GROUP BY {by}
+        ) AS q JOIN {_QUALITY_RULES} USING (rule)
+    """
+
+
+ORACLES["op11_quality_rules"] = rf"""
+    WITH rows AS (
+        SELECT row_number() OVER () AS n_row, doc_id, lang, source, coalesce(text, '') AS text,
+               regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+               list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+        FROM documents
+    ),
+    placed AS (SELECT n_row, pos, array_to_string(words[pos:pos + 4], ' ') AS w FROM (SELECT n_row, words, unnest(generate_series(1, len(words) - 4)) AS pos FROM rows) AS r),
+    again AS (SELECT n_row, pos FROM (SELECT *, count(*) OVER (PARTITION BY n_row, w) AS times FROM placed) AS p WHERE times > 1),
+    repeats AS (SELECT n_row, count(DISTINCT covered) AS n_repeat_words FROM (SELECT n_row, unnest(generate_series(pos, pos + 4)) AS covered FROM again) AS a GROUP BY n_row),
+    counts AS (
+        SELECT n_row, doc_id, lang, source, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+               CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(len(lines) AS BIGINT) AS n_lines,
+               CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+        FROM rows LEFT JOIN repeats USING (n_row)
+    ),
+    ratios AS (
+        SELECT *, CASE WHEN n_words > 0 THEN 100 * word_chars // n_words END AS word_length,
+               CASE WHEN n_words > 0 THEN 10000 * n_symbols // word_chars END AS symbols,
+               CASE WHEN n_words > 0 THEN 10000 * n_dup_lines // n_lines END AS dup_lines,
+               CASE WHEN n_words > 0 THEN 10000 * n_repeat_words // n_words END AS repeats,
+               n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed
+        FROM counts
+    ),
+    long AS (
+        SELECT lang, source, unnest(['word_length', 'symbols', 'dup_lines', 'repeats']) AS rule, unnest([word_length, symbols, dup_lines, repeats]) AS value
+        FROM ratios WHERE n_words > 0
+    ),
+    sketch AS (SELECT lang, source, rule, value - value % {_STEP.format("value")} AS bucket, count(*) AS n FROM long GROUP BY ALL),
+    own AS ({_quality_fences("lang, source")}),
+    by_lang AS ({_quality_fences("lang")}),
+    by_all AS ({_quality_fences("")}),
+    fences AS (
+        SELECT o.lang, o.source, o.rule, CASE WHEN o.n >= 100 THEN o.low WHEN l.n >= 100 THEN l.low ELSE a.low END AS low,
+               CASE WHEN o.n >= 100 THEN o.high WHEN l.n >= 100 THEN l.high ELSE a.high END AS high
+        FROM own o JOIN by_lang l ON o.lang IS NOT DISTINCT FROM l.lang AND o.rule = l.rule JOIN by_all a ON o.rule = a.rule
+    ),
+    checked AS (
+        SELECT n_row, bool_or(CASE rule WHEN 'word_length' THEN word_length < low OR word_length > high WHEN 'symbols' THEN symbols > high
+                                        WHEN 'dup_lines' THEN dup_lines > high ELSE repeats > high END) AS outside
+        FROM ratios r JOIN fences f ON r.lang IS NOT DISTINCT FROM f.lang AND r.source IS NOT DISTINCT FROM f.source WHERE n_words > 0 GROUP BY n_row
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce(outside, FALSE) AS kept,
+           word_length, symbols, dup_lines, repeats
+    FROM ratios LEFT JOIN checked USING (n_row)
+"""
