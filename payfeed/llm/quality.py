@@ -90,14 +90,14 @@ def _repeated_words(df: DataFrame) -> DataFrame:
     return df.withColumn("n_repeat_words", count.cast("long")).drop("_some", "_sorted", "_again")
 
 
-def measure(docs: DataFrame) -> DataFrame:
-    r"""The rows of ``docs`` as a struct ``row``, with the counts of their ``text`` as longs beside it.
+def measure(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    r"""``carry`` of the rows of ``docs`` (all columns by default) as a struct ``row``, with the counts of their ``text`` as longs beside it.
 
     Words are ``[^\x20\x09-\x0D]+``. word_chars are code points in words; n_symbols characters of ``SYMBOLS``; n_lines lines (cut at
     ``\n``) with a word, n_dup_lines those equal to an earlier one; n_repeat_words words in five-word windows that the text has twice or more.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text.alias("_text"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in (docs.columns if carry is None else carry)]).alias("row"), text.alias("_text"))
     lines = F.filter(F.split("_text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     df = rows.select("row", "_text", F.array_remove(F.split("_text", r"[\x20\x09-\x0D]+"), "").alias("_words"), lines.alias("_lines"))
     df = df.select(
@@ -171,13 +171,13 @@ def thresholds(sketched: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     return joined.groupBy(F.col("s_lang").alias("lang"), F.col("s_source").alias("source")).agg(*wide)
 
 
-def judge(docs: DataFrame, earlier: DataFrame | None = None, rules: list[Rule] = RULES) -> DataFrame:
-    """``row`` (the document as it came), its counts, base_failed, each rule's ratio and fences, and kept.
+def judge(docs: DataFrame, earlier: DataFrame | None = None, rules: list[Rule] = RULES, carry: list[str] | None = None) -> DataFrame:
+    """``row`` (the document as it came, or its columns ``carry``, with lang and source), its counts, base_failed, each rule's ratio and fences, and kept.
 
     ``docs`` has text, lang and source. ``earlier`` is a sketch of documents judged before, merged
     with that of ``docs``. Texts are measured once; the measured rows are a written table.
     """
-    measured = materialize(measure(docs), "measured")
+    measured = materialize(measure(docs, carry), "measured")
     sketched = sketch(measured, rules)
     sketched = materialize(merge(sketched, earlier) if earlier is not None else sketched, "sketch")
     limits = materialize(thresholds(sketched, rules), "thresholds")

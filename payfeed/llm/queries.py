@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -207,7 +208,7 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every document and whether it stays inside the fences of its language and source."""
     from payfeed.llm.quality import RULES, judge
 
-    found = judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    found = judge(table(spark, sf_dir, "documents"), carry=["doc_id", "lang", "source"])
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return found.select(F.col("row.doc_id").alias("doc_id"), *counts, "base_failed", "kept", *[r.name for r in RULES])
 
@@ -279,3 +280,94 @@ ORACLES["op11_quality_rules"] = rf"""
            word_length, symbols, dup_lines, repeats
     FROM ratios LEFT JOIN checked USING (n_row)
 """
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and check of every document, a third of them tampered with."""
+    from payfeed.llm.merkle import build, fold, leaf, prove
+
+    fields = ["doc_id", "source", "lang", "n_chars"]
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, leaf([*map(F.col, fields), lowered]))
+    docs = table(spark, sf_dir, "documents")
+    found = prove(build(docs.select("doc_id", "lang", leaf([*map(F.col, fields), F.col("text")]).alias("leaf"), tampered.alias("tampered")), "lang", ["doc_id"]))
+    folded = found.withColumn("folded_root", fold(F.coalesce("row.tampered", "leaf"), F.col("places"), F.col("siblings")))
+    return folded.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(F.array_join("siblings", ""), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def _part(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE concat(octet_length(encode(CAST({value} AS VARCHAR))), ':', {value}) END"
+
+
+def _leaf_sql(text: str) -> str:
+    return f"sha256({' || '.join(map(_part, ['doc_id', 'source', 'lang', 'n_chars', text]))})"
+
+
+# Levels of eight: enough for 8**LEVELS rows of a language.
+_LEVELS, _TOP_LEVELS = 8, 2
+# CRC-32 by its definition: eight shifts a byte, reversed polynomial 0xEDB88320.
+_CRC_TABLE = "list_transform(range(256), lambda b: list_reduce(list_prepend(CAST(b AS BIGINT), CAST(range(8) AS BIGINT[])), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END))"
+_CRC = "xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT))), lambda c, d: xor(c // 256, crc_table[CAST(xor(c % 256, d) + 1 AS INT)])), 4294967295)"
+
+
+def _merkle_levels(prefix: str, levels: int, group: str) -> str:
+    """Nodes level by level, runs of eight; where one node is left it stays as it is."""
+    by = f"{group}, " if group else ""
+    out = []
+    for k in range(levels):
+        out.append(f"""{prefix}run{k} AS (
+            SELECT {by}index // 8 AS parent, list(digest ORDER BY index) AS run, max(n) AS n FROM {prefix}{k} GROUP BY {by}parent
+        ), {prefix}{k + 1} AS (
+            SELECT {by}parent AS index, CASE WHEN n = 1 THEN run[1] ELSE sha256(array_to_string(run, '')) END AS digest, CASE WHEN n = 1 THEN 1 ELSE (n + 7) // 8 END AS n FROM {prefix}run{k}
+        )""")
+    return ", ".join(out)
+
+
+def _merkle_steps(prefix: str, levels: int, start: str, place: str, group: str) -> tuple[str, str]:
+    """CTEs that carry each document from level to level: its siblings so far and its folded digest."""
+    out, last = [], start
+    for k in range(levels):
+        at = f"({place} // {8**k}) % 8"
+        on = f"s.{place} // {8 ** (k + 1)} = r.parent" + (f" AND s.{group} IS NOT DISTINCT FROM r.{group}" if group else "")
+        out.append(f"""{prefix}step{k} AS (
+            SELECT s.* REPLACE (
+                CASE WHEN r.n = 1 THEN proof ELSE proof || array_to_string(list_concat(run[1:{at}], run[{at} + 2:]), '') END AS proof,
+                CASE WHEN r.n = 1 THEN folded ELSE sha256(array_to_string(list_concat(run[1:{at}], [folded], run[{at} + 2:]), '')) END AS folded
+            ) FROM {last} s JOIN {prefix}run{k} r ON {on}
+        )""")
+        last = f"{prefix}step{k}"
+    return ", ".join(out), last
+
+
+_STEPS, _LAST = _merkle_steps("node", _LEVELS, "begun", "index", "lang")
+_TOP_STEPS, _TOP_LAST = _merkle_steps("top", _TOP_LEVELS, "risen", "tree", "")
+ORACLES["op12_merkle_manifest"] = f"""
+    WITH tables AS (SELECT {_CRC_TABLE} AS crc_table),
+    leaves AS (
+        SELECT doc_id, lang, {_leaf_sql("text")} AS leaf,
+               CASE WHEN {_CRC} % 3 = 0 THEN {_leaf_sql("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS tampered
+        FROM documents, tables
+    ),
+    begun AS MATERIALIZED (
+        SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS index, '' AS proof, coalesce(tampered, leaf) AS folded FROM leaves
+    ),
+    node0 AS (SELECT lang, index, leaf AS digest, count(*) OVER (PARTITION BY lang) AS n FROM begun),
+    {_merkle_levels("node", _LEVELS, "lang")},
+    trees AS (SELECT lang, digest, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS tree FROM node{_LEVELS}),
+    top0 AS (SELECT tree AS index, digest, count(*) OVER () AS n FROM trees),
+    {_merkle_levels("top", _TOP_LEVELS, "")},
+    {_STEPS},
+    risen AS (SELECT s.*, tree, digest AS subroot FROM {_LAST} s JOIN trees t ON s.lang IS NOT DISTINCT FROM t.lang),
+    {_TOP_STEPS}
+    SELECT doc_id, leaf, subroot, root.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root.digest AS verified
+    FROM {_TOP_LAST}, top{_TOP_LEVELS} AS root
+"""
