@@ -371,3 +371,36 @@ ORACLES["op12_merkle_manifest"] = f"""
     SELECT doc_id, leaf, subroot, root.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root.digest AS verified
     FROM {_TOP_LAST}, top{_TOP_LEVELS} AS root
 """
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, among all."""
+    from payfeed.llm.hardneg import candidates, mine
+
+    rows = candidates(table(spark, sf_dir, "embeddings"))
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(rows.withColumn("label", noisy), F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op13_hard_negatives"] = """
+    WITH rows AS (
+        SELECT row_number() OVER () AS n, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x) OR 256 * abs(x) >= 4194304)) = 0
+    ),
+    scored AS (
+        SELECT a.n AS anchor, a.vec_id AS anchor_id, r.n, r.vec_id, a.label = r.label AS same, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+        FROM rows a JOIN rows r ON a.vec_id <> r.vec_id AND len(a.v) = len(r.v) WHERE a.vec_id % 100 = 0
+    ),
+    positives AS (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) AS p FROM scored WHERE same),
+    negatives AS (
+        SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+               CAST(row_number() OVER (PARTITION BY p.anchor, p.p ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank
+        FROM positives p JOIN scored n ON p.anchor = n.anchor AND NOT n.same AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+        WHERE p.p <= 5
+    )
+    SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 5
+"""
