@@ -28,8 +28,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from payfeed.llm.caches import claim
+from payfeed.llm.rows import with_fields
 from payfeed.session import materialize
 
 WINDOW = 10
@@ -155,7 +157,7 @@ class _Phrases:
         for i, words in enumerate(split):
             self.table[i, -len(words) :] = [self.numbers[w] for w in words]
         self.items = items
-        self.shortest = int(self.lengths.min(initial=1))
+        self.shortest = int((self.lengths.min() if len(self.lengths) else 1))
 
 
 def _search_shard(docs: list[list[bytes]], phrases: _Phrases) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -252,8 +254,8 @@ def _search_block(rows: DataFrame, columns: list[str], block, result_fields, fir
                     yield _merged(batch.slice(at, len(words)), words, found, phrases, keep, names, first)
                     words, at, size = [], i + 1, 0
 
-    base = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name not in names)
-    return rows.mapInArrow(search, base + ", " + ", ".join(f"{n} {t}" for n, t in result_fields))
+    base = StructType([f for f in rows.schema.fields if f.name not in names])
+    return rows.mapInArrow(search, with_fields(base, ", ".join(f"{n} {t}" for n, t in result_fields)))
 
 
 def _merged(batch: pa.RecordBatch, words, found, phrases: _Phrases, keep, names, first: bool) -> pa.RecordBatch:
@@ -310,5 +312,4 @@ def without_spans(found: DataFrame, columns: list[str]) -> DataFrame:
                     texts[i] = "".join([*kept, texts[i][at:]])
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(texts, pa.string())], names=[*columns, "text"])
 
-    base = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.select(*columns).schema.fields)
-    return rows.mapInArrow(run, base + "text string")
+    return rows.mapInArrow(run, with_fields(rows.select(*columns).schema, "text string"))

@@ -159,11 +159,14 @@ class CoverTree:
                 offer(begin, end)
                 continue
             scores = self.vectors[begin:end] @ query
-            fits = ((self.labels[begin:end] == label) == same) & (self.ids[begin:end] != vec_id)
-            for w in range(len(found)):
-                take = np.flatnonzero(fits & (scores >= floors[w]) & (scores <= highs[w]))
-                if len(take):
-                    s, i = np.concatenate([found[w][0], scores[take]]), np.concatenate([found[w][1], self.ids[begin:end][take]])
+            fits = np.flatnonzero((scores >= floors.min()) & (scores <= highs.max()))
+            ids = self.ids[begin:end][fits]
+            some = ((self.labels[begin:end][fits] == label) == same) & (ids != vec_id)
+            scores, ids = scores[fits[some]], ids[some]
+            for w in range(len(found)) if len(ids) else ():
+                take = (scores >= floors[w]) & (scores <= highs[w])
+                if take.any():
+                    s, i = np.concatenate([found[w][0], scores[take]]), np.concatenate([found[w][1], ids[take]])
                     best = np.lexsort((i, -s))[:k]
                     found[w] = s[best], i[best]
                     if len(best) == k:

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from payfeed.llm.caches import claim
+from payfeed.llm.rows import with_fields
 
 UNKNOWN = "und"
 DIMENSIONS = 4096
@@ -200,8 +201,7 @@ def predict(docs: DataFrame, model: LanguageModel, columns: list[str], reject: f
             kept = [batch.column(c) for c in columns]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(refused, pa.bool_())], names=[*columns, "lang_pred", "score", "rejected"])
 
-    base = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.select(*columns).schema.fields)
-    return rows.mapInArrow(run, base + "lang_pred string, score double, rejected boolean")
+    return rows.mapInArrow(run, with_fields(rows.select(*columns).schema, "lang_pred string, score double, rejected boolean"))
 
 
 def held_out() -> F.Column:

@@ -24,10 +24,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from payfeed.llm.caches import claim
+from payfeed.llm.rows import as_struct, from_struct, with_fields
 from payfeed.session import materialize
 
 SEED = 42
@@ -211,6 +214,32 @@ def grouped(prints: DataFrame, max_distance: int) -> DataFrame:
     return prints.join(names, "fingerprint")
 
 
+def drop_near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 3) -> DataFrame:
+    """``docs`` with one row of each component, that of the smallest doc_id; all columns as they came.
+
+    A null doc_id stays only where its component has no other; of rows with the same doc_id the one met first.
+    """
+    at = docs.columns.index("text")
+    rows = docs.select(as_struct(docs).alias("row"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("")
+        for batch in batches:
+            texts = batch.column("row").field(at).cast(pa.string()).to_pylist()
+            prints = np.fromiter((simhash(t, shingle) for t in texts), np.uint64, len(texts)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(prints)], names=["row", "fingerprint"])
+
+    printed = rows.mapInArrow(run, with_fields(rows.schema, "fingerprint long"))
+    printed = materialize(printed.withColumn("n", F.monotonically_increasing_id()), "prints")
+    doc_id = F.col("row")["doc_id"].cast("long")
+    first = F.min(F.struct(doc_id.isNull().alias("none"), doc_id.alias("doc_id"), F.col("n"))).alias("first")
+    distinct = materialize(printed.groupBy("fingerprint").agg(first), "fingerprints")
+    roots = components(links(distinct.select("fingerprint"), max_distance)).withColumnRenamed("node", "fingerprint")
+    named = distinct.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+    stay = named.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.n").alias("n"))
+    return printed.join(materialize(stay, "stay"), "n", "left_semi").select(*from_struct("row", docs.columns))
+
+
 def near_duplicate_groups(docs: DataFrame, shingle: int = 3, max_distance: int = 3) -> DataFrame:
     """Documents with fingerprint and component: doc_id, fingerprint (16 hex digits), component_id."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

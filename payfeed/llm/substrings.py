@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from payfeed.llm.caches import claim, register
+from payfeed.llm.rows import as_struct, from_struct, with_fields
 from payfeed.session import materialize
 
 WINDOW = 35
@@ -351,13 +352,14 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` with ``text`` replaced by its kept words, joined by one space, and n_words, n_removed."""
-    source = docs.withColumn("_text", F.col("text").cast("string")).withColumn("_key", F.xxhash64("_text")).withColumn("_id", F.col("doc_id").cast("long"))
+    text = F.col("text").cast("string")
+    others = [c for c in docs.columns if c not in ("text", "n_words", "n_removed")]
+    row = as_struct(docs.select(*[F.col(f"`{c}`") for c in others]))
+    source = docs.select(row.alias("_row"), text.alias("_text"), F.xxhash64(text).alias("_key"), F.col("doc_id").cast("long").alias("_id"))
     keyed = source.select(F.col("_id").alias("doc_id"), F.col("_key").alias("text_key"), F.col("_text").alias("text"))
     ranges = repeated_ranges(keyed, window).select(F.col("doc_id").alias("_rid"), F.col("text_key").alias("_rkey"), F.col("ranges").alias("_ranges"))
     joined = source.join(ranges, F.col("_id").eqNullSafe(F.col("_rid")) & (F.col("_key") == F.col("_rkey")), "left")
-    others = [c for c in docs.columns if c not in ("text", "n_words", "n_removed")]
     # Arrow keeps the other columns as they are.
-    shape = docs.select(*others).schema
 
     def keep(batches):
         import pyarrow as pa
@@ -376,8 +378,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                     words = list(compress(words, (np.cumsum(depth[:-1]) == 0).tolist()))
                 removed.append(counts[-1] - len(words))
                 texts.append(b" ".join(words).decode("utf-8"))
-            kept = [batch.column(c) for c in others]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())], names=[*others, "text", "n_words", "n_removed"])
+            arrays = [batch.column("_row"), pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["_row", "_text", "_words", "_removed"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in shape.fields)
-    return joined.select(*others, "_text", "_ranges").mapInArrow(keep, f"{schema}{', ' if others else ''}text string, n_words long, n_removed long")
+    found = joined.select("_row", "_text", "_ranges")
+    found = found.mapInArrow(keep, with_fields(found.select("_row").schema, "_text string, _words long, _removed long"))
+    results = [F.col(a).alias(b) for a, b in (("_text", "text"), ("_words", "n_words"), ("_removed", "n_removed"))]
+    return found.select(*from_struct("_row", others), *results)

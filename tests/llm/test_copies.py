@@ -10,7 +10,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from payfeed.llm import decontaminate, neardedup, simhash, substrings
+from payfeed.llm import decontaminate, simhash, substrings
+from payfeed.llm.files import BATCH_ROWS
 
 
 def made_texts(seed=3):
@@ -77,7 +78,7 @@ def test_no_documents(make_docs, spark):
     empty = make_docs([])
     assert substrings.remove_repeats(empty).count() == 0
     assert simhash.near_duplicate_groups(empty).count() == 0
-    assert neardedup.drop_near_duplicates(empty).count() == 0
+    assert simhash.drop_near_duplicates(empty).count() == 0
     items = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.find_phrases(empty, items, ["doc_id"]).count() == 0
     docs = make_docs([(1, "a b c")])
@@ -209,30 +210,73 @@ def test_blocks_of_a_hot_entry(spark, monkeypatch):
     assert edges.count() < 40 * len(prints)
 
 
-def test_near_copies_go(make_docs):
+def test_one_document_of_each_component_stays(make_docs):
     rng = random.Random(6)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 6)))
     texts = [" ".join(word() for _ in range(rng.randint(60, 300))) for _ in range(60)]
-    rows = [(i, t) for i, t in enumerate(texts)]
-    rows += [(100 + i, texts[i].upper()) for i in range(5)]
-    rows += [(200 + i, edited(texts[10 + i], rng, 2)) for i in range(20)]
-    rows += [(300 + i, edited(texts[40], rng, 1)) for i in range(30)]
-    rows += [(7, texts[7]), (7, texts[7]), (None, texts[8]), (None, None), (400, ""), (401, " ")]
+    rows = list(enumerate(texts)) + [(100 + i, texts[i].upper()) for i in range(5)]
+    rows += [(200 + i, edited(texts[10 + i], rng, 1)) for i in range(20)] + [(300 + i, edited(texts[40], rng, 1)) for i in range(30)]
+    rows += [(7, texts[7]), (7, texts[7]), (None, texts[8]), (None, "alone without id"), (None, None), (400, ""), (401, " ")]
     docs = make_docs(rows)
-    got = neardedup.drop_near_duplicates(docs)
-    assert got.columns == docs.columns
-    kept = sorted(r.doc_id for r in got.collect() if r.doc_id is not None)
-
-    pieces = {d: set(neardedup.shingles(t)) for d, t in rows if d is not None}
-    alike = lambda a, b: len(a & b) >= 0.8 * len(a | b)
-    want = set(pieces)
-    for d in sorted(pieces):
-        if any(e < d and alike(pieces[e], pieces[d]) for e in pieces):
-            want.discard(d)
-    assert kept == sorted(want)
-
-
-@pytest.mark.parametrize("text", [None, "", "   ", "one", "one two three four"])
-def test_short_texts_have_one_shingle(text):
-    assert len(neardedup.shingles(text)) == (1 if (text or "").split() else 0)
-    assert len(neardedup.coarse(text)) == 8 and len(neardedup.fine(neardedup.shingles(text))) == 32
+    got = simhash.drop_near_duplicates(docs)
+    assert got.columns == docs.columns and got.dtypes == docs.dtypes
+
+    prints = [simhash.simhash(t, 3) for _, t in rows]
+    root = list(range(len(rows)))
+    find = lambda i: i if root[i] == i else find(root[i])
+    for i in range(len(rows)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= 3 and find(i) != find(j):
+                root[find(i)] = find(j)
+    groups = defaultdict(list)
+    for i, (doc_id, _) in enumerate(rows):
+        groups[find(i)].append((doc_id is None, doc_id or 0))
+    want = Counter(None if x[0] else x[1] for x in map(min, groups.values()))
+    assert Counter(r.doc_id for r in got.collect()) == want
+    assert 60 <= sum(want.values()) < len(rows) - 40
+
+
+@pytest.mark.parametrize("batch", [1, 2, 3])
+def test_links_do_not_depend_on_batches(spark, batch):
+    rng = random.Random(14)
+    base = [rng.getrandbits(62) for _ in range(12)]
+    # Three bits over both halves: the pair meets in one table, as an entry and one that looks.
+    prints = base + [p ^ (1 << rng.randrange(0, 32)) ^ (1 << (a := rng.randrange(32, 46))) ^ (1 << (a + 14)) for p in base]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        edges = simhash.links(spark.createDataFrame([(p,) for p in prints], "fingerprint long"), 3)
+        roots = {r.node: r.root for r in simhash.components(edges).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    assert all(roots.get(p) == min(p, q) and roots.get(q) == min(p, q) for p, q in zip(base, prints[12:]))
+
+
+NAMES = ["a.b", "_id", "_text", "_node", "_key", "_copy", "_row", "_new", "_ranges", "ROW", "fingerprint", "n", "N_Words", "_n", "chunk", "kind"]
+
+
+def odd_table(spark, n=40):
+    rng = random.Random(1)
+    text = lambda i: " ".join(rng.choice(["red", "green", "blue", "pale", "dark"]) for _ in range(60)) if i % 4 else "same words here " * 20
+    rows = [(i, text(i), "en", *[f"{name}{i}" for name in NAMES]) for i in range(n)]
+    return spark.createDataFrame(rows, ", ".join(["doc_id long", "text string", "lang string", *[f"`{x}` string" for x in NAMES]]))
+
+
+def test_columns_of_any_name_come_back(spark):
+    docs = odd_table(spark)
+    before = {r.doc_id: tuple(r)[3:] for r in docs.collect()}
+    for found in (simhash.drop_near_duplicates(docs), substrings.remove_repeats(docs.drop("N_Words"))):
+        kept = [c for c in docs.columns[3:] if c in found.columns]
+        assert len(kept) >= len(NAMES) - 1
+        for r in found.select("doc_id", *[F.col(f"`{c}`") for c in kept]).collect():
+            assert list(tuple(r)[1:]) == [v for c, v in zip(NAMES, before[r.doc_id]) if c in kept]
+
+
+def test_pipeline_stages_keep_columns_of_any_name(spark, sf_dir):
+    import corpus_pipeline
+
+    docs = odd_table(spark)
+    before = {r.doc_id: tuple(r)[3:] for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs_out = stage(spark, docs, sf_dir)
+        assert docs_out.columns == docs.columns and docs_out.dtypes == docs.dtypes, name
+        assert all(tuple(r)[3:] == before[r.doc_id] for r in docs_out.collect()), name
