@@ -11,15 +11,16 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from payfeed.llm import decontaminate, language, neardedup, packing, substrings  # noqa: E402
+from payfeed.llm import decontaminate, language, packing, simhash, substrings  # noqa: E402
 from payfeed.llm.files import reach_workers  # noqa: E402
+from payfeed.llm.rows import as_struct  # noqa: E402
 from payfeed.llm.queries import public_tokenizer  # noqa: E402
 from payfeed.session import materialize  # noqa: E402
 
 
 def _whole(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``text`` beside the whole row, so no column can clash with a result."""
-    return docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
+    return docs.select("doc_id", "text", as_struct(docs).alias("_row"))
 
 
 def _changed(found: DataFrame, columns: list[str], text: F.Column) -> DataFrame:
@@ -39,9 +40,9 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of copies of 0.8 or more in five-word shingles."""
+    """One document of each SimHash component: three-word shingles, fingerprints linked at three bits or fewer."""
     reach_workers(spark)
-    return neardedup.drop_near_duplicates(docs)
+    return simhash.drop_near_duplicates(docs)
 
 
 def remove_repeated_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
