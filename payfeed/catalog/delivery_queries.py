@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DoubleType, LongType, StringType, StructField, StructType
 
 from payfeed.catalog.feed_queries import feed_attendance, feed_onboarding_in, feed_onboarding_ph, feed_overtime
-from payfeed.catalog.registry import ROSTER_AS_OF, ROSTER_MARK, query
-from payfeed.catalog.star_schema import hr_tables, read, rostering
+from payfeed.catalog.registry import ROSTER_AS_OF, ROSTER_MARK, SALARY_AS_OF, SALARY_MARK, query
+from payfeed.catalog.star_schema import PROPERTY_CODES, emp_code, hr_tables, read, rostering
 from payfeed.functions.fields import ntz
 from payfeed.operators.batching import batch_keys, batch_rows, envelopes, iso_records
 from payfeed.operators.predicates import current_salary
@@ -23,6 +23,7 @@ from payfeed.sources.delivery import append_log, apply_outcomes, batch_log
 from payfeed.sources.marks import append_marks, latest_mark, next_mark
 from payfeed.sources.outbox import decode_envelopes, envelope_message, new_batches
 from payfeed.sources.tables import fan_in, route
+from payfeed.streaming.keyed import Watch, keyed, stream_changes
 from payfeed.streaming.stream import arriving
 from payfeed.streaming.stream import stream_increment as run_stream
 
@@ -383,6 +384,42 @@ def stream_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _pay_arrives(spark: SparkSession, sf_dir: str) -> Watch:
+    """Salary rows newer than the mark, which arrive as order lines."""
+    owners = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    newer = lambda lines: lines.where(F.col("l_shipdate") > ntz(SALARY_MARK)).join(owners, F.col("l_orderkey") == F.col("o_orderkey"))
+    return Watch("salary_master", sf_dir, read(spark, sf_dir, "lineitem").schema, emp_code(F.col("o_custkey")), prepare=newer, glob="lineitem.parquet")
+
+
+def _streamed(spark: SparkSession, sf_dir: str, feed: str, watches: list[Watch], **options) -> DataFrame:
+    """What a stream over the watched tables sends, summed up per employee."""
+    path = run_path(spark, "stream")
+    shape = keyed(FEEDS[feed], lambda: hr_tables(spark, sf_dir), "db-1", "sub-1", now=lambda: SALARY_AS_OF, **options)
+    stream_changes(spark, watches, shape, f"{path}/outbox", f"{path}/checkpoint")
+    value = lambda name: F.get_json_object("record", f"$.{name}")
+    sent = spark.read.parquet(f"{path}/outbox/records").groupBy(value("employee_code").alias("employee_code"))
+    return sent.agg(F.count(F.lit(1)).alias("n"), F.max(value("monthly_rate").cast("double")).alias("monthly"))
+
+
+@query(
+    "stream_onboarding_in",
+    "SELECT EmployeeCode AS employee_code, count(*) AS n, max(coalesce(MonthlyAmount, 0.0)) AS monthly FROM onboarding_india_all GROUP BY 1",
+)
+def stream_onboarding_india(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New pay and new employees arrive side by side: all pay of whoever is named in either."""
+    new = Watch("employee_details", sf_dir, read(spark, sf_dir, "customer").schema, emp_code(F.col("c_custkey")), glob="customer.parquet")
+    return _streamed(spark, sf_dir, "onboarding_india", [_pay_arrives(spark, sf_dir), new])
+
+
+@query(
+    "stream_onboarding_ph",
+    "SELECT EmployeeCode AS employee_code, count(*) AS n, max(coalesce(MonthlyRate, 0.0)) AS monthly FROM onboarding_philippines_rows GROUP BY 1",
+)
+def stream_onboarding_philippines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New pay arrives: all pay of its employees, as the batch run sends it."""
+    return _streamed(spark, sf_dir, "onboarding_philippines", [_pay_arrives(spark, sf_dir)], codes=list(PROPERTY_CODES))
+
+
 @query(
     "overtime_rejects",
     """SELECT EmpCode, "Date", OT_UpdatedDate, CASE WHEN second(OT_UpdatedDate) % 17 = 0 THEN 'not a JSON list of parameters'
@@ -414,10 +451,11 @@ def _as_json(dtype: str) -> str:
     SELECT 'PHILIPPINES', EmployeeCode, count(*), max(coalesce(MonthlyRate, 0.0)), NULL
     FROM onboarding_philippines_rows GROUP BY EmployeeCode
     UNION ALL
-    SELECT NULL, NULL, 1, NULL, 'no source configured for nobody' FROM (SELECT count(*) FROM customer) c""",
+    SELECT NULL, NULL, 1, NULL, e.error FROM (SELECT count(*) FROM customer) c,
+    (VALUES ('no source configured for nobody'), ('unsupported country: null')) AS e(error)""",
 )
 def consume_onboarding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages of an Indian and a Philippine source, and one of no source, in one call."""
+    """Messages of an Indian and a Philippine source, of no source, and of a source without country, in one call."""
     feeds = {"INDIA": feed_onboarding_in(spark, sf_dir), "PHILIPPINES": feed_onboarding_ph(spark, sf_dir)}
     schemas, sent = {}, []
     for country, rows in feeds.items():
@@ -425,8 +463,11 @@ def consume_onboarding(spark: SparkSession, sf_dir: str) -> DataFrame:
         folded = envelopes(iso_records(rows, rows.columns).withColumn("_key", F.col("EmployeeCode")), rows.columns, ["_key"], ["PayHeadCategoryID", "EmployeeID"])
         named = folded.withColumn("source_db", F.lit("db")).withColumn("subscription_name", F.lit(f"sub-{country}"))
         sent.append(named.select(F.concat_ws("-", F.lit(country), "_key").alias("message_id"), envelope_message(("subscription_name",)).alias("message")))
-    stray = read(spark, sf_dir, "customer").agg(F.lit("stray").alias("message_id"), F.lit('{"records":[{}],"subscription_name":"nobody"}').alias("message"))
-    sources = spark.createDataFrame([(c.lower(), f"sub-{c}", c) for c in feeds], "name string, subscription_name string, country string")
+    strays = F.explode(F.array(F.lit("nobody"), F.lit("nowhere")))
+    stray = read(spark, sf_dir, "customer").agg(F.count(F.lit(1)).alias("n")).select(strays.alias("message_id"))
+    stray = stray.withColumn("message", F.format_string('{"records":[{}],"subscription_name":"%s"}', "message_id"))
+    known = [(c.lower(), f"sub-{c}", c) for c in feeds] + [("db", "nowhere", None)]
+    sources = spark.createDataFrame(known, "name string, subscription_name string, country string")
     got = consume(sent[0].unionByName(sent[1]).unionByName(stray), "onboarding", sources, schemas, ROSTER_AS_OF)
     return got.groupBy("country", F.get_json_object("record", "$.employee_code").alias("employee_code"), "error").agg(
         F.count(F.lit(1)).alias("n"),

@@ -1,19 +1,31 @@
-"""What a consumer does with arrived messages: find the source, decode, shape for its country."""
+"""What a consumer does with arrived messages: find the source, decode, shape for its country.
+
+One pass: a message is parsed once, its records stay text until their country is known, and each is then
+parsed once by that country's schema. No branch per country, so no table is read twice.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from payfeed.plans import payloads
-from payfeed.sources.outbox import JSON_OPTIONS, REQUIRED_BY_SUBSCRIPTION, parse_envelopes
+from payfeed.sources.outbox import JSON_OPTIONS, REQUIRED_BY_SUBSCRIPTION, parse_messages
 from payfeed.sources.tables import route
 
 
+def _by_country(values: dict[str, Column]) -> Column:
+    """The value for the country of the row."""
+    (first, value), *rest = values.items()
+    chosen = F.when(F.col("country") == first, value)
+    for country, value in rest:
+        chosen = chosen.when(F.col("country") == country, value)
+    return chosen
+
+
 def consume(
     messages: DataFrame,
     feed: str,
@@ -27,30 +39,43 @@ def consume(
     ``sources`` has name, subscription_name and country; ``schemas`` gives the records of each
     country, so sources of several countries go through one call. Returns message_id, subscription_name,
     country, position, record (JSON) and error. A message that cannot be read, has no source, or
-    whose country has no payload is one row with an error and no record.
+    whose country has no payload or is not known is one row with an error and no record.
     """
-    named = messages.withColumn("subscription_name", F.get_json_object(column, "$.subscription_name"))
-    routed = route(named, sources).withColumnRenamed("source_country", "country")
+    if not schemas:
+        raise ValueError("no countries given")
+    parsed = parse_messages(messages.select("message_id", column), REQUIRED_BY_SUBSCRIPTION, column)
+    parsed = parsed.select("message_id", "subscription_name", "records", F.col("error").alias("_unread"))
+    routed = route(parsed, sources).withColumnRenamed("source_country", "country")
     known = F.coalesce(F.col("country").isin(list(schemas)), F.lit(False))
-    lost = F.coalesce(F.col("route_error"), F.concat(F.lit("unsupported country: "), F.col("country")))
-    columns = ["message_id", "subscription_name", "country", "position", "record", "error"]
-
-    def failed(rows: DataFrame, error) -> DataFrame:
-        nothing = [F.lit(None).cast("int").alias("position"), F.lit(None).cast("string").alias("record")]
-        return rows.select("message_id", "subscription_name", "country", *nothing, error.alias("error"))
-
-    parts = [failed(routed.where(~known), lost)]
+    unknown = F.when(~known, F.concat(F.lit("unsupported country: "), F.coalesce("country", F.lit("null"))))
+    unreadable = F.when(F.col("_unread") == "invalid JSON", F.col("_unread"))
+    lost = F.coalesce(unreadable, "route_error", unknown, "_unread")
+    named = routed.select("message_id", "subscription_name", "country", lost.alias("_lost"), F.when(lost.isNull(), F.col("records")).alias("_records"))
+    rows = named.select(
+        "message_id", "subscription_name", "country", "_lost", F.posexplode_outer("_records").alias("position", "_record")
+    )
+    struct = lambda country: f"_of_{list(schemas).index(country)}"
+    decoded = rows.select(
+        "*",
+        *[F.when(F.col("country") == c, F.coalesce(F.from_json("_record", s), F.from_json(F.lit("{}"), s))).alias(struct(c)) for c, s in schemas.items()],
+    )
+    bodies, reasons = {}, {}
     for country, schema in schemas.items():
-        mine = routed.where(F.col("country") == country).select("message_id", F.col("subscription_name").alias("_subscription"), "country", column)
-        parsed = parse_envelopes(mine, schema, REQUIRED_BY_SUBSCRIPTION, column)
-        bad = parsed.where(F.col("error").isNotNull()).drop("subscription_name").withColumnRenamed("_subscription", "subscription_name")
-        parts.append(failed(bad, F.col("error")))
-        keep = ("message_id", "subscription_name", "country", "position")
-        rows = parsed.where(F.col("error").isNull()).select(*keep[:3], F.posexplode("records").alias("position", "_r"))
-        rows = rows.select(*keep, *[F.col(f"_r.`{n}`").alias(n) for n in schema.fieldNames()])
-        shaped = payloads.project(rows, feed, country, as_of=as_of, keep=keep, with_errors=True)
-        fields = [c for c in shaped.columns if c not in (*keep, payloads.ERROR)]
-        body = F.to_json(F.struct(*[F.col(f"`{c}`") for c in fields]), JSON_OPTIONS)
-        error = F.when(F.col(payloads.ERROR).isNotNull(), F.concat(F.lit("unreadable "), F.col(payloads.ERROR)))
-        parts.append(shaped.select(*keep, body.alias("record"), error.alias("error")))
-    return reduce(DataFrame.unionByName, [p.select(*columns) for p in parts])
+        types = {f.name: f.dataType.simpleString() for f in schema.fields}
+        columns, reason = payloads.payload_columns(
+            types, feed, country, as_of=as_of, at=lambda name, c=country: F.col(struct(c))[name]
+        )
+        bodies[country] = F.to_json(F.struct(*columns), JSON_OPTIONS)
+        reasons[country] = reason
+    shaped = F.col("_lost").isNull()
+    wrong = F.when(~F.coalesce(F.col("_record").rlike(r"^\s*\{"), F.lit(False)), "record is no object").otherwise(
+        F.concat(F.lit("unreadable "), _by_country(reasons))
+    )
+    return decoded.select(
+        "message_id",
+        "subscription_name",
+        "country",
+        "position",
+        F.when(shaped, _by_country(bodies)).alias("record"),
+        F.coalesce("_lost", wrong).alias("error"),
+    )

@@ -22,6 +22,7 @@ Input names are matched exactly, letter case included.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -274,9 +275,11 @@ def fields(feed: str, country: str) -> list[Field]:
     return parsed
 
 
-def _value(field: Field, dtype: str | None, as_of: dt.datetime | None, null_text: str | None) -> tuple[Column, Column | None]:
+def _value(
+    field: Field, dtype: str | None, as_of: dt.datetime | None, null_text: str | None, at: Callable[[str], Column]
+) -> tuple[Column, Column | None]:
     """Output value and, for strict kinds, the condition under which the row is in error."""
-    kind, column = field.kind, F.col(f"`{field.source}`") if field.source else None
+    kind, column = field.kind, at(field.source) if field.source else None
     text = dtype == "string"
     if kind == "=today":
         if as_of is None:
@@ -321,36 +324,58 @@ def _value(field: Field, dtype: str | None, as_of: dt.datetime | None, null_text
     raise ValueError(f"unknown kind {kind!r} for {field.output}")
 
 
-def project(
-    df: DataFrame,
+def _named(name: str) -> Column:
+    return F.col(f"`{name}`")
+
+
+def payload_columns(
+    types: dict[str, str],
     feed: str,
     country: str,
     *,
     as_of: dt.datetime | None = None,
     corrected: bool = True,
     null_text: str | None = "None",
-    keep: tuple[str, ...] = (),
-    with_errors: bool = False,
-) -> DataFrame:
-    """Payload columns of a feed.
+    at: Callable[[str], Column] = _named,
+) -> tuple[list[Column], Column]:
+    """Payload columns of rows with fields of ``types``, and the name of the first field in error.
 
-    ``corrected`` reads the feed column that is meant where the specification spells
-    another; without it such fields take their defaults. ``keep`` carries bookkeeping
-    columns through. ``with_errors`` adds the name of the first field in error.
+    ``at`` says where a field stands, by default in the column of its name.
     """
-    types = dict(df.dtypes)
     renames = CORRECTIONS.get((feed, country), {}) if corrected else {}
     columns, errors = [], []
     for field in fields(feed, country):
         source = field.source
         if source not in types and renames.get(source) in types:
             source = renames[source]
-        value, error = _value(Field(field.output, source, field.kind), types.get(source), as_of, null_text)
+        value, error = _value(Field(field.output, source, field.kind), types.get(source), as_of, null_text, at)
         columns.append(value.alias(field.output))
         if error is not None:
             errors.append(F.when(error, F.lit(field.output)))
+    return columns, F.coalesce(*errors) if errors else F.lit(None).cast("string")
+
+
+def project(
+    df: DataFrame,
+    feed: str,
+    country: str,
+    *,
+    as_of: dt.datetime | None = None,
+    corrected: bool = True,
+    null_text: str | None = "None",
+    keep: tuple[str, ...] = (),
+    with_errors: bool = False,
+) -> DataFrame:
+    """Payload columns of a feed.
+
+    ``corrected`` reads the feed column that is meant where the specification spells
+    another; without it such fields take their defaults. ``keep`` carries bookkeeping
+    columns through. ``with_errors`` adds the name of the first field in error.
+    """
+    columns, reason = payload_columns(
+        dict(df.dtypes), feed, country, as_of=as_of, corrected=corrected, null_text=null_text
+    )
     if with_errors:
-        reason = F.coalesce(*errors) if errors else F.lit(None).cast("string")
         columns.append(reason.alias(ERROR))
     return df.select(*[f"`{k}`" for k in keep], *columns)
 

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
 from payfeed.functions.fields import iso_text, ntz
 
@@ -78,6 +78,16 @@ def message_bodies(sent: DataFrame, records: DataFrame, record_key: str) -> Data
     return sent.join(texts, "batch_id").withColumn("body", body).drop("_texts")
 
 
+def parse_messages(
+    messages: DataFrame, required: tuple[str, ...] = REQUIRED_BY_SOURCE, column: str = "message"
+) -> DataFrame:
+    """Messages with their bookkeeping fields and their records, each as JSON text; ``error`` says what is wrong.
+
+    For receivers that learn only from the message what its records are.
+    """
+    return _parsed(messages, StringType(), required, column)
+
+
 def parse_envelopes(
     messages: DataFrame,
     record_schema: StructType,
@@ -85,9 +95,13 @@ def parse_envelopes(
     column: str = "message",
 ) -> DataFrame:
     """Messages with their parsed parts, and what is wrong with them in ``error``."""
+    return _parsed(messages, record_schema, required, column)
+
+
+def _parsed(messages: DataFrame, record: DataType, required: tuple[str, ...], column: str) -> DataFrame:
     schema = StructType(
         [
-            StructField("records", ArrayType(record_schema)),
+            StructField("records", ArrayType(record)),
             StructField("source_db", StringType()),
             StructField("subscription_name", StringType()),
             StructField("max_timestamp", StringType()),

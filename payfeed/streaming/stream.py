@@ -71,14 +71,19 @@ def stream_increment(
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
-    def deliver(rows: DataFrame, epoch: int) -> None:
-        with staging(spark):
-            for name, table in shape(rows, epoch).items():
+    run_stream(reader.load(in_path), shape, outbox, checkpoint)
+
+
+def run_stream(rows: DataFrame, shape: Shape, outbox: str, checkpoint: str) -> None:
+    """Write the tables that ``shape`` makes of each micro-batch of ``rows``; stop when all that has arrived is done."""
+
+    def deliver(arrived: DataFrame, epoch: int) -> None:
+        with staging(arrived.sparkSession):
+            for name, table in shape(arrived, epoch).items():
                 table.write.mode("overwrite").parquet(f"{outbox}/{name}/epoch={epoch}")
 
     query = (
-        reader.load(in_path)
-        .writeStream.foreachBatch(deliver)
+        rows.writeStream.foreachBatch(deliver)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
