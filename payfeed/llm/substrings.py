@@ -3,14 +3,16 @@
 A window is ``WINDOW`` consecutive words. Each window has a minimiser, the least of the
 hashes of its word ``GRAM``-grams, so equal windows have equal minimisers. Consecutive
 windows that share one travel as one packed string, a super-k-mer, to the bucket of the
-minimiser; there all windows are sorted and counted. Windows that occur more than once
-go back to their documents as ranges, and the words they cover are removed.
+minimiser; there all windows are sorted by hash, counted, and what the hashes call equal is compared word
+by word. Windows that occur more than once go back to their documents as ranges, and the words they cover are
+removed. A packed string holds numbers of words in the word list that its chunk sends to the bucket.
 
 Hot keys: grams that are frequent in the whole table are counted first and come last in
 the order of minimisers, so a frequent passage attracts no windows that only touch it; windows
 inside it are equal, and each chunk of documents sends equal super-k-mers once. A bucket
-therefore gets a string at most once per chunk, whatever the number of copies. Buckets grow in
-number with the table, and a task holds one bucket or one chunk at a time.
+therefore gets a string at most once per chunk, whatever the number of copies, and keeps one copy of
+it with four bytes for each chunk. Buckets grow in number with the table, and a task holds one bucket or one chunk
+at a time.
 
 Results of a bucket return to the chunk, which knows where its strings occur, and from
 there as ranges to the documents. Chunks are named by partition and number, so the input must
@@ -35,32 +37,36 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from payfeed.llm.caches import claim, register
+from payfeed.llm.caches import claim
 from payfeed.llm.rows import as_struct, from_struct, with_fields
 from payfeed.session import materialize
 
 WINDOW = 35
 GRAM = 4
-# Words of one chunk, windows of one bucket on average, and counters for frequent grams.
-CHUNK_WORDS = 500_000
-BUCKET_WINDOWS = 1_000_000
+# Bytes of text in one chunk, windows of one bucket on average, and counters for frequent grams.
+CHUNK_BYTES = 3_500_000
+BUCKET_WINDOWS = 600_000
 SLOTS = 1 << 18
-MAX_WORDS = 200_000
 
-_WORDS: dict[bytes, int] = {}
-register("words", _WORDS.clear)
+_WHITE = np.zeros(256, bool)
+_WHITE[[9, 10, 11, 12, 13, 32]] = True
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    """64-bit hashes of words; the worker remembers those it has seen."""
-    try:
-        return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
-    except KeyError:
-        if len(_WORDS) > MAX_WORDS:
-            _WORDS.clear()
-        digest = xxhash.xxh64_intdigest
-        _WORDS.update((w, digest(w)) for w in set(words) if w not in _WORDS)
-        return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+def word_hashes(data: bytes) -> np.ndarray:
+    """64-bit hashes of the words in ``data``, by their bytes alone; they steer and never decide."""
+    letters = np.frombuffer(data, np.uint8)
+    white = _WHITE[letters]
+    letters = letters[~white]
+    if not len(letters):
+        return np.zeros(0, np.uint64)
+    begins = np.flatnonzero(~white & np.concatenate([[True], white[:-1]]))
+    # Where a word begins among the letters: its place without the white space before it.
+    first = begins - np.cumsum(white)[begins]
+    sizes = np.diff(np.append(first, len(letters)))
+    place = np.arange(len(letters)) - np.repeat(first, sizes)
+    factor = np.uint64(0x9E3779B97F4A7C15)
+    powers = np.cumprod(np.full(int(sizes.max()), factor, np.uint64))
+    return mixed(np.add.reduceat((letters.astype(np.uint64) + np.uint64(1)) * powers[place], first))
 
 
 def rolled(values: np.ndarray, size: int, factor: int) -> np.ndarray:
@@ -112,6 +118,19 @@ def gram_slots(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return grams, (grams >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
 
 
+def _joined(texts) -> Iterator[bytes]:
+    """Texts one after the other, in parts of about a chunk."""
+    held, size = [], 0
+    for text in texts:
+        if text:
+            held.append(text.encode("utf-8", "replace"))
+            size += len(held[-1])
+            if size >= CHUNK_BYTES:
+                yield b"\n".join(held)
+                held, size = [], 0
+    yield b"\n".join(held)
+
+
 def frequent_slots(docs: DataFrame) -> tuple[np.ndarray, int]:
     """Counters that hold far more grams than their share, and the number of words, over all documents.
 
@@ -119,19 +138,14 @@ def frequent_slots(docs: DataFrame) -> tuple[np.ndarray, int]:
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        claim("words")
+        claim("")
         counts, n_words = np.zeros(SLOTS, np.int64), 0
         for batch in batches:
-            words: list[bytes] = []
-            for text in batch["text"]:
-                words += _words(text)
-                if len(words) > CHUNK_WORDS:
-                    n_words += len(words)
-                    counts += np.bincount(gram_slots(word_hashes(words))[1], minlength=SLOTS)
-                    words = []
-            if len(words) >= GRAM:
-                counts += np.bincount(gram_slots(word_hashes(words))[1], minlength=SLOTS)
-            n_words += len(words)
+            for data in _joined(batch["text"]):
+                hashes = word_hashes(data)
+                n_words += len(hashes)
+                if len(hashes) >= GRAM:
+                    counts += np.bincount(gram_slots(hashes)[1], minlength=SLOTS)
         high = np.flatnonzero(counts > 2 * n_words / SLOTS + 4)
         yield pd.DataFrame({"slot": np.concatenate([[-1], high]), "n": np.concatenate([[n_words], counts[high]])})
 
@@ -150,19 +164,26 @@ class _Chunk:
         self.keys: list[int] = []
         self.words: list[bytes] = []
         self.ends: list[int] = []
+        self.size = 0
 
-    def add(self, doc_id, key: int, words: list[bytes]) -> None:
+    def add(self, doc_id, key: int, text: str | None) -> None:
+        data = text.encode("utf-8", "replace") if text else b""
         self.doc_ids.append(doc_id)
         self.keys.append(key)
-        self.words += words
+        self.words += data.split()
         self.ends.append(len(self.words))
+        self.size += len(data)
 
     def rows(self, name: str, frequent: np.ndarray, buckets: int, window: int) -> Iterator[tuple]:
         """(dest, chunk, kind, bucket, payload): strings by bucket, then where they occur."""
         n = len(self.words)
         if n < window:
             return
-        grams, slots = gram_slots(word_hashes(self.words))
+        known = {w: i for i, w in enumerate(dict.fromkeys(self.words))}
+        ids = np.fromiter(map(known.__getitem__, self.words), np.int32, n)
+        names = list(known)
+        self.words = []
+        grams, slots = gram_slots(word_hashes(b"\n".join(names))[ids])
         order = grams >> np.uint64(1)
         order[frequent[slots]] |= np.uint64(1 << 63)
         least = _least(order, window - GRAM + 1)
@@ -175,35 +196,130 @@ class _Chunk:
         first = np.flatnonzero(np.concatenate([[True], (np.diff(starts) != 1) | (least[1:] != least[:-1])]))
         run_start, run_len = starts[first], np.diff(np.append(first, len(starts)))
         bucket = (mixed(least[first]) % np.uint64(buckets)).astype(np.int64)
-        sizes = np.fromiter(map(len, self.words), np.int64, n)
-        offset = np.concatenate([[0], np.cumsum(sizes + 1)])
-        text = b" ".join(self.words)
-        begin, end = offset[run_start].tolist(), (offset[run_start + run_len + window - 1] - 1).tolist()
+        whole = ids.tobytes()
+        begin, end = (4 * run_start).tolist(), (4 * (run_start + run_len + window - 1)).tolist()
         # Equal strings of a chunk travel once; runs are put in the order of their buckets.
         by_bucket = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.diff(bucket[by_bucket])) + 1
         string_of = np.zeros(len(first), np.int64)
         packer = zstandard.ZstdCompressor(level=1)
+        number_in = np.zeros(len(names), np.int32)
         for runs in np.split(by_bucket, cuts):
             strings: dict[bytes, int] = {}
-            of = [strings.setdefault(text[begin[r] : end[r]], len(strings)) for r in runs.tolist()]
+            of = [strings.setdefault(whole[begin[r] : end[r]], len(strings)) for r in runs.tolist()]
             string_of[runs] = of
             often = (np.bincount(of, minlength=len(strings)) > 1).astype(np.uint8)
             number = int(bucket[runs[0]])
-            yield number, name, 1, number, packer.compress(struct.pack("<I", len(strings)) + often.tobytes() + b"\n".join(strings))
+            sizes = np.fromiter(map(len, strings), np.int32, len(strings)) // 4
+            yield number, name, 1, number, packer.compress(_packed(np.frombuffer(b"".join(strings), np.int32), sizes, often, names, number_in))
         table = np.stack([bucket, string_of, doc[run_start], run_start - np.concatenate([[0], ends[:-1]])[doc[run_start]]]).astype("<i4")
         present = np.array([d is not None for d in self.doc_ids], np.uint8)
-        known = np.array([d or 0 for d in self.doc_ids], "<i8")
-        payload = struct.pack("<II", len(known), table.shape[1]) + present.tobytes() + known.tobytes() + np.array(self.keys, "<i8").tobytes() + table.tobytes()
+        doc_ids = np.array([d or 0 for d in self.doc_ids], "<i8")
+        payload = struct.pack("<II", len(doc_ids), table.shape[1]) + present.tobytes() + doc_ids.tobytes() + np.array(self.keys, "<i8").tobytes() + table.tobytes()
         yield buckets + int(xxhash.xxh32_intdigest(name)), name, 0, -1, packer.compress(payload)
 
 
+def _packed(ids: np.ndarray, sizes: np.ndarray, often: np.ndarray, names: list[bytes], number_in: np.ndarray) -> bytes:
+    """Strings of one bucket: their sizes, their words, and these as numbers in the list of words."""
+    used = np.unique(ids)
+    number_in[used] = np.arange(len(used), dtype=np.int32)
+    words = b"\n".join([names[i] for i in used.tolist()])
+    kind = "<u2" if len(used) <= 1 << 16 else "<u4"
+    head = struct.pack("<III", len(sizes), len(words), len(used))
+    return head + sizes.astype("<u4").tobytes() + often.tobytes() + words + number_in[ids].astype(kind).tobytes()
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+    """Sizes, flags, words and numbers of ``_packed``."""
+    n, size, used = struct.unpack_from("<III", data)
+    at = 12 + 5 * n
+    kind = "<u2" if used <= 1 << 16 else "<u4"
+    numbers = np.frombuffer(data, kind, offset=at + size)
+    return np.frombuffer(data, "<u4", n, 12), np.frombuffer(data, np.uint8, n, 12 + 4 * n), data[at : at + size].split(b"\n"), numbers
+
+
+class _Bucket:
+    """Distinct strings of one bucket, and which chunk has sent which."""
+
+    def __init__(self):
+        self.words: dict[bytes, int] = {}
+        self.strings: dict[bytes, int] = {}
+        self.often = bytearray()
+        self.chunks: list[tuple[str, np.ndarray]] = []
+
+    def add(self, chunk: str, data: bytes) -> None:
+        sizes, often, words, numbers = _unpacked(data)
+        known, strings = self.words, self.strings
+        whole = np.array([known.setdefault(w, len(known)) for w in words], np.int32)[numbers].tobytes()
+        ends = (4 * np.cumsum(sizes, dtype=np.int64)).tolist()
+        of, begin = np.zeros(len(sizes), np.int32), 0
+        for i, (end, flag) in enumerate(zip(ends, often.tolist())):
+            at = strings.setdefault(whole[begin:end], len(strings))
+            if at == len(self.often):
+                self.often.append(flag)
+            else:
+                self.often[at] = 1  # two chunks have it
+            of[i], begin = at, end
+        self.chunks.append((chunk, of))
+
+    def ranges(self, window: int) -> np.ndarray:
+        """String, first and last word of what repeats, in the order of strings."""
+        sizes = np.fromiter(map(len, self.strings), np.int64, len(self.strings)) // 4
+        ids = np.frombuffer(b"".join(self.strings), np.int32)
+        self.strings = {}
+        windows = sizes - window + 1
+        string = np.repeat(np.arange(len(sizes), dtype=np.int32), windows)
+        shift = np.cumsum(windows) - windows
+        place = (np.arange(len(string)) - np.repeat(shift, windows)).astype(np.int32)
+        at = np.repeat(np.cumsum(sizes) - sizes, windows) + place
+        spread = mixed((ids.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93))
+        one = rolled(spread, window, 0x9FB21C651E98DF25)[at]
+        order = np.argsort(one)
+        one = one[order]
+        repeated = np.frombuffer(self.often, np.uint8)[string] > 0
+        same = np.flatnonzero(one[1:] == one[:-1])
+        left, right = order[same], order[same + 1]
+        equal = _equal(ids, at[left], at[right], window)
+        if equal.all():
+            repeated[left], repeated[right] = True, True
+        else:
+            _by_words(ids, at, order, one, same[~equal], window, repeated)
+            fine = equal & ~np.isin(one[same], one[same[~equal]])
+            repeated[left[fine]], repeated[right[fine]] = True, True
+        hit = np.flatnonzero(repeated)
+        if not len(hit):
+            return np.zeros((3, 0), np.int64)
+        new = np.concatenate([[True], (np.diff(hit) != 1) | (np.diff(string[hit]) != 0)])
+        first, last = hit[new], hit[np.append(np.flatnonzero(new)[1:] - 1, len(hit) - 1)]
+        return np.stack([string[first], place[first], place[last] + window]).astype(np.int64)
+
+
+def _equal(ids: np.ndarray, left: np.ndarray, right: np.ndarray, window: int) -> np.ndarray:
+    """Whether the windows at these places have the same words."""
+    equal = np.ones(len(left), bool)
+    for k in range(window):
+        equal &= ids[left + k] == ids[right + k]
+    return equal
+
+
+def _by_words(ids, at, order, hashes, doubtful, window: int, repeated: np.ndarray) -> None:
+    """Mark what repeats among windows of a hash that different windows share."""
+    for value in np.unique(hashes[doubtful]):
+        members = order[np.searchsorted(hashes, value) : np.searchsorted(hashes, value, "right")]
+        alike: dict[bytes, list[int]] = {}
+        for m in members.tolist():
+            alike.setdefault(ids[at[m] : at[m] + window].tobytes(), []).append(m)
+        for group in alike.values():
+            if len(group) > 1:
+                repeated[group] = True
+
+
 MOVED = "dest long, chunk string, kind int, bucket long, payload binary"
 
 
 def _send(slots: np.ndarray, buckets: int, window: int):
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        claim("words")
+        claim("")
         frequent = np.zeros(SLOTS, bool)
         frequent[slots] = True
         part, number, chunk = TaskContext.get().partitionId(), 0, _Chunk()
@@ -213,8 +329,8 @@ def _send(slots: np.ndarray, buckets: int, window: int):
 
         for batch in batches:
             for doc_id, key, text in zip(batch["doc_id"], batch["text_key"], batch["text"]):
-                chunk.add(None if pd.isna(doc_id) else int(doc_id), key, _words(text))
-                if len(chunk.words) >= CHUNK_WORDS:
+                chunk.add(None if pd.isna(doc_id) else int(doc_id), key, text)
+                if chunk.size >= CHUNK_BYTES:
                     yield flush()
                     number, chunk = number + 1, _Chunk()
         yield flush()
@@ -225,63 +341,34 @@ def _send(slots: np.ndarray, buckets: int, window: int):
 def _count(window: int):
     """Bucket by bucket: which windows of which strings occur more than once."""
 
-    def settle(bucket: int, blobs: list[tuple[str, bytes]]) -> Iterator[tuple]:
-        unpacker = zstandard.ZstdDecompressor()
-        parts, sizes, often, count_of = [], [], [], []
-        for _, blob in blobs:
-            data = unpacker.decompress(blob)
-            (n,) = struct.unpack_from("<I", data)
-            often.append(np.frombuffer(data, np.uint8, n, 4))
-            for string in data[4 + n :].split(b"\n"):
-                sizes.append(string.count(b" ") + 1)
-            parts.append(word_hashes(data[4 + n :].split()))
-            count_of.append(n)
-        sizes = np.array(sizes)
-        ends = np.cumsum(sizes)
-        windows = sizes - window + 1
-        hashes = np.concatenate(parts)
-        string = np.repeat(np.arange(len(sizes)), windows)
-        place = np.arange(len(string)) - np.repeat(np.cumsum(windows) - windows, windows)
-        at = (ends - sizes)[string] + place
-        one = rolled(hashes, window, 0x9FB21C651E98DF25)[at]
-        order = np.argsort(one)
-        two = rolled(hashes, window, 0xA0761D6478BD642F)[at][order]
-        one = one[order]
-        same = (one[1:] == one[:-1]) & (two[1:] == two[:-1])
-        repeated = np.zeros(len(string), bool)
-        repeated[order[1:][same]] = True
-        repeated[order[:-1][same]] = True
-        repeated |= np.concatenate(often)[string] > 0
-        hit = np.flatnonzero(repeated)
-        if not len(hit):
-            return
-        new = np.concatenate([[True], (np.diff(hit) != 1) | (np.diff(string[hit]) != 0)])
-        first, last = hit[new], hit[np.append(np.flatnonzero(new)[1:] - 1, len(hit) - 1)]
-        ranges = np.stack([string[first], place[first], place[last] + window])
-        bounds = np.concatenate([[0], np.cumsum(count_of)])
-        cut = np.searchsorted(ranges[0], bounds)
-        for i, (chunk, _) in enumerate(blobs):
-            mine = ranges[:, cut[i] : cut[i + 1]].copy()
-            if mine.shape[1]:
-                mine[0] -= bounds[i]
-                yield 0, chunk, 1, bucket, zstandard.ZstdCompressor(level=1).compress(mine.astype("<i4").tobytes())
+    def settle(number: int, bucket: _Bucket) -> Iterator[tuple]:
+        found = bucket.ranges(window)
+        packer = zstandard.ZstdCompressor(level=1)
+        for chunk, of in bucket.chunks if found.shape[1] else ():
+            first, last = np.searchsorted(found[0], of), np.searchsorted(found[0], of, "right")
+            times = last - first
+            where = np.repeat(first, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            if len(where):
+                mine = np.stack([np.repeat(np.arange(len(of)), times), found[1][where], found[2][where]])
+                yield 0, chunk, 1, number, packer.compress(mine.astype("<i4").tobytes())
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        claim("words")
-        bucket, blobs = None, []
+        claim("")
+        at, bucket, unpacker = None, _Bucket(), zstandard.ZstdDecompressor()
+        columns = ["dest", "chunk", "kind", "bucket", "payload"]
         for batch in batches:
             out = []
             for dest, chunk, kind, number, payload in batch.itertuples(index=False):
                 if kind == 0:
                     out.append((dest, chunk, kind, number, payload))
                     continue
-                if number != bucket and blobs:
-                    out += settle(bucket, blobs)
-                    blobs = []
-                bucket = number
-                blobs.append((chunk, payload))
-            yield pd.DataFrame(out, columns=["dest", "chunk", "kind", "bucket", "payload"])
-        yield pd.DataFrame(list(settle(bucket, blobs)) if blobs else [], columns=["dest", "chunk", "kind", "bucket", "payload"])
+                if number != at and bucket.chunks:
+                    out += settle(at, bucket)
+                    bucket = _Bucket()
+                at = number
+                bucket.add(chunk, unpacker.decompress(payload))
+            yield pd.DataFrame(out, columns=columns)
+        yield pd.DataFrame(list(settle(at, bucket)) if bucket.chunks else [], columns=columns)
 
     return count
 
