@@ -5,7 +5,7 @@ hashes of its word ``GRAM``-grams, so equal windows have equal minimisers. Conse
 windows that share one travel as one packed string, a super-k-mer, to the bucket of the
 minimiser; there all windows are sorted by hash, counted, and what the hashes call equal is compared word
 by word. Windows that occur more than once go back to their documents as ranges, and the words they cover are
-removed. A packed string holds numbers of words in the word list that its chunk sends to the bucket.
+removed.
 
 Hot keys: grams that are frequent in the whole table are counted first and come last in
 the order of minimisers, so a frequent passage attracts no windows that only touch it; windows
@@ -45,27 +45,42 @@ WINDOW = 35
 GRAM = 4
 # Bytes of text in one chunk, windows of one bucket on average, and counters for frequent grams.
 CHUNK_BYTES = 3_500_000
-BUCKET_WINDOWS = 600_000
+BUCKET_WINDOWS = 1_000_000
 SLOTS = 1 << 18
+# Bytes hashed at once.
+_AT_ONCE = 1 << 19
 
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
 
 
 def word_hashes(data: bytes) -> np.ndarray:
-    """64-bit hashes of the words in ``data``, by their bytes alone; they steer and never decide."""
-    letters = np.frombuffer(data, np.uint8)
-    white = _WHITE[letters]
-    letters = letters[~white]
-    if not len(letters):
-        return np.zeros(0, np.uint64)
+    """64-bit hashes of the words in ``data``, by their bytes alone; they steer and order, and never decide."""
+    letters, found, at = np.frombuffer(data, np.uint8), [], 0
+    while at < len(letters):
+        size = _AT_ONCE
+        white = _WHITE[letters[at : at + size]]
+        while at + size < len(letters) and not white.any():
+            size *= 2
+            white = _WHITE[letters[at : at + size]]
+        if at + size < len(letters):  # up to the last white space
+            size = len(white) - int(np.argmax(white[::-1]))
+            white = white[:size]
+        found.append(_hashes(letters[at : at + size], white))
+        at += size
+    return np.concatenate(found) if found else np.zeros(0, np.uint64)
+
+
+def _hashes(letters: np.ndarray, white: np.ndarray) -> np.ndarray:
     begins = np.flatnonzero(~white & np.concatenate([[True], white[:-1]]))
+    if not len(begins):
+        return np.zeros(0, np.uint64)
     # Where a word begins among the letters: its place without the white space before it.
     first = begins - np.cumsum(white)[begins]
+    letters = letters[~white]
     sizes = np.diff(np.append(first, len(letters)))
     place = np.arange(len(letters)) - np.repeat(first, sizes)
-    factor = np.uint64(0x9E3779B97F4A7C15)
-    powers = np.cumprod(np.full(int(sizes.max()), factor, np.uint64))
+    powers = np.cumprod(np.full(int(sizes.max()), 0x9E3779B97F4A7C15, np.uint64))
     return mixed(np.add.reduceat((letters.astype(np.uint64) + np.uint64(1)) * powers[place], first))
 
 
@@ -162,33 +177,30 @@ class _Chunk:
     def __init__(self):
         self.doc_ids: list = []
         self.keys: list[int] = []
-        self.words: list[bytes] = []
-        self.ends: list[int] = []
+        self.texts: list[bytes] = []
+        self.counts: list[int] = []
         self.size = 0
 
     def add(self, doc_id, key: int, text: str | None) -> None:
-        data = text.encode("utf-8", "replace") if text else b""
+        words = _words(text)
         self.doc_ids.append(doc_id)
         self.keys.append(key)
-        self.words += data.split()
-        self.ends.append(len(self.words))
-        self.size += len(data)
+        self.counts.append(len(words))
+        if words:
+            self.texts.append(b" ".join(words))
+            self.size += len(self.texts[-1])
 
     def rows(self, name: str, frequent: np.ndarray, buckets: int, window: int) -> Iterator[tuple]:
         """(dest, chunk, kind, bucket, payload): strings by bucket, then where they occur."""
-        n = len(self.words)
+        text = b" ".join(self.texts)
+        n, ends = sum(self.counts), np.cumsum(self.counts)
         if n < window:
             return
-        known = {w: i for i, w in enumerate(dict.fromkeys(self.words))}
-        ids = np.fromiter(map(known.__getitem__, self.words), np.int32, n)
-        names = list(known)
-        self.words = []
-        grams, slots = gram_slots(word_hashes(b"\n".join(names))[ids])
+        grams, slots = gram_slots(word_hashes(text))
         order = grams >> np.uint64(1)
         order[frequent[slots]] |= np.uint64(1 << 63)
         least = _least(order, window - GRAM + 1)
-        ends = np.array(self.ends)
-        doc = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+        doc = np.repeat(np.arange(len(ends)), self.counts)
         starts = np.flatnonzero(doc[: n - window + 1] == doc[window - 1 :])
         if not len(starts):
             return
@@ -196,22 +208,20 @@ class _Chunk:
         first = np.flatnonzero(np.concatenate([[True], (np.diff(starts) != 1) | (least[1:] != least[:-1])]))
         run_start, run_len = starts[first], np.diff(np.append(first, len(starts)))
         bucket = (mixed(least[first]) % np.uint64(buckets)).astype(np.int64)
-        whole = ids.tobytes()
-        begin, end = (4 * run_start).tolist(), (4 * (run_start + run_len + window - 1)).tolist()
+        offset = _word_offsets(text)
+        begin, end = offset[run_start].tolist(), (offset[run_start + run_len + window - 1] - 1).tolist()
         # Equal strings of a chunk travel once; runs are put in the order of their buckets.
         by_bucket = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.diff(bucket[by_bucket])) + 1
         string_of = np.zeros(len(first), np.int64)
         packer = zstandard.ZstdCompressor(level=1)
-        number_in = np.zeros(len(names), np.int32)
         for runs in np.split(by_bucket, cuts):
             strings: dict[bytes, int] = {}
-            of = [strings.setdefault(whole[begin[r] : end[r]], len(strings)) for r in runs.tolist()]
+            of = [strings.setdefault(text[begin[r] : end[r]], len(strings)) for r in runs.tolist()]
             string_of[runs] = of
             often = (np.bincount(of, minlength=len(strings)) > 1).astype(np.uint8)
             number = int(bucket[runs[0]])
-            sizes = np.fromiter(map(len, strings), np.int32, len(strings)) // 4
-            yield number, name, 1, number, packer.compress(_packed(np.frombuffer(b"".join(strings), np.int32), sizes, often, names, number_in))
+            yield number, name, 1, number, packer.compress(_packed(strings, often))
         table = np.stack([bucket, string_of, doc[run_start], run_start - np.concatenate([[0], ends[:-1]])[doc[run_start]]]).astype("<i4")
         present = np.array([d is not None for d in self.doc_ids], np.uint8)
         doc_ids = np.array([d or 0 for d in self.doc_ids], "<i8")
@@ -219,73 +229,60 @@ class _Chunk:
         yield buckets + int(xxhash.xxh32_intdigest(name)), name, 0, -1, packer.compress(payload)
 
 
-def _packed(ids: np.ndarray, sizes: np.ndarray, often: np.ndarray, names: list[bytes], number_in: np.ndarray) -> bytes:
-    """Strings of one bucket: their sizes, their words, and these as numbers in the list of words."""
-    used = np.unique(ids)
-    number_in[used] = np.arange(len(used), dtype=np.int32)
-    words = b"\n".join([names[i] for i in used.tolist()])
-    kind = "<u2" if len(used) <= 1 << 16 else "<u4"
-    head = struct.pack("<III", len(sizes), len(words), len(used))
-    return head + sizes.astype("<u4").tobytes() + often.tobytes() + words + number_in[ids].astype(kind).tobytes()
+def _word_offsets(text: bytes) -> np.ndarray:
+    """Where words begin that stand between single spaces, and one past the end's space."""
+    spaces = np.flatnonzero(np.frombuffer(text, np.uint8) == 32)
+    return np.concatenate([[0], spaces + 1, [len(text) + 1]])
 
 
-def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
-    """Sizes, flags, words and numbers of ``_packed``."""
-    n, size, used = struct.unpack_from("<III", data)
-    at = 12 + 5 * n
-    kind = "<u2" if used <= 1 << 16 else "<u4"
-    numbers = np.frombuffer(data, kind, offset=at + size)
-    return np.frombuffer(data, "<u4", n, 12), np.frombuffer(data, np.uint8, n, 12 + 4 * n), data[at : at + size].split(b"\n"), numbers
+def _packed(strings, often: np.ndarray) -> bytes:
+    return struct.pack("<I", len(often)) + often.tobytes() + b"\n".join(strings)
 
 
 class _Bucket:
     """Distinct strings of one bucket, and which chunk has sent which."""
 
     def __init__(self):
-        self.words: dict[bytes, int] = {}
         self.strings: dict[bytes, int] = {}
         self.often = bytearray()
         self.chunks: list[tuple[str, np.ndarray]] = []
 
     def add(self, chunk: str, data: bytes) -> None:
-        sizes, often, words, numbers = _unpacked(data)
-        known, strings = self.words, self.strings
-        whole = np.array([known.setdefault(w, len(known)) for w in words], np.int32)[numbers].tobytes()
-        ends = (4 * np.cumsum(sizes, dtype=np.int64)).tolist()
-        of, begin = np.zeros(len(sizes), np.int32), 0
-        for i, (end, flag) in enumerate(zip(ends, often.tolist())):
-            at = strings.setdefault(whole[begin:end], len(strings))
-            if at == len(self.often):
-                self.often.append(flag)
+        (n,) = struct.unpack_from("<I", data)
+        of, strings, often = np.zeros(n, np.int32), self.strings, self.often
+        for i, (string, flag) in enumerate(zip(data[4 + n :].split(b"\n"), data[4 : 4 + n])):
+            at = strings.setdefault(string, len(strings))
+            if at == len(often):
+                often.append(flag)
             else:
-                self.often[at] = 1  # two chunks have it
-            of[i], begin = at, end
+                often[at] = 1  # two chunks have it
+            of[i] = at
         self.chunks.append((chunk, of))
 
     def ranges(self, window: int) -> np.ndarray:
         """String, first and last word of what repeats, in the order of strings."""
-        sizes = np.fromiter(map(len, self.strings), np.int64, len(self.strings)) // 4
-        ids = np.frombuffer(b"".join(self.strings), np.int32)
+        sizes = np.fromiter((x.count(b" ") for x in self.strings), np.int64, len(self.strings)) + 1
+        text = b" ".join(self.strings)
         self.strings = {}
         windows = sizes - window + 1
         string = np.repeat(np.arange(len(sizes), dtype=np.int32), windows)
         shift = np.cumsum(windows) - windows
         place = (np.arange(len(string)) - np.repeat(shift, windows)).astype(np.int32)
         at = np.repeat(np.cumsum(sizes) - sizes, windows) + place
-        spread = mixed((ids.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93))
-        one = rolled(spread, window, 0x9FB21C651E98DF25)[at]
+        offset = _word_offsets(text)
+        one = rolled(word_hashes(text), window, 0x9FB21C651E98DF25)[at]
         order = np.argsort(one)
         one = one[order]
         repeated = np.frombuffer(self.often, np.uint8)[string] > 0
         same = np.flatnonzero(one[1:] == one[:-1])
         left, right = order[same], order[same + 1]
-        equal = _equal(ids, at[left], at[right], window)
-        if equal.all():
-            repeated[left], repeated[right] = True, True
-        else:
-            _by_words(ids, at, order, one, same[~equal], window, repeated)
-            fine = equal & ~np.isin(one[same], one[same[~equal]])
-            repeated[left[fine]], repeated[right[fine]] = True, True
+        spans = [x.tolist() for x in (offset[at[left]], offset[at[left] + window] - 1, offset[at[right]], offset[at[right] + window] - 1)]
+        equal = np.fromiter((text[a:b] == text[c:d] for a, b, c, d in zip(*spans)), bool, len(same))
+        if not equal.all():
+            doubtful = one[same[~equal]]
+            _by_words(text, offset, at, order, one, np.unique(doubtful), window, repeated)
+            equal &= ~np.isin(one[same], doubtful)
+        repeated[left[equal]], repeated[right[equal]] = True, True
         hit = np.flatnonzero(repeated)
         if not len(hit):
             return np.zeros((3, 0), np.int64)
@@ -294,21 +291,13 @@ class _Bucket:
         return np.stack([string[first], place[first], place[last] + window]).astype(np.int64)
 
 
-def _equal(ids: np.ndarray, left: np.ndarray, right: np.ndarray, window: int) -> np.ndarray:
-    """Whether the windows at these places have the same words."""
-    equal = np.ones(len(left), bool)
-    for k in range(window):
-        equal &= ids[left + k] == ids[right + k]
-    return equal
-
-
-def _by_words(ids, at, order, hashes, doubtful, window: int, repeated: np.ndarray) -> None:
+def _by_words(text: bytes, offset, at, order, hashes, doubtful, window: int, repeated: np.ndarray) -> None:
     """Mark what repeats among windows of a hash that different windows share."""
-    for value in np.unique(hashes[doubtful]):
+    for value in doubtful:
         members = order[np.searchsorted(hashes, value) : np.searchsorted(hashes, value, "right")]
         alike: dict[bytes, list[int]] = {}
         for m in members.tolist():
-            alike.setdefault(ids[at[m] : at[m] + window].tobytes(), []).append(m)
+            alike.setdefault(text[offset[at[m]] : offset[at[m] + window] - 1], []).append(m)
         for group in alike.values():
             if len(group) > 1:
                 repeated[group] = True
