@@ -20,7 +20,7 @@ from payfeed.plans.increment import FEEDS, run_increment, write_batches
 from payfeed.plans.overtime import overtime_rejects
 from payfeed.session import materialize, run_path
 from payfeed.sources.delivery import append_log, apply_outcomes, batch_log
-from payfeed.sources.marks import append_marks, latest_mark, next_mark
+from payfeed.sources.marks import commit_marks, latest_mark, next_mark, stored_marks
 from payfeed.sources.outbox import decode_envelopes, envelope_message, new_batches
 from payfeed.sources.tables import fan_in, route
 from payfeed.streaming.keyed import Watch, keyed, stream_changes
@@ -128,12 +128,11 @@ def advance_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = old_marks(spark, sf_dir)
     new = materialize(next_mark(order_outcomes(spark, sf_dir), marks, policy="last_success", bump=True), "new")
     path = run_path(spark, "marks")
-    marks.write.parquet(path)
+    commit_marks(marks, path)
     for _ in range(2):  # a repeated commit adds nothing
-        append_marks(new, path)
-    top = marks.agg(F.max("ID")).first()[0]
-    written = spark.read.parquet(path).where(F.col("ID") > top)
-    return written.select("ID", "last_timestamp", "source_db")
+        commit_marks(new, path, forward=False)
+    top = stored_marks(spark, path, 1).agg(F.max("ID")).first()[0]
+    return stored_marks(spark, path).where(F.col("ID") > top).select("ID", "last_timestamp", "source_db")
 
 
 @query(

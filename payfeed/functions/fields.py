@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from fractions import Fraction
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -202,28 +203,26 @@ def ymd(value: Column) -> Column:
     return value.try_cast("timestamp_ntz").cast("date").cast("string")
 
 
+def _tie_goes_up(cents: int) -> bool:
+    """Whether the double nearest to ``cents`` and a half hundredths is rounded up: it lies above, or is the tie and the digit odd."""
+    stored, tie = Fraction((2 * cents + 1) / 200.0), Fraction(2 * cents + 1, 200)
+    return stored > tie or (stored == tie and cents % 2 == 1)
+
+
 def round_money(value: Column) -> Column:
     """Two decimals, decided on the exact binary value, exact ties to the even digit.
 
     ``round`` decides on the printed decimals instead (2.675 would go up although the
-    stored number lies below the tie). The distance to the tie is computed exactly by
-    splitting the fraction into two halves of 26 bits. From 2**46 on, stored numbers lie further
-    apart than cents, so each is its own nearest.
+    stored number lies below the tie). The fraction of a number is exact, and of two doubles the nearest to a
+    tie is the only one that may lie on either side of it; for the hundred ties between two whole numbers this is
+    known beforehand. From 2**46 on, stored numbers lie further apart than cents, so each is its own nearest.
     """
     size = F.abs(value)
     whole = F.when(size < float(1 << 46), F.floor(size).cast("double"))
     part = size - whole
-    thousandths = F.round(part * 1000.0, 0)
-    split = part * 134217729.0
-    high = split - (split - part)
-    low = part - high
-    distance = (high * 1000.0 - thousandths) + low * 1000.0
-    below = (thousandths - 5) / 10
-    tie = (
-        F.when(distance > 0, below + 1)
-        .when(distance < 0, below)
-        .otherwise(F.when((whole * 100 + below) % 2 == 0, below).otherwise(below + 1))
-    )
-    cents = F.when(thousandths % 10 == 5, tie).otherwise(F.rint(part * 100.0))
+    below = F.least(F.floor(part * 100.0), F.lit(99)).cast("int")
+    tie = (2 * below + 1) / F.lit(200.0)
+    up = F.array(*[F.lit(_tie_goes_up(c)) for c in range(100)])
+    cents = below + F.when((part > tie) | ((part == tie) & F.get(up, below)), 1).otherwise(0)
     rounded = (whole * 100 + cents) / 100
-    return F.when(whole.isNull(), value).when(value < 0, -rounded).otherwise(rounded)
+    return F.when((size < float(1 << 46)) & (size > 0), F.when(value < 0, -rounded).otherwise(rounded)).otherwise(value)

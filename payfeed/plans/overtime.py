@@ -29,11 +29,34 @@ def _parameters(text: Column) -> Column:
     return F.when(is_list, F.from_json(text, PARAMETERS))
 
 
+def _problem(items: Column) -> Column:
+    """Why parsed parameters cannot be sent; null where they can."""
+    bad_minutes = F.exists(
+        items,
+        lambda p: F.coalesce(
+            _scalar(p["ParameterValue"]).isNotNull()
+            & minutes_value(_scalar(p["ParameterValue"])).isNull(),
+            F.lit(False),
+        ),
+    )
+    return F.when(items.isNull(), "not a JSON list of parameters").when(bad_minutes, "minutes are not a number")
+
+
+def _parsed_once(use) -> Column:
+    """``use`` of the parsed parameters of a row, which are bound to a name so that the text is parsed once."""
+    return F.transform(F.array(_parameters(F.col("OT_Param_json"))), use)[0]
+
+
 def explode_params(roster: DataFrame, keep: tuple[str, ...]) -> DataFrame:
-    """One row per overtime parameter of a roster row; rows that cannot be read in full give none."""
+    """One row per overtime parameter of a roster row; rows that cannot be read in full give none.
+
+    The rows without parameters are dropped behind the generator: a filter before it would parse the text again.
+    """
+    readable = _parsed_once(lambda items: F.when(_problem(items).isNull(), items))
     return (
-        roster.where(F.col("OT_Param_json").isNotNull() & unreadable().isNull())
-        .select(*keep, F.explode(_parameters(F.col("OT_Param_json"))).alias("p"))
+        roster.where(F.col("OT_Param_json").isNotNull())
+        .select(*keep, F.posexplode_outer(readable).alias("place", "p"))
+        .where(F.col("place").isNotNull())
         .select(
             *keep,
             _scalar(F.col("p.ParameterCode")).alias("Code"),
@@ -45,16 +68,7 @@ def explode_params(roster: DataFrame, keep: tuple[str, ...]) -> DataFrame:
 
 def unreadable() -> Column:
     """Why the parameters of a roster row cannot be read; null where they can."""
-    items = _parameters(F.col("OT_Param_json"))
-    bad_minutes = F.exists(
-        items,
-        lambda p: F.coalesce(
-            _scalar(p["ParameterValue"]).isNotNull()
-            & minutes_value(_scalar(p["ParameterValue"])).isNull(),
-            F.lit(False),
-        ),
-    )
-    return F.when(items.isNull(), "not a JSON list of parameters").when(bad_minutes, "minutes are not a number")
+    return _parsed_once(_problem)
 
 
 def overtime_rejects(roster: DataFrame) -> DataFrame:

@@ -6,10 +6,17 @@ Marks are append-only rows (ID, last_timestamp, source_db); the newest row count
 from __future__ import annotations
 
 import datetime as dt
+import json
+import os
+import uuid
 
-from pyspark.sql import DataFrame, Window
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+MARKS = "ID int, last_timestamp timestamp_ntz, source_db string"
+_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
 
 def latest_mark(marks: DataFrame, per_source: bool = True) -> DataFrame:
     """Newest mark per source, or the newest mark of all."""
@@ -72,13 +79,90 @@ def commit_mark(marks: DataFrame, new: DataFrame) -> DataFrame:
     return new.select((F.lit(top) + place).cast("int").alias("ID"), "last_timestamp", "source_db")
 
 
-def append_marks(new: DataFrame, path: str) -> None:
-    """Append the marks in ``new`` (source_db, last_timestamp) that move a source; repeating adds nothing.
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _newest_commit(spark: SparkSession, path: str) -> int:
+    """Number of the last commit in a folder of marks; 0 where there is none."""
+    at, files = _file_system(spark, path)
+    if not files.exists(at):
+        return 0
+    names = [status.getPath().getName() for status in files.listStatus(at)]
+    return max((int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit()), default=0)
+
 
-    The table at ``path`` must exist. One program writes it at a time.
+def _commit_file(path: str, number: int) -> str:
+    return f"{path.rstrip('/')}/{number:020d}.json"
+
+
+def _create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a file with all its content at once, unless there is one of that name; whether it was written.
+
+    The content goes to a file of its own first, which takes the name by a step that fails if the name is taken: a link in
+    a local folder, a rename without overwriting elsewhere. A store must make that step atomic, as HDFS does.
+    """
+    at, files = _file_system(spark, path)
+    hidden = f"{path.rsplit('/', 1)[0]}/_{uuid.uuid4().hex}"
+    if files.getUri().getScheme() == "file":
+        own, name = (spark._jvm.org.apache.hadoop.fs.Path(p).toUri().getPath() for p in (hidden, path))
+        os.makedirs(os.path.dirname(name), exist_ok=True)
+        with open(own, "w", encoding="utf-8") as out:
+            out.write(text)
+        try:
+            os.link(own, name)
+            return True
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(own)
+    temporary = spark._jvm.org.apache.hadoop.fs.Path(hidden)
+    out = files.create(temporary, False)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    none = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    none[0] = spark._jvm.org.apache.hadoop.fs.Options.Rename.NONE
+    try:
+        context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(at.toUri(), spark._jsc.hadoopConfiguration())
+        context.rename(temporary, at, none)
+        return True
+    except Py4JJavaError as problem:
+        files.delete(temporary, False)
+        if "FileAlreadyExists" in problem.java_exception.getClass().getName():
+            return False
+        raise
+
+
+def stored_marks(spark: SparkSession, path: str, number: int | None = None) -> DataFrame:
+    """The marks in a folder, as of its last commit or an earlier one: the newest row of every source."""
+    number = _newest_commit(spark, path) if number is None else number
+    if not number:
+        return spark.createDataFrame([], MARKS)
+    return spark.read.schema(MARKS).option("timestampNTZFormat", _TIME).json(_commit_file(path, number))
+
+
+def commit_marks(new: DataFrame, path: str, forward: bool = True, attempts: int = 100) -> list[int]:
+    """Make ``new`` (source_db, last_timestamp) the newest marks in the folder ``path``; returns the new IDs.
+
+    Any number of programs may do so at once. A commit is a numbered file with the marks of all sources (one row
+    each). It is computed from the file before it and created only if no other program has created that number;
+    then it is computed again from what that one has written. So no ID is given twice and no mark of another program
+    is lost. Repeating a commit adds nothing. ``forward`` leaves out marks that would move a source back, such as those of a
+    run that was overtaken.
     """
-    marks = new.sparkSession.read.parquet(path)
-    now = latest_mark(marks).select(F.col("source_db").alias("_source"), F.col("last_timestamp").alias("_now"))
-    same = F.col("source_db").eqNullSafe(F.col("_source")) & F.col("last_timestamp").eqNullSafe(F.col("_now"))
-    moved = new.join(now, same, "left_anti").select("source_db", "last_timestamp")
-    commit_mark(marks, moved).write.mode("append").parquet(path)
+    spark = new.sparkSession
+    wanted = [(r["source_db"], r["last_timestamp"]) for r in new.select("source_db", "last_timestamp").collect()]
+    for _ in range(attempts):
+        number = _newest_commit(spark, path)
+        known = {r["source_db"]: (r["ID"], r["last_timestamp"]) for r in stored_marks(spark, path, number).collect()}
+        old = lambda source: known.get(source, (0, None))[1]  # noqa: E731, B023
+        moved = [(s, t) for s, t in wanted if (s not in known or t != old(s)) and not (forward and old(s) is not None and (t is None or t < old(s)))]
+        if not moved:
+            return []
+        top = max((i for i, _ in known.values()), default=0)
+        added = {s: (top + k, t) for k, (s, t) in enumerate(sorted(moved, key=lambda m: (m[0] is not None, m[0] or "")), 1)}
+        rows = [{"ID": i, "last_timestamp": t and t.isoformat(timespec="microseconds"), "source_db": s} for s, (i, t) in {**known, **added}.items()]
+        if _create_new(spark, _commit_file(path, number + 1), "".join(json.dumps(r) + "\n" for r in rows)):
+            return sorted(i for i, _ in added.values())
+    raise RuntimeError(f"marks in {path} were changed by others {attempts} times in a row")

@@ -240,3 +240,66 @@ def test_bind_tables_from_files_and_catalog(spark, tmp_path):
     spark.sql("DROP TABLE hr.roster")
     with pytest.raises(ValueError):
         tables.bind_tables(spark)
+
+
+# ---- marks committed by several programs --------------------------------------------
+
+
+def new_marks(spark, **marks_of):
+    return spark.createDataFrame(list(marks_of.items()), "source_db string, last_timestamp timestamp_ntz")
+
+
+def state(spark, path):
+    return {r.source_db: (r.ID, r.last_timestamp) for r in marks.stored_marks(spark, path).collect()}
+
+
+def test_commits_are_numbered_and_repeat_nothing(spark, tmp_path):
+    path = f"{tmp_path}/marks"
+    assert marks.stored_marks(spark, path).count() == 0
+    assert marks.commit_marks(new_marks(spark, A=T0, B=None), path) == [1, 2]
+    assert marks.commit_marks(new_marks(spark, A=T0, B=None), path) == []
+    assert marks.commit_marks(new_marks(spark, B=T0 + MICRO), path) == [3]
+    assert state(spark, path) == {"A": (1, T0), "B": (3, T0 + MICRO)}
+    assert marks.commit_marks(new_marks(spark, A=T0 - HOUR, B=None), path) == []
+    assert marks.commit_marks(new_marks(spark, A=T0 - HOUR), path, forward=False) == [4]
+    assert state(spark, path)["A"] == (4, T0 - HOUR)
+    assert marks.read_mark(marks.stored_marks(spark, path), "B") == T0 + MICRO
+    assert {r.ID for r in marks.stored_marks(spark, path, 1).collect()} == {1, 2}
+
+
+def test_two_interleaved_commits(spark, tmp_path, monkeypatch):
+    """Both programs have read the same state; the second one finds its number taken and starts from what the first has written."""
+    path, real, seen = f"{tmp_path}/marks", marks._create_new, []
+    marks.commit_marks(new_marks(spark, A=T0, B=T0), path)
+
+    def overtaken(session, name, text):
+        if not seen:
+            seen.append(name)
+            monkeypatch.setattr(marks, "_create_new", real)
+            assert marks.commit_marks(new_marks(spark, A=T0 + 3 * HOUR, C=T0), path) == [3, 4]
+        return real(session, name, text)
+
+    monkeypatch.setattr(marks, "_create_new", overtaken)
+    assert marks.commit_marks(new_marks(spark, A=T0 + HOUR, B=T0 + HOUR), path) == [5]
+    assert state(spark, path) == {"A": (3, T0 + 3 * HOUR), "B": (5, T0 + HOUR), "C": (4, T0)}
+    assert sorted(p.name for p in (tmp_path / "marks").iterdir() if not p.name.startswith(".")) == [f"{n:020d}.json" for n in (1, 2, 3)]
+
+
+def test_many_programs_at_once(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = f"{tmp_path}/marks"
+    made = [new_marks(spark, **{f"S{k % 3}": T0 + k * HOUR, f"own{k}": T0}) for k in range(6)]
+    with ThreadPoolExecutor(6) as pool:
+        ids = [i for found in pool.map(lambda m: marks.commit_marks(m, path), made) for i in found]
+    assert len(ids) == len(set(ids))
+    got = state(spark, path)
+    assert {s: t for s, (_, t) in got.items()} == {**{f"S{k % 3}": T0 + k * HOUR for k in range(3, 6)}, **{f"own{k}": T0 for k in range(6)}}
+    assert len({i for i, _ in got.values()}) == len(got)
+
+
+def test_an_empty_commit_and_a_hopeless_one(spark, tmp_path, monkeypatch):
+    assert marks.commit_marks(new_marks(spark, A=T0).limit(0), f"{tmp_path}/m") == []
+    monkeypatch.setattr(marks, "_create_new", lambda *a: False)
+    with pytest.raises(RuntimeError, match="changed by others"):
+        marks.commit_marks(new_marks(spark, A=T0), f"{tmp_path}/m", attempts=3)

@@ -141,3 +141,17 @@ def test_proper_case_works_per_item(spark):
 def test_is_open(spark):
     ends = [None, dt.datetime(1900, 1, 1), dt.datetime(2020, 1, 1)]
     assert values(spark, "timestamp_ntz", ends, fields.is_open) == [True, True, False]
+
+
+def test_round_money_equals_python_near_every_tie(spark):
+    rng = random.Random(11)
+    some = [0.0, -0.0, math.inf, -math.inf, 1e300, 5e-324, 2.0**46, 2.0**46 - 2**-6, -(2.0**46) + 2**-7, 0.994999999, 0.995, 0.999999999999]
+    for whole in [0, 1, 7, 1234, 10**6 + 1, 2**40 + 3, 2**45 + 1]:
+        for cents in range(100):
+            tie = whole + (2 * cents + 1) / 200
+            some += [tie, math.nextafter(tie, math.inf), math.nextafter(tie, -math.inf), -tie]
+    some += [rng.uniform(-1, 1) * 10 ** rng.randint(-6, 15) for _ in range(3000)]
+    got = spark.createDataFrame([(v,) for v in some], "v double").select("v", fields.round_money(F.col("v")).alias("r")).collect()
+    assert all(repr(r.r) == repr(round(r.v, 2)) for r in got), [(r.v, r.r, round(r.v, 2)) for r in got if repr(r.r) != repr(round(r.v, 2))][:5]
+    odd = spark.createDataFrame([(None,), (math.nan,)], "v double").select(fields.round_money(F.col("v")).alias("r")).collect()
+    assert odd[0].r is None and math.isnan(odd[1].r)

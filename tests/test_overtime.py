@@ -55,3 +55,15 @@ def test_unknown_codes_are_dropped(spark, roster):
     rates = spark.createDataFrame([("b", 2.0)], "Name string, Rate double")
     params = overtime.explode_params(roster, ("EmpCode",))
     assert [(r.EmpCode, r.ExtraTimePay) for r in overtime.overtime_rates(params, rates).collect()] == [("fine", 2.0)]
+
+
+def test_the_text_is_parsed_once(spark):
+    roster = spark.createDataFrame([("E", "[]", 1), ("F", None, 2)], "EmpCode string, OT_Param_json string, OT_UpdatedDate int")
+    plan = overtime.explode_params(roster, ("EmpCode",))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+def test_nulls_in_a_list_are_rows_and_empty_lists_are_none(spark):
+    rows = [("nulls", '[null,{"ParameterCode":"a"}]'), ("empty", "[]"), ("none", None), ("bad", "[{")]
+    found = overtime.explode_params(spark.createDataFrame(rows, "EmpCode string, OT_Param_json string"), ("EmpCode",))
+    assert sorted(((r.EmpCode, r.Code) for r in found.collect()), key=str) == [("nulls", "a"), ("nulls", None)]
