@@ -4,7 +4,8 @@ A page becomes a tree: its block elements, and as leaves the runs of inline cont
 them. Each node is content or not. A node has a potential from its own features (tag, words
 in class and id, and for leaves length, links and marks), a child has one with its parent. Sum-product
 messages from the leaves up and from the root down give each node's exact marginal, and the
-leaves above one half are the text. Weights and potentials are learned from labelled
+leaves above one half are the text. Where there is none, the page is taken to have some text: the likeliest leaf that
+nothing around it names as beside the text is given, and the marginals are computed anew. Weights and potentials are learned from labelled
 pages: HTML in which ``data-content="1"`` or ``"0"`` labels an element and what is in it.
 ``labelled_pages`` makes such pages from a seed; ``train`` takes any.
 
@@ -18,6 +19,7 @@ from __future__ import annotations
 import html
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -26,7 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.DOTALL)
+from payfeed.llm.rows import with_fields
+
+# A quote counts as one after an equals sign only, and only if it is closed, as far as browsers agree. No part gives back
+# what it has taken, and a tag fails at the end of the page alone, so a page is read once.
+_TAG = r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]++)?+)?+)*+)"""
+_MARKUP = re.compile(rf"<!--(?:.*?-->|.*\Z)|<[!?][^>]*+>?+|{_TAG}(>?+)", re.DOTALL)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 # Element kinds of HTML.
@@ -40,7 +47,15 @@ _CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr",
 _SCOPE = set("ul ol dl table body html article section div".split())
 # HTML tags that end an open svg or formula.
 _BREAKS = _CLOSES_P | set("b big body br center code dd dt em embed html i img li listing meta nobr ruby s small span strong strike sub sup td th tr tt u var".split())
-_FOREIGN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)(?:[^>"']|"[^"]*"|'[^']*')*>""", re.DOTALL)
+_FOREIGN = re.compile(rf"<!--(?:.*?-->|.*\Z)|{_TAG}>", re.DOTALL)
+# Elements that HTML itself sets beside the text.
+_BESIDE_TAGS = set("nav header footer aside form dialog address menu".split())
+# Names of an element that together weigh less than this say that it stands beside the text.
+_BESIDE_WORDS = -0.03
+# Elements nested deeper than this become siblings, as in browsers.
+_DEEPEST = 500
+# After so many drawings of a page that no tag closes, the next ones end at their first block.
+_UNCLOSED = 16
 _LENGTHS = (1, 3, 6, 12, 25, 50, 100)
 _TOTALS = (0, 5, 20, 60, 150, 400, 1000)
 
@@ -61,11 +76,11 @@ class Tree:
         return len(self.parent) - 1
 
 
-def _after_foreign(page: str, at: int, name: str) -> int:
-    """Where the page goes on after an svg or annotation whose content begins at ``at``.
+def _after_foreign(page: str, at: int, name: str, look: bool = True) -> tuple[int, bool]:
+    """Where the page goes on after an svg or annotation whose content begins at ``at``, and whether it was closed.
 
     After its end tag, or before an HTML tag that ends it as in browsers, or before the end of its formula.
-    HTML within a foreignObject, title, desc or annotation-xml belongs to it, if that is closed.
+    HTML within a foreignObject, title, desc or annotation-xml belongs to it, if that is closed; without ``look`` it ends there.
     """
     depth, inner, broken = 1, int(name == "annotation-xml"), -1
     for found in _FOREIGN.finditer(page, at):
@@ -73,17 +88,17 @@ def _after_foreign(page: str, at: int, name: str) -> int:
         if tag == name:
             depth += -1 if ends else not found[0].endswith("/>")
             if not depth:
-                return found.end()
+                return found.end(), True
         elif tag in ("foreignobject", "title", "desc") and not found[0].endswith("/>"):
             inner = max(0, inner + (-1 if ends else 1))
             broken = broken if inner else -1
         elif tag == "math" and ends and name != "svg":
-            return found.start()
+            return found.start(), True
         elif tag in _BREAKS:
             broken = found.start() if broken < 0 else broken
-            if not inner:
-                return broken
-    return broken if broken >= 0 else len(page)
+            if not inner or not look:
+                return broken, False
+    return broken if broken >= 0 else len(page), False
 
 
 def parse(page: str | None) -> Tree:
@@ -95,6 +110,10 @@ def parse(page: str | None) -> Tree:
     pieces: list[str] = []
     linked = [0, 0]  # open links, characters in links
     sizes: dict[int, tuple[int, int, int]] = {}  # words, characters, and those in links, of leaves
+    opened: Counter[str] = Counter()
+    depth_of = [0]
+    endless: set[str] = set()  # raw elements without an end from here on
+    unclosed = 0
     at = 0
 
     def leaf() -> None:
@@ -111,6 +130,7 @@ def parse(page: str | None) -> Tree:
         if any(name not in _INLINE for name, _ in stack[depth:]):
             leaf()
         linked[0] = max(0, linked[0] - sum(name == "a" for name, _ in stack[depth:]))
+        opened.subtract(name for name, _ in stack[depth:])
         del stack[depth:]
 
     while True:
@@ -126,8 +146,11 @@ def parse(page: str | None) -> Tree:
         name = (found[2] or "").lower()
         if not name:
             continue
+        if not found[4]:  # a tag without an end: what is left is text
+            pieces.append(page[found.start() :])
+            break
         if found[1]:
-            if name in _VOID:
+            if name in _VOID or not opened[name]:
                 continue
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth][0] == name:
@@ -138,16 +161,22 @@ def parse(page: str | None) -> Tree:
             continue
         if name in _RAW:
             if name in ("svg", "annotation", "annotation-xml"):
-                at = at if found[0].endswith("/>") else _after_foreign(page, at, name)
+                if not found[0].endswith("/>"):
+                    at, closed = _after_foreign(page, at, name, unclosed < _UNCLOSED)
+                    unclosed += not closed
                 pieces.append(" ")
                 continue
-            end = re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(page, at)
+            end = None if name in endless else re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(page, at)
+            if end is None:
+                endless.add(name)
             if not found[0].endswith("/>"):
                 if end:
                     at = end.end()
                 elif name == "head":
-                    body = re.compile("<body", re.IGNORECASE).search(page, at)
+                    body = None if "body" in endless else re.compile("<body", re.IGNORECASE).search(page, at)
                     at = body.start() if body else at
+                    if body is None:
+                        endless.add("body")
                 elif name not in ("button", "object", "audio", "video", "canvas", "select"):
                     at = len(page)
             pieces.append(" ")
@@ -157,13 +186,14 @@ def parse(page: str | None) -> Tree:
                 pieces.append(" ")
             elif name not in _VOID and not (name in _MATH and found[0].endswith("/>")):
                 stack.append((name, stack[-1][1]))
+                opened[name] += 1
                 linked[0] += name == "a"
             continue
-        if name in ("html", "body") and any(n == name for n, _ in stack):
+        if name in ("html", "body") and (opened[name] or name == "html"):
             continue
-        if name in _CLOSES_P:
+        if name in _CLOSES_P and opened["p"]:
             _close_open(stack, {"p"}, close)
-        if name in _CLOSED_BY:
+        if name in _CLOSED_BY and any(opened[n] for n in _CLOSED_BY[name]):
             _close_open(stack, _CLOSED_BY[name], close)
         leaf()
         if name in _VOID:
@@ -171,7 +201,13 @@ def parse(page: str | None) -> Tree:
         above = stack[-1][1]
         attributes = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(found[3])} if found[3].strip() else {}
         label = int(attributes["data-content"]) if attributes.get("data-content") in ("0", "1") else tree.label[above]
-        stack.append((name, tree.add(above, name, _element_features(name, attributes), None, label)))
+        while depth_of[above] >= _DEEPEST:
+            above = tree.parent[above]
+        node = tree.add(above, name, _element_features(name, attributes), None, label)
+        depth_of.extend([0] * (node + 1 - len(depth_of)))
+        depth_of[node] = depth_of[above] + 1
+        stack.append((name, node))
+        opened[name] += 1
     leaf()
     _add_totals(tree, sizes)
     return tree
@@ -305,12 +341,41 @@ def train(pages: list[str], steps: int = 120, rate: float = 2.0, decay: float =
     return PageModel(dict(zip(names, weights.tolist())), {k: pairs[i] + pairs[0] * (i > 0) for k, i in kinds.items()})
 
 
-def marginals(trees: list[Tree], model: PageModel) -> np.ndarray:
-    """Probability of content for the nodes of several trees."""
+def _candidates(tree: Tree, model: PageModel) -> list[int]:
+    """Leaves that no element around them names as something beside the text, by its tag or by its words."""
+    out, named = [], [False] * len(tree.parent)
+    for i, above in enumerate(tree.parent):
+        if above >= 0:
+            words = sum(model.weights.get(f, 0.0) for f in tree.features[i] if f.startswith("word:"))
+            named[i] = named[above] or tree.kind[i] in _BESIDE_TAGS or words < _BESIDE_WORDS or "hidden" in tree.features[i]
+            if tree.text[i] and not named[i] and "links:2" not in tree.features[i]:
+                out.append(i)
+    return out
+
+
+def _given_some_content(tree: Tree, model: PageModel, found: np.ndarray) -> np.ndarray:
+    """Content of a page of which no leaf is likelier content than not: given that its likeliest candidate is.
+
+    Text that is short and says nothing of itself looks like what stands beside a text; if nothing else on
+    the page can be the text, it is.
+    """
+    candidates = _candidates(tree, model)
+    if not candidates:
+        return np.zeros(len(found), bool)
+    best = max(candidates, key=lambda i: found[i])
+    given = marginals([tree], model, {best})
+    keep = np.zeros(len(found), bool)
+    keep[candidates] = given[candidates] > 0.5
+    return keep
+
+
+def marginals(trees: list[Tree], model: PageModel, given: set[int] = frozenset()) -> np.ndarray:
+    """Probability of content for the nodes of several trees; the nodes ``given`` are content."""
     forest = Forest(trees)
     unary = np.zeros((len(forest.parent), 2))
     weights = model.weights
     unary[:, 1] = [sum(weights.get(f, 0.0) for f in fs) for t in trees for fs in t.features]
+    unary[list(given), 1] += 500
     kinds: dict[str, int] = {}
     kind = np.array([kinds.setdefault(k, len(kinds)) for t in trees for k in t.kind])
     pair = np.array([model.pair(k) for k in kinds])[kind]
@@ -322,10 +387,14 @@ def main_texts(pages: list[str | None], model: PageModel) -> list[str]:
     trees = [parse(p) for p in pages]
     if not trees:
         return []
-    content = marginals(trees, model) > 0.5
+    found = marginals(trees, model)
     out, at = [], 0
     for tree in trees:
-        out.append("\n".join(t for t, keep in zip(tree.text, content[at : at + len(tree.text)]) if keep and t))
+        mine = found[at : at + len(tree.text)]
+        keep = mine > 0.5
+        if not any(k and t for k, t in zip(keep, tree.text)):
+            keep = _given_some_content(tree, model, mine)
+        out.append("\n".join(t for t, k in zip(tree.text, keep) if k and t))
         at += len(tree.text)
     return out
 
@@ -342,8 +411,7 @@ def extract(pages: DataFrame, columns: list[str], model: PageModel) -> DataFrame
                 texts = main_texts(some.column("_html").to_pylist(), known.value)
                 yield pa.RecordBatch.from_arrays([*(some.column(c) for c in columns), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], names=[*columns, "text", "n_chars"])
 
-    base = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.select(*columns).schema.fields)
-    return rows.mapInArrow(run, base + "text string, n_chars long")
+    return rows.mapInArrow(run, with_fields(rows.select(*columns).schema, "text string, n_chars long"))
 
 
 # Names that labelled pages give to what is not content, and to what is.
@@ -414,17 +482,19 @@ def labelled_pages(count: int = 600, seed: int = 7) -> list[str]:
         return f"<div>{sentence(3, 60)}</div>"
 
     def content() -> str:
-        title = rng.choice([f"<h1>{words(2, 12)}</h1>", f"<header><h1>{words(2, 12)}</h1></header>", f"<h1>{words(2, 12)}</h1><p><b>{sentence(3, 20)}<br>", f"<h2>{words(2, 10)}</h2>"])
+        title = "" if rng.random() < 0.35 else rng.choice([f"<h1>{words(2, 12)}</h1>", f"<header><h1>{words(2, 12)}</h1></header>", f"<h1>{words(2, 12)}</h1><p><b>{sentence(3, 20)}<br>", f"<h2>{words(2, 10)}</h2>"])
         if rng.random() < 0.2:  # many short lines
             blocks = [f"<p>{sentence(1, 4)}</p>" for _ in range(rng.choice([4, 12, 30, 60]))]
         else:
-            blocks = [block() for _ in range(rng.choice([1, 2, 4, 8, 16, 40]))]
+            blocks = [block() for _ in range(rng.choice([1, 1, 2, 2, 4, 8, 16, 40]))]
+        if rng.random() < 0.15:  # opened by the reader, or with a control in its midst
+            blocks.insert(rng.randint(0, len(blocks)), rng.choice([f"<details><summary>{words(1, 8)}</summary><p>{sentence(5, 60)}</p></details>", f"<p>{words(1, 6)} <button>{words(1, 2)}</button> {sentence(1, 8)}</p>"]))
         if rng.random() < 0.4:
             blocks.insert(rng.randint(0, len(blocks)), besides(rng.choice(["ad", "share", "aside", "notice", "form"])))
         if rng.random() < 0.25:
             blocks.append(besides("comments"))
         tag = rng.choice(["article", "article", "main", "div", "div", "section"])
-        bare = tag in ("article", "main") and rng.random() < 0.6
+        bare = rng.random() < (0.6 if tag in ("article", "main") else 0.4)
         return f'<{tag}{"" if bare else named(_MAIN)} data-content="1">{title}{"".join(blocks)}</{tag}>'
 
     out = []

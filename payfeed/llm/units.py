@@ -36,8 +36,8 @@ class UnitEncoder:
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.library = Tokenizer.from_file(path)
-        # Text that spells a special token is ordinary text of the document.
-        self.library.encode_special_tokens = True
+        # The library finds the strings of these anywhere in a text before it cuts it.
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         with open(path, encoding="utf-8") as file:
             self.cut = _cut_rule(json.load(file))
         # How byte-level models spell the space and the two bytes of Latin letters.
@@ -47,6 +47,8 @@ class UnitEncoder:
         self.inner: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
+        if any(token in text for token in self.added):
+            return self._library([text])[0]
         if self.cut == "dropped":
             return self._joined(self.inner, text.replace("\n", " ").split(" "), "")
         pairs = _ASCII_PAIRS if text.isascii() else _SPACE_PAIRS

@@ -120,6 +120,60 @@ def test_broken_pages(page):
     assert isinstance(pagetext.main_texts([page], MODEL())[0], str)
 
 
+JUNK = ["<a ", '<a "x ', "<a '", '<a href="', "<div>", "</p>", "<h1>", "<li>", "<span>", "<button>", "<svg>", "<p><svg>", "<svg><foreignObject><p>", "<!--", "<![CDATA["]
+
+
+@pytest.mark.parametrize("junk", JUNK)
+def test_junk_is_read_in_linear_time(junk):
+    import time
+
+    took = []
+    for size in (25_000, 100_000):
+        began = time.process_time()
+        pagetext.main_texts([junk * (size // len(junk))], MODEL())
+        took.append(time.process_time() - began)
+    assert took[1] < max(1.5, 10 * took[0])
+
+
+def prose(n, k=0):
+    return " ".join(("lorem", "ipsum", "dolor", "amet", "sit")[(i + k) % 5] for i in range(n)).capitalize() + "."
+
+
+NAV = "<nav><ul>" + "".join(f'<li><a href="/{i}">Link {i}</a></li>' for i in range(6)) + "</ul></nav>"
+FOOT = "<footer><p>Copyright 2020 by somebody.</p></footer>"
+
+
+@pytest.mark.parametrize("tag", ["article", "div", "section", "main"])
+@pytest.mark.parametrize("count, size", [(1, 18), (1, 54), (2, 18), (2, 54), (4, 18), (8, 54)])
+def test_short_articles_without_heading(tag, count, size):
+    blocks = [prose(size, i) for i in range(count)]
+    page = f"<html><head><title>t</title></head><body>{NAV}<{tag}>{''.join(f'<p>{b}</p>' for b in blocks)}</{tag}>{FOOT}</body></html>"
+    assert pagetext.main_texts([page], MODEL()) == ["\n".join(blocks)]
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<article><p>Press <button>Go</button> now to continue.</p></article>", "Press now to continue."),
+        ("<article><details><summary>More of it</summary><p>Some text that is here to be read.</p></details></article>", "More of it\nSome text that is here to be read."),
+        ("<article><p>a&nbsp;b &amp; c&#x41;</p></article>", "a b & cA"),
+        ('<p title="abc>One sentence is here and it goes on.</p><p>Two</p>', "One sentence is here and it goes on.\nTwo"),
+        (NAV + FOOT, ""),
+        ('<div class="ad"><p>Buy it now.</p></div>' + FOOT, ""),
+        ('<div class="sidebar"><h3>More</h3><p>Read this as well.</p></div>' + FOOT, ""),
+        ("<form><p>Search here for it.</p></form>", ""),
+    ],
+)
+def test_pages_with_little_text(page, want):
+    assert pagetext.main_texts([page], MODEL()) == [want]
+
+
+def test_quotes_of_attributes():
+    page = "<div data-x='a>b' class=\"c>d\" e=f'g><p it's>One</p><p x = \"q\"y>Two</p><p a=\"open>Three</p>"
+    assert [t for t in pagetext.parse(page).text if t] == ["One", "Two", "Three"]
+    assert [t for t in pagetext.parse("<p>a</p><p b='c").text if t] == ["a", "<p b='c"]
+
+
 def test_extract_keeps_rows(make_pages):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (None, "v", PAGE)]
     got = pagetext.extract(make_pages(rows), ["page_id", "url"], MODEL()).collect()

@@ -22,7 +22,6 @@ def libraries():
     out = {}
     for path in (WORD, BYTE):
         out[path] = Tokenizer.from_file(path)
-        out[path].encode_special_tokens = True
     return out
 
 
@@ -35,9 +34,18 @@ def crc(ids):
 @given(text=st.text(alphabet=st.one_of(st.sampled_from(" \n\t.,'abé́ßİ　\x1c\x85!1"), st.characters(exclude_categories=["Cs"]))))
 def test_units_encode_like_the_whole_text(path, text):
     encoder = ENCODERS.setdefault(path, UnitEncoder(path))
-    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == encoder.library.encode(text, add_special_tokens=False).ids
+    plain = LIBRARIES.setdefault(path, Tokenizer.from_file(path))
+    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+@settings(max_examples=100, deadline=None)
+@given(parts=st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", " ", "word", "\n", "é."]), max_size=8))
+def test_strings_of_special_tokens(path, parts):
+    test_units_encode_like_the_whole_text.hypothesis.inner_test(path, "".join(parts))
+
+
+LIBRARIES: dict = {}
 ENCODERS: dict = {}
 
 
