@@ -214,7 +214,7 @@ class _Chunk:
         by_bucket = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.diff(bucket[by_bucket])) + 1
         string_of = np.zeros(len(first), np.int64)
-        packer = zstandard.ZstdCompressor(level=1)
+        packer = zstandard.ZstdCompressor(level=6)
         for runs in np.split(by_bucket, cuts):
             strings: dict[bytes, int] = {}
             of = [strings.setdefault(text[begin[r] : end[r]], len(strings)) for r in runs.tolist()]
