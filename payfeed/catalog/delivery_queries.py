@@ -203,7 +203,7 @@ def batch_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     for feed in ("onboarding", "attendance", "attendance"):  # a repeated call adds nothing
         log = batch_log(apply_outcomes(sent, results, feed), dt.datetime(2001, 8, 2), feed)
         append_log(log, f"{path}/{feed}")
-    logs = [spark.read.parquet(f"{path}/{feed}").withColumn("feed", F.lit(feed)) for feed in ("onboarding", "attendance")]
+    logs = [spark.read.parquet(f"{path}/{feed}").drop("day").withColumn("feed", F.lit(feed)) for feed in ("onboarding", "attendance")]
     return logs[0].unionByName(logs[1])
 
 

@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payfeed.functions.fields import ntz
+from payfeed.session import materialize
 
+# The column by which a log is kept in folders.
+DAY = "day"
 # Characters of the response kept in the log.
 DETAIL_CHARS = 1000
 
@@ -70,12 +73,23 @@ def batch_log(outcomes: DataFrame, at: dt.datetime, feed: str) -> DataFrame:
 def append_log(log: DataFrame, path: str) -> None:
     """Append log rows that the log at ``path`` does not have; a call that is repeated adds nothing.
 
-    One program writes a log at a time.
+    The log is kept by ``day``, and only the days of the new rows are compared, however long the log is. A log
+    that was begun without days stays as it is. One program writes a log at a time.
     """
+    log = materialize(log, "log")
+    first, last = log.agg(F.min("Timestamp"), F.max("Timestamp")).first()
+    if first is None:
+        return
     known = stored(log.sparkSession, path)
+    by_day = known is None or DAY in known.columns
     if known is not None:
+        if by_day:
+            known = known.where(F.col(DAY).between(F.lit(first.date()), F.lit(last.date())))
         log = log.join(known.select("batch_id", "Status", "Timestamp"), ["batch_id", "Status", "Timestamp"], "left_anti").select(*log.columns)
-    log.write.mode("append").parquet(path)
+    if by_day:
+        log.withColumn(DAY, F.to_date("Timestamp")).write.mode("append").partitionBy(DAY).parquet(path)
+    else:
+        log.write.mode("append").parquet(path)
 
 
 def stored(spark: SparkSession, path: str) -> DataFrame | None:

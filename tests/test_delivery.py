@@ -303,3 +303,30 @@ def test_an_empty_commit_and_a_hopeless_one(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(marks, "_create_new", lambda *a: False)
     with pytest.raises(RuntimeError, match="changed by others"):
         marks.commit_marks(new_marks(spark, A=T0), f"{tmp_path}/m", attempts=3)
+
+
+# ---- a log kept by day ---------------------------------------------------------------
+
+
+def test_only_the_days_of_new_rows_are_compared(spark, sent, results, tmp_path):
+    path = f"{tmp_path}/log"
+    rows = lambda at: delivery.batch_log(delivery.apply_outcomes(sent, results, "salary"), at, "salary")
+    for day in (0, 1, 2, 2):
+        delivery.append_log(rows(T0 + day * 24 * HOUR), path)
+    stored = spark.read.parquet(path)
+    assert stored.groupBy("day").count().count() == 3 and stored.count() == 12
+    before = {p.name for p in (tmp_path / "log").glob("day=*/*.parquet")}
+    delivery.append_log(rows(T0).limit(0), path)
+    assert {p.name for p in (tmp_path / "log").glob("day=*/*.parquet")} == before
+    guard = outbox.new_batches(sent, stored, T0 + 24 * HOUR)
+    plan = guard._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "(day" in plan
+    assert {r.batch_id for r in guard.collect()} == {"b2", "b3", "b4", "b5"}
+
+
+def test_a_log_without_days_goes_on_as_it_is(spark, sent, results, tmp_path):
+    path = f"{tmp_path}/log"
+    rows = delivery.batch_log(delivery.apply_outcomes(sent, results, "salary"), T0, "salary")
+    rows.write.parquet(path)
+    delivery.append_log(rows, path)
+    assert spark.read.parquet(path).count() == 4 and "day" not in spark.read.parquet(path).columns
