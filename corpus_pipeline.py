@@ -56,8 +56,7 @@ def remove_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
     """Documents without passages of ten words or more of benchmark items."""
     reach_workers(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.find_phrases(_whole(docs), items, ["_row"])
-    cut = decontaminate.without_spans(found.withColumn("text", F.col("_row.text")), ["_row"])
+    cut = decontaminate.find_phrases(_whole(docs), items, ["_row"], cut=True)
     return _changed(cut, docs.columns, F.col("text"))
 
 

@@ -214,10 +214,11 @@ def benchmark_phrases(items: DataFrame, window: int = WINDOW) -> DataFrame:
     return source.mapInPandas(cut, "phrase binary, item_id string").distinct()
 
 
-def find_phrases(docs: DataFrame, items: DataFrame, columns: list[str], window: int = WINDOW) -> DataFrame:
+def find_phrases(docs: DataFrame, items: DataFrame, columns: list[str], window: int = WINDOW, cut: bool = False) -> DataFrame:
     """Rows of ``docs`` (``columns``) with n_words, spans of hit words and hit item_ids.
 
     ``begins`` and ``ends`` are merged spans in words, ``item_ids`` the distinct items, sorted as strings.
+    With ``cut``, ``text`` without the spans (as ``without_spans`` gives it) takes the place of these.
     """
     spark = docs.sparkSession
     phrases = materialize(benchmark_phrases(items, window), "phrases")
@@ -232,16 +233,16 @@ def find_phrases(docs: DataFrame, items: DataFrame, columns: list[str], window:
         for phrase, item_id in mine.toLocalIterator():
             texts.setdefault(bytes(phrase), []).append(item_id)
         block = spark.sparkContext.broadcast((list(texts), list(texts.values())))
-        out = _search_block(out, columns, block, result_fields, first=number == 0)
-    return out.select(*columns, *(name for name, _ in result_fields))
+        out = _search_block(out, columns, block, result_fields, first=number == 0, cut=cut and number == blocks - 1)
+    return out if cut else out.select(*columns, *(name for name, _ in result_fields))
 
 
-def _search_block(rows: DataFrame, columns: list[str], block, result_fields, first: bool) -> DataFrame:
+def _search_block(rows: DataFrame, columns: list[str], block, result_fields, first: bool, cut: bool) -> DataFrame:
     keep = [c for c in rows.columns]
     names = [n for n, _ in result_fields]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        claim("")
+        claim("phrases")
         phrases = _Phrases(*block.value)
         for batch in batches:
             words, at, size = [], 0, 0
@@ -251,9 +252,12 @@ def _search_block(rows: DataFrame, columns: list[str], block, result_fields, fir
                 size += len(words[-1])
                 if size >= SHARD_WORDS or i == len(texts) - 1:
                     found = _search_shard(words, phrases)
-                    yield _merged(batch.slice(at, len(words)), words, found, phrases, keep, names, first)
+                    merged = _merged(batch.slice(at, len(words)), words, found, phrases, keep, names, first)
+                    yield _shortened(merged, columns) if cut else merged
                     words, at, size = [], i + 1, 0
 
+    if cut:
+        return rows.mapInArrow(search, with_fields(rows.select(*columns).schema, "text string"))
     base = StructType([f for f in rows.schema.fields if f.name not in names])
     return rows.mapInArrow(search, with_fields(base, ", ".join(f"{n} {t}" for n, t in result_fields)))
 
@@ -301,15 +305,20 @@ def without_spans(found: DataFrame, columns: list[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("_text").to_pylist()
-            for i, (begins, ends) in enumerate(zip(batch.column("begins").to_pylist(), batch.column("ends").to_pylist())):
-                if begins:
-                    places = [m.span() for m in _TEXT_WORD.finditer(texts[i])]
-                    kept, at = [], 0
-                    for begin, end in zip(begins, ends):
-                        kept.append(texts[i][at : places[begin][0]])
-                        at = places[end - 1][1]
-                    texts[i] = "".join([*kept, texts[i][at:]])
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(texts, pa.string())], names=[*columns, "text"])
+            yield _shortened(batch, columns)
 
     return rows.mapInArrow(run, with_fields(rows.select(*columns).schema, "text string"))
+
+
+def _shortened(batch: pa.RecordBatch, columns: list[str]) -> pa.RecordBatch:
+    """``columns`` and the texts of ``batch`` without their spans."""
+    texts = batch.column("_text").to_pylist()
+    for i, (begins, ends) in enumerate(zip(batch.column("begins").to_pylist(), batch.column("ends").to_pylist())):
+        if begins:
+            places = [m.span() for m in _TEXT_WORD.finditer(texts[i])]
+            kept, at = [], 0
+            for begin, end in zip(begins, ends):
+                kept.append(texts[i][at : places[begin][0]])
+                at = places[end - 1][1]
+            texts[i] = "".join([*kept, texts[i][at:]])
+    return pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(texts, pa.string())], names=[*columns, "text"])

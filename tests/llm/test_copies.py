@@ -194,6 +194,25 @@ def test_spans_are_cut_from_the_text(spark, make_docs):
     found = decontaminate.find_phrases(docs, items, ["doc_id"]).join(docs.select("doc_id", "text"), "doc_id")
     got = {r.doc_id: r.text for r in decontaminate.without_spans(found, ["doc_id"]).collect()}
     assert got == {1: "Before it. , after.", 2: "Clean  text\nstays."}
+    assert {r.doc_id: r.text for r in decontaminate.find_phrases(docs, items, ["doc_id"], cut=True).collect()} == got
+
+
+@pytest.mark.parametrize("block", [100_000, 3])
+def test_cutting_while_searching_gives_the_same_texts(spark, make_docs, monkeypatch, block):
+    """Spans that touch, overlap, or lie at the ends; null, empty and repeated rows; phrases in one block or many."""
+    monkeypatch.setattr(decontaminate, "PHRASES", block)
+    one, two = (" ".join(f"{c}{i}" for i in range(12)) for c in "ab")
+    texts = [None, "", "  \n", one, f"{one} {two}", f"x {one}\n{one} y", f"{two}, z {one[:20]}", "clean Text, stays \u00e9", f"a {one.upper()} b {two} c"]
+    docs = make_docs([*enumerate(texts), (3, one)])
+    items = spark.createDataFrame([(1, one), (2, two), (3, None)], "item_id long, text string")
+    found = decontaminate.find_phrases(docs, items, ["doc_id", "text"])
+    apart = decontaminate.without_spans(found, ["doc_id"])
+    assert apart.count() == len(texts) + 1
+    at_once = decontaminate.find_phrases(docs, items, ["doc_id"], cut=True)
+    assert at_once.columns == ["doc_id", "text"]
+    order = lambda rows: sorted((r.doc_id, r.text is None, r.text or "") for r in rows.collect())
+    assert order(at_once) == order(apart)
+    assert order(at_once)[0][1] and (7, False, texts[7]) in order(at_once)
 
 
 def test_simhash_components(make_docs):
