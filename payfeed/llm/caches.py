@@ -2,6 +2,8 @@
 
 Spark keeps workers between stages. An operator that begins in a worker releases what the
 others had remembered there, so a chain of operators needs no more memory than the largest.
+Steps of one operator have names of their own where they hold much: what one has freed goes back
+to the system before the next begins.
 """
 
 from __future__ import annotations

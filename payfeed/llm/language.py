@@ -104,7 +104,7 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     """In how many of all texts each slot occurs, and how many texts there are."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        claim("")
+        claim("features")
         found, n = np.zeros(DIMENSIONS, np.int64), 0
         for batch in batches:
             for text in batch["text"]:
@@ -179,7 +179,7 @@ def predict(docs: DataFrame, model: LanguageModel, columns: list[str], reject: f
     rows = docs.select(*columns, F.col("text").cast("string").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        claim("")
+        claim("languages")
         m = known.value
         for batch in (whole.slice(at, 1024) for whole in batches for at in range(0, whole.num_rows, 1024)):
             texts = batch.column("_text").to_pylist()

@@ -223,7 +223,7 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int =
     rows = docs.select(as_struct(docs).alias("row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        claim("")
+        claim("fingerprints")
         for batch in batches:
             texts = batch.column("row").field(at).cast(pa.string()).to_pylist()
             prints = np.fromiter((simhash(t, shingle) for t in texts), np.uint64, len(texts)).view(np.int64)

@@ -153,7 +153,7 @@ def frequent_slots(docs: DataFrame) -> tuple[np.ndarray, int]:
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        claim("")
+        claim("grams")
         counts, n_words = np.zeros(SLOTS, np.int64), 0
         for batch in batches:
             for data in _joined(batch["text"]):
@@ -308,7 +308,7 @@ MOVED = "dest long, chunk string, kind int, bucket long, payload binary"
 
 def _send(slots: np.ndarray, buckets: int, window: int):
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        claim("")
+        claim("strings")
         frequent = np.zeros(SLOTS, bool)
         frequent[slots] = True
         part, number, chunk = TaskContext.get().partitionId(), 0, _Chunk()
@@ -342,7 +342,7 @@ def _count(window: int):
                 yield 0, chunk, 1, number, packer.compress(mine.astype("<i4").tobytes())
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        claim("")
+        claim("buckets")
         at, bucket, unpacker = None, _Bucket(), zstandard.ZstdDecompressor()
         columns = ["dest", "chunk", "kind", "bucket", "payload"]
         for batch in batches:
@@ -440,7 +440,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     def keep(batches):
         import pyarrow as pa
 
-        claim("")
+        claim("kept words")
         for batch in (whole.slice(at, 1024) for whole in batches for at in range(0, whole.num_rows, 1024)):
             texts, counts, removed = [], [], []
             for text, ranges in zip(batch.column("_text").to_pylist(), batch.column("_ranges").to_pylist()):
