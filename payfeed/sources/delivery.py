@@ -28,8 +28,15 @@ def apply_outcomes(envelopes: DataFrame, results: DataFrame, feed: str) -> DataF
     200 is SUCCESS and any other code FAILED (0 stands for a failed connection). A batch
     with an ``error`` of its own is ERROR whatever was reported; one without a result
     is PENDING.
+
+    Files of repetitive responses are far smaller than what they hold, so the planner would broadcast results that
+    no driver can hold: both sides are sorted and merged. Responses that nothing shows stay behind.
     """
-    joined = envelopes.join(results.select("batch_id", "status_code", "response"), "batch_id", "left")
+    inverted = feed in INVERTED_FLAG_FEEDS
+    delivered = F.coalesce(F.col("status_code") == 200, F.lit(False))
+    shown = F.col("response") if inverted else F.when(~delivered, F.col("response"))
+    reported = results.select("batch_id", "status_code", shown.alias("response"))
+    joined = envelopes.join(reported.hint("merge"), "batch_id", "left")
     own_error = F.col("error") if "error" in envelopes.columns else F.lit(None).cast("string")
     status = (
         F.when(own_error.isNotNull(), "ERROR")
@@ -37,7 +44,6 @@ def apply_outcomes(envelopes: DataFrame, results: DataFrame, feed: str) -> DataF
         .when(F.col("status_code") == 200, "SUCCESS")
         .otherwise("FAILED")
     )
-    inverted = feed in INVERTED_FLAG_FEEDS
     quiet = F.lit("") if not inverted else F.col("response")
     details = (
         F.when(status == "ERROR", own_error).when(status == "SUCCESS", quiet).otherwise(F.col("response"))

@@ -330,3 +330,31 @@ def test_a_log_without_days_goes_on_as_it_is(spark, sent, results, tmp_path):
     rows.write.parquet(path)
     delivery.append_log(rows, path)
     assert spark.read.parquet(path).count() == 4 and "day" not in spark.read.parquet(path).columns
+
+
+def test_long_responses_are_not_broadcast(spark, tmp_path):
+    """Responses that repeat are small as files and large as rows; logs are long. Neither may go through the driver."""
+    ids = spark.range(200).select(F.col("id").cast("string").alias("batch_id"))
+    sent = ids.select("batch_id", F.lit(1).alias("batch_size"), F.lit("p").alias("payload"))
+    results = ids.select(
+        "batch_id", F.when(F.col("batch_id") % 2 == 0, 200).otherwise(500).alias("status_code"), F.repeat(F.lit("late "), 400).alias("response")
+    )
+    results.write.parquet(f"{tmp_path}/results")
+    results = spark.read.parquet(f"{tmp_path}/results")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    for feed, quiet in (("onboarding", ""), ("attendance", "late " * 400)):
+        outcomes = delivery.apply_outcomes(sent, results, feed)
+        assert "Broadcast" not in plan(outcomes)
+        got = {r["batch_id"]: (r["status"], r["details"]) for r in outcomes.collect()}
+        assert got["2"] == ("SUCCESS", quiet) and got["3"] == ("FAILED", "late " * 400) and len(got) == 200
+    delivery.append_log(delivery.batch_log(outcomes, T0, "attendance"), f"{tmp_path}/log")
+    left = outbox.new_batches(sent, spark.read.parquet(f"{tmp_path}/log"))
+    assert "Broadcast" not in plan(left)
+    assert left.count() == 100
+
+
+def test_a_response_without_code_is_still_shown(spark):
+    sent = spark.createDataFrame([("a", 1, "p")], "batch_id string, batch_size int, payload string")
+    results = spark.createDataFrame([("a", None, "no code")], "batch_id string, status_code int, response string")
+    got = delivery.apply_outcomes(sent, results, "onboarding").first()
+    assert (got["status"], got["details"]) == ("PENDING", "no code")
