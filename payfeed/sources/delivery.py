@@ -80,7 +80,8 @@ def append_log(log: DataFrame, path: str) -> None:
     """Append log rows that the log at ``path`` does not have; a call that is repeated adds nothing.
 
     The log is kept by ``day``, and only the days of the new rows are compared, however long the log is. A log
-    that was begun without days stays as it is. One program writes a log at a time.
+    that was begun without days stays as it is. One program writes a log at a time. The comparison is a merge: a
+    log's file size says little of its rows, and a broadcast would bring them to the driver.
     """
     log = materialize(log, "log")
     first, last = log.agg(F.min("Timestamp"), F.max("Timestamp")).first()
@@ -91,7 +92,7 @@ def append_log(log: DataFrame, path: str) -> None:
     if known is not None:
         if by_day:
             known = known.where(F.col(DAY).between(F.lit(first.date()), F.lit(last.date())))
-        log = log.join(known.select("batch_id", "Status", "Timestamp"), ["batch_id", "Status", "Timestamp"], "left_anti").select(*log.columns)
+        log = log.join(known.select("batch_id", "Status", "Timestamp").hint("merge"), ["batch_id", "Status", "Timestamp"], "left_anti").select(*log.columns)
     if by_day:
         log.withColumn(DAY, F.to_date("Timestamp")).write.mode("append").partitionBy(DAY).parquet(path)
     else:
