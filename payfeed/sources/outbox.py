@@ -57,13 +57,14 @@ def new_batches(envelopes: DataFrame, log: DataFrame, since: dt.datetime | None
 
     ``since`` limits the log to rows written from then on: a batch of rows newer than a mark
     cannot have been logged before that mark was reached. Of a log kept by day, only the days from then on are read.
+    Delivered batches are merged, not broadcast: they are as many as the log is long.
     """
     if since is not None:
         log = log.where(F.col("Timestamp") >= ntz(since))
         if "day" in log.columns:
             log = log.where(F.col("day") >= F.lit(since.date()))
     done = log.where(F.col("Status") == "SUCCESS").select("batch_id")
-    return envelopes.join(done, "batch_id", "left_anti")
+    return envelopes.join(done.hint("merge"), "batch_id", "left_anti")
 
 
 def message_bodies(sent: DataFrame, records: DataFrame, record_key: str) -> DataFrame:
