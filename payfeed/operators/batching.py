@@ -150,15 +150,24 @@ def manifest(records: DataFrame, by: list[str], content: str, time_col: str, err
     """One row per batch of any size: number of records, times, first error, and a digest.
 
     Only sums, so a batch that holds most rows is counted where they lie. ``digest``
-    is the same for the same records in whatever order they are met.
+    is the same for the same records in whatever order they are met. The least of several
+    texts can only be found in sorted rows, so errors are counted as keys first: what is
+    sorted is a row per batch and error, never the records.
     """
-    marks = [F.xxhash64(content, F.lit(seed)) for seed in (1, 2)]
-    return records.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("batch_size"),
-        F.min(time_col).alias("min_timestamp"),
-        F.max(time_col).alias("max_timestamp"),
-        F.min(error_col).alias("error"),
-        F.concat_ws("-", *[F.sum(m.cast("decimal(38,0)")).cast("string") for m in marks]).alias("digest"),
+    marks = [F.xxhash64(content, F.lit(seed)).cast("decimal(38,0)").alias(f"_mark{seed}") for seed in (1, 2)]
+    hashed = records.select(*by, F.col(time_col).alias("_time"), F.col(error_col).alias("_error"), *marks)
+    counted = hashed.groupBy(*by, "_error").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min("_time").alias("_first"),
+        F.max("_time").alias("_last"),
+        *[F.sum(f"_mark{seed}").alias(f"_mark{seed}") for seed in (1, 2)],
+    )
+    return counted.groupBy(*by).agg(
+        F.sum("_n").alias("batch_size"),
+        F.min("_first").alias("min_timestamp"),
+        F.max("_last").alias("max_timestamp"),
+        F.min("_error").alias("error"),
+        F.concat_ws("-", *[F.sum(f"_mark{seed}").cast("string") for seed in (1, 2)]).alias("digest"),
     )
 
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -87,6 +88,26 @@ def test_envelopes_keep_order_and_times(spark):
         assert r.min_timestamp == min(x.t for x in r.records)
         assert r.max_timestamp == max(x.t for x in r.records)
 
+
+def test_manifest_sorts_no_records(spark):
+    """A batch's figures come from hashed sums; only a row per batch and error is ever sorted."""
+    t = dt.datetime(2024, 1, 1)
+    rows = [(s, b, t + dt.timedelta(hours=i), f"r{s}{b}{i}", ["low", None, "bad"][i % 3] if b else None) for s in ("e", None) for b in (0, 1) for i in range(7)]
+    records = spark.createDataFrame(rows, "source_db string, batch_no int, time timestamp_ntz, record string, error string")
+    packed = batching.manifest(records, ["source_db", "batch_no"], "record", "time", "error")
+    plan = packed._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and not re.search(r"SortAggregate\(.*partial_count", plan)
+    got = {(r["source_db"], r["batch_no"]): r for r in packed.collect()}
+    assert len(got) == 4
+    for (_, batch), r in got.items():
+        assert (r["batch_size"], r["min_timestamp"], r["max_timestamp"]) == (7, t, t + dt.timedelta(hours=6))
+        assert r["error"] == ("bad" if batch else None)
+    whole = records.groupBy("source_db", "batch_no").agg(
+        F.concat_ws("-", *[F.sum(F.xxhash64("record", F.lit(n)).cast("decimal(38,0)")).cast("string") for n in (1, 2)]).alias("digest")
+    )
+    assert {(r["source_db"], r["batch_no"]): r["digest"] for r in whole.collect()} == {k: r["digest"] for k, r in got.items()}
+
+
 def test_shared_dir_follows_the_session(spark, monkeypatch):
     from payfeed import session
 
