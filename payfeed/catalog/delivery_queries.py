@@ -379,7 +379,7 @@ def stream_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.read.parquet(f"{path}/outbox/records")
         .select(sent.alias("r"))
         .groupBy("r.EmployeeID", "r.EmployeeCode")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("r.AttendanceDate").alias("newest"))
+        .agg(F.count(F.lit(1)).alias("n"), F.max(F.col("r.AttendanceDate").cast("date")).cast("string").alias("newest"))
     )
 
 
