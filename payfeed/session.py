@@ -41,13 +41,17 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``; in local mode, if it is unset, one in the warehouse.
 
-    On a cluster it must be set, as the warehouse may be a folder of the driver's own machine. A path without a
-    scheme is in the default file system, for Spark and for whatever else opens files below it.
+    On a cluster it must be set, unless the warehouse is named in a shared store: otherwise that may be a folder of the driver's
+    own machine. A path without a scheme is in the default file system, for Spark and for whatever else opens files below it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        if "://" in warehouse and not warehouse.startswith("file:"):
+            return f"{warehouse}/staged"
     if not configured and not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
-    folder = (configured or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/staged").rstrip("/")
+    folder = (configured or f"{warehouse}/staged").rstrip("/")
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
     return folder if files.getUri().getScheme() == "file" else files.makeQualified(path).toString()
