@@ -132,11 +132,12 @@ def envelopes(batched: DataFrame, record_cols: list[str], by: list[str], order:
     """One row per batch with its records in order, their number and times.
 
     For batches that fit a message, as those of a fixed number of rows do; batches of
-    whole employees have no bound and travel as rows, see ``manifest``.
+    whole employees have no bound and travel as rows, see ``manifest``. ``sort_array`` compares
+    structs by an ordering made once; ``array_sort`` makes one anew for every comparison.
     """
     record = F.struct(*[F.col(f"`{c}`") for c in record_cols])
     places = [F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(order)]
-    ordered = F.array_sort(F.collect_list(F.struct(*places, record.alias("r"))))
+    ordered = F.sort_array(F.collect_list(F.struct(*places, record.alias("r"))))
     moment = F.col(time_col) if time_col else F.lit(None).cast("timestamp_ntz")
     return batched.groupBy(*by).agg(
         F.transform(ordered, lambda x: x["r"]).alias("records"),

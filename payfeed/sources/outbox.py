@@ -72,7 +72,7 @@ def message_bodies(sent: DataFrame, records: DataFrame, record_key: str) -> Data
 
     ``records`` are the rows of these batches; what a body holds must fit a row.
     """
-    ordered = F.array_sort(F.collect_list(F.struct("place", "record")))
+    ordered = F.sort_array(F.collect_list(F.struct("place", "record")))
     texts = records.groupBy("batch_id").agg(F.transform(ordered, lambda x: x["record"]).alias("_texts"))
     head = F.to_json(F.struct(F.col("subscription_name")), JSON_OPTIONS)
     body = F.concat(

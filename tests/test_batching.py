@@ -108,6 +108,16 @@ def test_manifest_sorts_no_records(spark):
     assert {(r["source_db"], r["batch_no"]): r["digest"] for r in whole.collect()} == {k: r["digest"] for k, r in got.items()}
 
 
+def test_envelopes_sort_by_an_ordering_made_once(spark):
+    """A lambda comparator builds a new ordering for every two records; nulls still come first inside a record's place."""
+    rows = spark.createDataFrame([(k, p, f"v{k}{p}") for k in (1, 2) for p in (3, None, 1, 2)], "k int, p int, v string")
+    folded = batching.envelopes(rows, ["v"], ["k"], ["p"])
+    plan = folded._jdf.queryExecution().optimizedPlan().toString()
+    assert "sort_array" in plan and "lambdafunction(if" not in plan.lower() and "array_sort" not in plan
+    got = {r["k"]: [x["v"] for x in r["records"]] for r in folded.collect()}
+    assert got == {k: [f"v{k}{p}" for p in (None, 1, 2, 3)] for k in (1, 2)}
+
+
 def test_shared_dir_follows_the_session(spark, monkeypatch):
     from payfeed import session
 
