@@ -118,14 +118,15 @@ def batch_keys(
     """Batches of ``n`` consecutive keys; all rows of a key are in one batch.
 
     The rows are read twice, for their keys and to be numbered, so they are written out
-    first unless they are ``staged`` already.
+    first unless they are ``staged`` already. The numbers are written too: a join has no known
+    size, and the planner would broadcast the rows to it and leave the work to a task or two.
     """
     by = [*within, key]
     if not staged:
         df = materialize(df, "rows")
     keys = _from_start(number_rows(df.select(*by).distinct(), by), list(within))
     numbers = keys.select(*by, F.floor(F.col("row_index") / n).alias("batch_no"))
-    return _join_back(df, numbers, by)
+    return _join_back(df, materialize(numbers, "numbers"), by)
 
 
 def envelopes(batched: DataFrame, record_cols: list[str], by: list[str], order: list[str], time_col: str | None = None) -> DataFrame:

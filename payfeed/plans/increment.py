@@ -160,9 +160,12 @@ def pack(records: DataFrame, feed: Feed, subscriptions: dict[str, str], as_of: d
 def batches_of(
     rows: DataFrame, feed: Feed, subscriptions: dict[str, str], as_of: dt.datetime, batch_size: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Batches of staged rows, and their records with batch_id, place and JSON text."""
+    """Batches of staged rows, and their records with batch_id, place and JSON text.
+
+    The batches are written as well, so records are summed up once, and what joins their ids is of known size.
+    """
     shaped = materialize(shape_records(cut(rows, feed, batch_size, staged=True), feed, as_of), "records")
-    packed = pack(shaped, feed, subscriptions, as_of)
+    packed = materialize(pack(shaped, feed, subscriptions, as_of), "packed")
     ids = packed.select("source_db", "batch_no", "batch_id")
     return packed, shaped.join(ids, ["source_db", "batch_no"]).select("batch_id", "place", "record")
 

@@ -118,6 +118,15 @@ def test_envelopes_sort_by_an_ordering_made_once(spark):
     assert got == {k: [f"v{k}{p}" for p in (None, 1, 2, 3)] for k in (1, 2)}
 
 
+def test_key_numbers_are_written_before_they_join(spark, tmp_path):
+    """A side of known size, so that the rows, whose file may be far smaller than they are, stay where they lie."""
+    spark.range(3000).select((F.col("id") % 30).alias("k"), F.repeat(F.lit("long "), 200).alias("v")).write.parquet(f"{tmp_path}/rows")
+    batched = batching.batch_keys(spark.read.parquet(f"{tmp_path}/rows"), "k", 10, staged=True)
+    assert any("/numbers-" in f for f in batched.inputFiles())
+    got = {(r["batch_no"], r["n"], r["keys"]) for r in batched.groupBy("batch_no").agg(F.count("v").alias("n"), F.countDistinct("k").alias("keys")).collect()}
+    assert got == {(0, 1000, 10), (1, 1000, 10), (2, 1000, 10)}
+
+
 def test_shared_dir_follows_the_session(spark, monkeypatch):
     from payfeed import session
 
