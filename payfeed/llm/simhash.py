@@ -214,30 +214,42 @@ def grouped(prints: DataFrame, max_distance: int) -> DataFrame:
     return prints.join(names, "fingerprint")
 
 
+# What a row is known by until its text is needed again, in the order in which rows of a component are preferred.
+_KEYS = ["none", "id", "text_key", "text_sum"]
+
+
 def drop_near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 3) -> DataFrame:
     """``docs`` with one row of each component, that of the smallest doc_id; all columns as they came.
 
-    A null doc_id stays only where its component has no other; of rows with the same doc_id the one met first.
+    A null doc_id stays only where its component has no other. Of rows with the same doc_id stays that with the least hash of
+    its text, and of those with the same text too any one. Rows are known by doc_id and two hashes of the text (96 bits); texts are
+    neither written nor moved before it is clear which rows stay.
     """
-    at = docs.columns.index("text")
-    rows = docs.select(as_struct(docs).alias("row"))
+    doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    keys = [doc_id.isNull(), F.coalesce(doc_id, F.lit(0)), F.xxhash64(text), F.hash(text)]
+    keys = [key.alias(name) for key, name in zip(keys, _KEYS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("fingerprints")
         for batch in batches:
-            texts = batch.column("row").field(at).cast(pa.string()).to_pylist()
+            texts = batch.column("text").to_pylist()
             prints = np.fromiter((simhash(t, shingle) for t in texts), np.uint64, len(texts)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(prints)], names=["row", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, _KEYS), pa.array(prints)], names=[*_KEYS, "fingerprint"])
 
-    printed = rows.mapInArrow(run, with_fields(rows.schema, "fingerprint long"))
-    printed = materialize(printed.withColumn("n", F.monotonically_increasing_id()), "prints")
-    doc_id = F.col("row")["doc_id"].cast("long")
-    first = F.min(F.struct(doc_id.isNull().alias("none"), doc_id.alias("doc_id"), F.col("n"))).alias("first")
+    texts = docs.select(*keys, text.alias("text"))
+    printed = texts.mapInArrow(run, with_fields(texts.select(*_KEYS).schema, "fingerprint long"))
+    printed = materialize(printed.groupBy("fingerprint", *_KEYS).agg(F.count(F.lit(1)).alias("copies")), "prints")
+    first = F.min(F.struct(*_KEYS, "copies")).alias("first")
     distinct = materialize(printed.groupBy("fingerprint").agg(first), "fingerprints")
     roots = components(links(distinct.select("fingerprint"), max_distance)).withColumnRenamed("node", "fingerprint")
     named = distinct.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
-    stay = named.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.n").alias("n"))
-    return printed.join(materialize(stay, "stay"), "n", "left_semi").select(*from_struct("row", docs.columns))
+    stay = materialize(named.groupBy("root").agg(F.min("first").alias("first")).select("first.*"), "stay")
+    rows = docs.select(*keys, as_struct(docs).alias("row"))
+    once, more = stay.filter("copies = 1").select(*_KEYS), stay.filter("copies > 1").select(*_KEYS)
+    kept = rows.join(once, _KEYS, "left_semi").select("row")
+    if not more.isEmpty():
+        kept = kept.unionAll(rows.join(more, _KEYS, "left_semi").groupBy(*_KEYS).agg(F.first("row").alias("row")).select("row"))
+    return kept.select(*from_struct("row", docs.columns))
 
 
 def near_duplicate_groups(docs: DataFrame, shingle: int = 3, max_distance: int = 3) -> DataFrame:

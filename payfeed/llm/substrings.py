@@ -433,7 +433,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     row = as_struct(docs.select(*[F.col(f"`{c}`") for c in others]))
     source = docs.select(row.alias("_row"), text.alias("_text"), F.xxhash64(text).alias("_key"), F.col("doc_id").cast("long").alias("_id"))
     keyed = source.select(F.col("_id").alias("doc_id"), F.col("_key").alias("text_key"), F.col("_text").alias("text"))
-    ranges = repeated_ranges(keyed, window).select(F.col("doc_id").alias("_rid"), F.col("text_key").alias("_rkey"), F.col("ranges").alias("_ranges"))
+    # Written first, so that the strings are off the disks before the texts are shuffled.
+    ranges = materialize(repeated_ranges(keyed, window), "ranges").select(F.col("doc_id").alias("_rid"), F.col("text_key").alias("_rkey"), F.col("ranges").alias("_ranges"))
     joined = source.join(ranges, F.col("_id").eqNullSafe(F.col("_rid")) & (F.col("_key") == F.col("_rkey")), "left")
     # Arrow keeps the other columns as they are.
 

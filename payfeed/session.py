@@ -79,14 +79,31 @@ def staging(spark: SparkSession) -> Iterator[str]:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+# Spark deletes the shuffle files of a query when it ends, instead of when the driver has collected its garbage.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside leave no shuffle files; for results that are written, so that none of it is read again."""
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts lineage in a way that survives executor loss, and pins values that a
     re-run could assign differently (row positions after a range exchange).
+    What was shuffled for it is deleted once it is written.
     """
     path = run_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with freed_shuffles(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

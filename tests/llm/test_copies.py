@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from payfeed.llm import decontaminate, simhash, substrings
 from payfeed.llm.files import BATCH_ROWS
+from payfeed.session import staging
 
 
 def made_texts(seed=3):
@@ -296,6 +298,34 @@ def test_one_document_of_each_component_stays(make_docs):
     assert 60 <= sum(want.values()) < len(rows) - 40
 
 
+def test_rows_repeated_in_full_leave_one(spark):
+    texts = [f"{i} " + " ".join(f"w{i}x{j}" for j in range(40)) for i in range(20)]
+    rows = [(i, t, {"n": i}) for i, t in enumerate(texts)] + [(None, "no id but a text", {"n": -1}), (None, None, {"n": -2}), (3, "another text of the same id", {"n": 3})]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, more map<string, int>")
+    once, thrice = (sorted(map(str, simhash.drop_near_duplicates(x).collect())) for x in (docs, docs.union(docs).union(docs)))
+    assert once == thrice and len(once) == len(rows)
+
+
+def staged_bytes(folder):
+    return sum(f.stat().st_size for f in Path(folder).rglob("*.parquet"))
+
+
+def test_texts_are_not_staged_for_near_duplicates(spark, make_docs):
+    rng = random.Random(12)
+    docs = make_docs([(i, " ".join(f"{rng.getrandbits(64):x}" for _ in range(400))) for i in range(300)])
+    with staging(spark) as folder:
+        assert simhash.drop_near_duplicates(docs).count() == 300
+        assert staged_bytes(folder) < 300 * 400 * 16 / 4
+
+
+def test_repeated_windows_are_counted_before_texts_are_shuffled(make_docs):
+    passage = " ".join(f"p{i}" for i in range(50))
+    docs = make_docs([(i, f"{passage} " + " ".join(f"w{i}x{j}" for j in range(60))) for i in range(30)])
+    found = substrings.remove_repeats(docs)
+    assert {r.n_removed for r in found.collect()} == {50}
+    assert "MapInPandas" not in found._jdf.queryExecution().executedPlan().toString()  # these sent and counted the strings
+
+
 @pytest.mark.parametrize("batch", [1, 2, 3])
 def test_links_do_not_depend_on_batches(spark, batch):
     rng = random.Random(14)
