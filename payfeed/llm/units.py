@@ -5,6 +5,9 @@ character with a space that follows it. A text may therefore be encoded in units
 begin at single spaces; a unit's ids are remembered, so the library sees each distinct
 unit of a worker once. Texts for which a cut could change the result are handed to the
 library whole. The result is always that of encoding the whole text.
+
+Where spaces are kept in front of words, a unit is learned when it is looked up: a line break between
+visible characters is a cut as well, and words with marks after them go straight to the library's model.
 """
 
 from __future__ import annotations
@@ -19,14 +22,55 @@ from payfeed.llm.caches import claim, register
 # Units remembered by a worker before it starts anew; about 150 MB.
 MAX_UNITS = 1_000_000
 
-_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace()]
-_SPACE_PAIRS = [c + " " for c in _SPACES]
-_ASCII_PAIRS = [c + " " for c in _SPACES if c < "\x80"]
 _WORD_AND_MARKS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
+# Any ASCII mark but the apostrophe, which may begin a contraction.
+_WORD_AND_ANY_MARKS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)")
 _ENCODERS: dict[str, UnitEncoder] = {}
 register("units", _ENCODERS.clear)
 
 
+class _SpacePair(Exception):
+    """A white space character stands before a space: the text can't be cut there."""
+
+
+class _Units(dict):
+    """Ids of units behind ``before`` (a space or nothing), learned as they are looked up; ``bare`` has those behind nothing.
+
+    Holds no reference to itself, so that its memory is free as soon as the encoder goes.
+    """
+
+    def __init__(self, library, alphabet: dict[int, str], before: str, bare: _Units | None = None):
+        self.library, self.model, self.alphabet, self.before, self.bare = library, library.model, alphabet, before, bare
+        self.spelled, self.line_break = before.translate(alphabet), self.whole("\n")
+
+    def __missing__(self, unit: str) -> bytes:
+        if not unit or unit[-1].isspace():
+            raise _SpacePair
+        bare = self if self.bare is None else self.bare
+        match = _WORD_AND_ANY_MARKS.fullmatch(unit)
+        if match is None and "\n" in unit:
+            lines = unit.split("\n")
+            if all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
+                # Not remembered: few such units come again, their parts do.
+                return self[lines[0]] + b"".join([self.line_break + bare[x] for x in lines[1:]])
+        if len(self) >= MAX_UNITS:
+            self.clear()
+        if match is None:
+            data = self.whole(self.before + unit)
+        elif match[2]:
+            # Marks after a word are a pre-token of their own.
+            data = self[match[1]] + bare[match[2]]
+        else:
+            # One word of Latin letters is one pre-token.
+            form = self.spelled + (unit if unit.isascii() else unit.translate(self.alphabet))
+            data = array("I", [t.id for t in self.model.tokenize(form)]).tobytes()
+        self[unit] = data
+        return data
+
+    def whole(self, text: str) -> bytes:
+        return array("I", self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
+
+
 class UnitEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids."""
 
@@ -45,24 +89,34 @@ class UnitEncoder:
         self.alphabet = {ord(c): spell(c) for c in [" ", *map(chr, range(0xC0, 0x100))]}
         self.first: dict[str, bytes] = {}
         self.inner: dict[str, bytes] = {}
+        if self.cut == "kept":
+            self.first = _Units(self.library, self.alphabet, "")
+            self.inner = _Units(self.library, self.alphabet, " ", self.first)
 
     def encode(self, text: str) -> bytes:
         if any(token in text for token in self.added):
             return self._library([text])[0]
         if self.cut == "dropped":
             return self._joined(self.inner, text.replace("\n", " ").split(" "), "")
-        pairs = _ASCII_PAIRS if text.isascii() else _SPACE_PAIRS
-        if self.cut is None or any(pair in text for pair in pairs):
+        if self.cut is None:
             return self._library([text])[0]
         units = text.split(" ")
-        head = units[0]
-        known = self.first.get(head)
-        if known is None:
-            known = self.first[head] = self._library([head])[0]
-            if len(self.first) > MAX_UNITS:
-                self.first.clear()
-        del units[0]
-        return known + self._joined(self.inner, units, " ")
+        last = units.pop()
+        try:
+            if not units:
+                return self._end("", last)
+            head = units[0]
+            known = self.first[head] if head else b""
+            del units[0]
+            return known + b"".join(map(self.inner.__getitem__, units)) + self._end(" ", last)
+        except _SpacePair:
+            return self._library([text])[0]
+
+    def _end(self, before: str, unit: str) -> bytes:
+        """The last unit, after which no space comes: it may be empty or end in white space."""
+        if not unit or unit[-1].isspace():
+            return self._library([before + unit])[0]
+        return (self.inner if before else self.first)[unit]
 
     def _joined(self, known: dict[str, bytes], units: list[str], before: str) -> bytes:
         try:

@@ -1,5 +1,6 @@
 """Packing and token files against the library, one text at a time."""
 
+import itertools
 import zlib
 from collections import Counter
 
@@ -45,6 +46,48 @@ def test_strings_of_special_tokens(path, parts):
     test_units_encode_like_the_whole_text.hypothesis.inner_test(path, "".join(parts))
 
 
+BREAKS = ["a\n b", "\n a", "\n", "a \nb", "x\ny.\nz", "x\n\ny", "x\r\ny", "x\n\ty z", "w$$$ w*** w's w'\ns -\nA_b\n1", "é##\nÉ.. ", "a  b\nc", " a\nb\x85 c", "don't\n's"]
+
+
+def test_units_with_line_breaks_and_marks(libraries):
+    encoder = UnitEncoder(BYTE)
+    for size in (1, 2, 3):
+        for parts in itertools.product([*BREAKS, " ", "\n", "$$$", "word", "'s", "é"], repeat=size):
+            text = "".join(parts)
+            assert np.frombuffer(encoder.encode(text), "<u4").tolist() == libraries[BYTE].encode(text, add_special_tokens=False).ids, text
+
+
+def test_line_breaks_and_marks_are_not_sent_through_the_whole_chain(monkeypatch):
+    """Of texts in lines only the marks are pre-tokenized by the library, once each; units that join two lines are not remembered."""
+    encoder, sent = UnitEncoder(BYTE), []
+    chain = encoder.library
+
+    class Counted:
+        @staticmethod
+        def encode_batch_fast(texts, **more):
+            sent.extend(texts)
+            return chain.encode_batch_fast(texts, **more)
+
+        model = chain.model
+
+    for part in (encoder, encoder.first, encoder.inner):
+        if hasattr(part, "library"):
+            monkeypatch.setattr(part, "library", Counted)
+    texts = [f"Head{x} one$$$ end{x}.\nNext{x}### last{x}" for x in "abcdefghijklmnopqrstuvwxyz"]
+    for text in texts:
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == chain.encode(text, add_special_tokens=False).ids
+    assert sorted(sent) == ["###", "$$$", "."]
+    assert not any("\n" in unit for unit in encoder.inner)
+
+
+def test_full_units_start_anew(monkeypatch):
+    monkeypatch.setattr("payfeed.llm.units.MAX_UNITS", 5)
+    encoder, plain = UnitEncoder(BYTE), Tokenizer.from_file(BYTE)
+    for text in ("a b c d e f g h, i.\nj k$ l", "l m n\no p. q r s", "a b"):
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+        assert len(encoder.inner) <= 7 and len(encoder.first) <= 7
+
+
 LIBRARIES: dict = {}
 ENCODERS: dict = {}
 
