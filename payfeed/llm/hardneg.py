@@ -5,12 +5,14 @@ so that all have the norm of the longest; inner products with an anchor (augment
 the angle alone. A node's covering radius is the largest angle between its centre and a row below;
 children have centres apart by more than half their parent's radius and cover all of it within that, unless the fan-out is
 used up, when their true radii stand. The triangle inequality on angles bounds all inner products below a node from
-both sides. Best-first descent takes the node with the highest bound, skips nodes outside all windows that are
-still open, and computes leaves exactly, in doubles that hold such integers without rounding. Bounds are only widened
-by rounding, so results are those of comparing all rows.
-
-The anchors are a stated query set: in blocks they go to every bin of shards, and each (anchor, shard) answers with
-a few rows. Neither trees nor blocks grow with the table, and a task holds the trees of one bin and one block
+both sides. Descent is best-first for a block of anchors at once: in each round every anchor names the nodes with its highest
+bounds, few in the first rounds and more in later ones, skips nodes outside all windows that are still open, and a node is
+met by all anchors that name it in one product of matrices. Leaves are computed exactly, in floats that hold such integers
+without rounding. Bounds are only widened by rounding, so results are those of comparing all rows.
+
+The anchors are a stated query set: in blocks they go to every bin of shards, and each (anchor, bin) answers with
+a few rows; what a tree has found closes windows for the next. Bins are equal in shards, and tasks are pairs of a bin and a piece
+of the blocks. Neither trees nor blocks grow with the table, and a task holds the trees of one bin and one block
 at a time. A vector that a third of the rows share fills nodes of radius zero, which are leaves.
 
 Nulls, ties, odd values: rows with a null vec_id, label or vector, or any null or non-finite component take no part, nor
@@ -21,7 +23,6 @@ rows are candidates each, and anchors each. An empty table gives an empty result
 
 from __future__ import annotations
 
-import heapq
 import io
 from collections.abc import Iterator
 
@@ -34,10 +35,13 @@ from payfeed.llm.caches import claim
 from payfeed.session import materialize
 
 SHARD = 16_384
-LEAF = 192
+LEAF = 512
 FAN = 64
 BIN = 4
-BLOCK = 512
+BLOCK = 1024
+# A round of the descent takes so many times the nodes of the one before; rows found are sorted in when there are so many.
+WIDER = 6
+HELD = 1 << 15
 LIMIT = 1 << 22
 SLACK = 1e-6
 
@@ -74,12 +78,22 @@ class CoverTree:
 
     def __init__(self, arrays: dict[str, np.ndarray]):
         self.ids, self.labels = arrays["ids"], arrays["labels"]
-        self.vectors = arrays["vectors"].astype(np.float64)
         self.norm = float(arrays["norm"])
         self.centre, self.radius = arrays["centre"], arrays["radius"]
         # Of leaves: rows [begin, end); of inner nodes: children [begin, end).
         self.begin, self.end, self.leaf = arrays["begin"], arrays["end"], arrays["leaf"]
-        self.points = self.vectors[self.centre]
+        self.points = arrays["vectors"][self.centre].astype(np.float64)
+        self.integers, self._as = arrays["vectors"], {}
+
+    @property
+    def vectors(self) -> np.ndarray:
+        return self.rows(np.float64)
+
+    def rows(self, kind: type) -> np.ndarray:
+        """All rows as ``kind``, kept for the next block."""
+        if kind not in self._as:
+            self._as[kind] = self.integers.astype(kind)
+        return self._as[kind]
 
     @staticmethod
     def grow(ids: np.ndarray, labels: np.ndarray, vectors: np.ndarray) -> dict[str, np.ndarray]:
@@ -127,51 +141,116 @@ class CoverTree:
             "radius": np.array(radius), "begin": np.array(begin), "end": np.array(end), "leaf": np.array(leaf),
         }
 
-    def bounds(self, query: np.ndarray, length: float, nodes: slice) -> tuple[np.ndarray, np.ndarray]:
-        """Highest and lowest inner product that rows below the nodes can have."""
-        reach = length * self.norm
-        if not reach:
-            return np.zeros(nodes.stop - nodes.start), np.zeros(nodes.stop - nodes.start)
-        angle = np.arccos(np.clip(self.points[nodes] @ query / reach, -1, 1))
+    def bounds(self, query: np.ndarray, length: np.ndarray | float, nodes: slice) -> tuple[np.ndarray, np.ndarray]:
+        """Highest and lowest inner product that rows below the nodes can have, with a query or with each row of several."""
+        reach = np.expand_dims(np.asarray(length, np.float64) * self.norm, -1)
+        angle = np.arccos(np.clip(query @ self.points[nodes].T / np.where(reach > 0, reach, 1), -1, 1))
         high = np.cos(np.maximum(0, angle - self.radius[nodes]))
         low = np.cos(np.minimum(np.pi, angle + self.radius[nodes]))
         return reach * (high + SLACK), reach * (low - SLACK)
 
     def search(self, query: np.ndarray, vec_id: int, label: int, same: bool, lows: np.ndarray, highs: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """Per window [low, high] the first ``k`` rows inside: scores and ids, of the anchor's label or of others."""
-        floors, found = lows.astype(np.float64), [(np.zeros(0), np.zeros(0, np.int64))] * len(lows)
-        length = float(np.sqrt(query @ query))
-        heap: list[tuple[float, int]] = []
-
-        def offer(first: int, last: int) -> None:
-            high, low = self.bounds(query, length, slice(first, last))
-            inside = ((high[:, None] >= floors) & (low[:, None] <= highs)).any(1)
-            for i in np.flatnonzero(inside).tolist():
-                heapq.heappush(heap, (-high[i], first + i))
-
-        offer(0, 1)
-        while heap:
-            high, node = heapq.heappop(heap)
-            if not (-high >= floors).any():
-                break
-            begin, end = self.begin[node], self.end[node]
-            if not self.leaf[node]:
-                offer(begin, end)
+        asked = Asked(query[None, :], np.array([vec_id]), np.array([label]), same, lows[None, :], highs[None, :], k)
+        self.answer(asked)
+        return [(asked.scores[0, w, :n], asked.ids[0, w, :n]) for w, n in enumerate(asked.filled[0].tolist())]
+
+    def answer(self, asked: Asked) -> None:
+        """Put into ``asked`` what its queries look for among the rows of this tree."""
+        # Partial sums are below the product of the norms, so single floats hold them where that is below 2**24.
+        exact = np.float32 if asked.length.max() * self.norm < 1 << 24 else np.float64
+        queries, rows = asked.queries.astype(exact), self.rows(exact)
+
+        def offer(who: np.ndarray, first: int, last: int) -> tuple[np.ndarray, ...]:
+            high, low = self.bounds(asked.queries[who], asked.length[who], slice(first, last))
+            inside = np.zeros(high.shape, bool)
+            for w in range(asked.floors.shape[1]):
+                inside |= (high >= asked.floors[who, w, None]) & (low <= asked.highs[who, w, None])
+            i, j = np.nonzero(inside)
+            return who[i], first + j, high[i, j]
+
+        who, node, high = offer(np.arange(len(queries)), 0, 1)
+        width = 1
+        while len(who):
+            if width < len(self.leaf):
+                order = np.lexsort((-high, who))
+                who, node, high = who[order], node[order], high[order]
+                now = _places(who) < width
+            else:
+                now = np.ones(len(who), bool)
+            later = [(who[~now], node[~now], high[~now])]
+            order = np.argsort(node[now], kind="stable")
+            some, at = who[now][order], node[now][order]
+            cuts = np.flatnonzero(at[1:] != at[:-1]) + 1
+            for n, mine in zip(at[np.append(0, cuts)].tolist(), np.split(some, cuts)):
+                begin, end = int(self.begin[n]), int(self.end[n])
+                if self.leaf[n]:
+                    asked.meet(mine, queries[mine] @ rows[begin:end].T, self.ids[begin:end], self.labels[begin:end])
+                else:
+                    later.append(offer(mine, begin, end))
+            if width < len(self.leaf):
+                asked.settle()
+            who, node, high = (np.concatenate(x) for x in zip(*later))
+            open_ = high >= asked.floors.min(1)[who]
+            who, node, high = who[open_], node[open_], high[open_]
+            width *= WIDER
+        asked.settle()
+
+
+def _places(values: np.ndarray) -> np.ndarray:
+    """Place of each value among its equals, which stand together."""
+    first = np.concatenate([[True], values[1:] != values[:-1]])[: len(values)]
+    return np.arange(len(values)) - np.maximum.accumulate(np.where(first, np.arange(len(values)), 0))
+
+
+class Asked:
+    """A block of queries, and per query and window [low, high] the first ``k`` rows so far: best scores, then smaller ids."""
+
+    def __init__(self, queries: np.ndarray, vec_ids: np.ndarray, labels: np.ndarray, same: bool, lows: np.ndarray, highs: np.ndarray, k: int):
+        self.queries, self.vec_ids, self.labels, self.same, self.k = queries, vec_ids, labels, same, k
+        self.length = np.sqrt(np.einsum("ij,ij->i", queries, queries))
+        # No row below a floor can be among the first of a window.
+        self.floors, self.highs = lows.astype(np.float64), highs.astype(np.float64)
+        self.scores, self.ids = np.zeros((*lows.shape, k)), np.zeros((*lows.shape, k), np.int64)
+        self.filled = np.zeros(lows.shape, np.int64)
+        self._met: list[tuple[np.ndarray, ...]] = []
+        self._held = 0
+
+    def meet(self, who: np.ndarray, scores: np.ndarray, ids: np.ndarray, labels: np.ndarray) -> None:
+        """``scores`` of the queries ``who`` (rows) with some rows (columns)."""
+        i, j = np.nonzero((scores >= self.floors.min(1)[who, None]) & (scores <= self.highs.max(1)[who, None]))
+        own = who[i]
+        fits = np.flatnonzero(((labels[j] == self.labels[own]) == self.same) & (ids[j] != self.vec_ids[own]))
+        i, j = i[fits], j[fits]
+        self._met.append((own[fits], scores[i, j].astype(np.float64), ids[j]))
+        self._held += len(fits)
+        if self._held > HELD:
+            self.settle()
+
+    def settle(self) -> None:
+        """Sort in what was met."""
+        if not self._held:
+            return
+        own, scores, ids = (np.concatenate(x) for x in zip(*self._met))
+        self._met, self._held = [], 0
+        for w in range(self.floors.shape[1]):
+            take = (scores >= self.floors[own, w]) & (scores <= self.highs[own, w])
+            if not take.any():
                 continue
-            scores = self.vectors[begin:end] @ query
-            fits = np.flatnonzero((scores >= floors.min()) & (scores <= highs.max()))
-            ids = self.ids[begin:end][fits]
-            some = ((self.labels[begin:end][fits] == label) == same) & (ids != vec_id)
-            scores, ids = scores[fits[some]], ids[some]
-            for w in range(len(found)) if len(ids) else ():
-                take = (scores >= floors[w]) & (scores <= highs[w])
-                if take.any():
-                    s, i = np.concatenate([found[w][0], scores[take]]), np.concatenate([found[w][1], ids[take]])
-                    best = np.lexsort((i, -s))[:k]
-                    found[w] = s[best], i[best]
-                    if len(best) == k:
-                        floors[w] = max(floors[w], s[best[-1]])
-        return found
+            q, s, i = own[take], scores[take], ids[take]
+            known = np.unique(q)
+            a, b = np.nonzero(np.arange(self.k) < self.filled[known, w, None])
+            a = known[a]
+            q, s, i = np.concatenate([q, a]), np.concatenate([s, self.scores[a, w, b]]), np.concatenate([i, self.ids[a, w, b]])
+            order = np.lexsort((i, -s, q))
+            q, s, i = q[order], s[order], i[order]
+            place = _places(q)
+            first = place < self.k
+            q, s, i, place = q[first], s[first], i[first], place[first]
+            self.scores[q, w, place], self.ids[q, w, place] = s, i
+            self.filled[known, w] = np.bincount(q, minlength=len(self.queries))[known]
+            full = known[self.filled[known, w] == self.k]
+            self.floors[full, w] = np.maximum(self.floors[full, w], self.scores[full, w, self.k - 1])
 
 
 def index(rows: DataFrame) -> DataFrame:
@@ -217,39 +296,48 @@ def _blocks(anchors: DataFrame) -> DataFrame:
     return materialize(anchors.mapInPandas(pack, "block binary"), "anchors")
 
 
+def dealt(trees: DataFrame, blocks: DataFrame) -> DataFrame:
+    """What meets in a task, trees first: kind (0 is a tree, 1 a block of anchors), data."""
+    spark = trees.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = sorted(r["shard"] for r in trees.select("shard").collect())  # one number for SHARD rows
+    bins = max(1, -(-len(shards) // BIN), min(len(shards), parts))
+    pieces = max(1, parts // (BIN * bins))
+    number = spark.createDataFrame([(shard, n % bins) for n, shard in enumerate(shards)], "shard long, bin int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    to_bin = trees.join(number.hint("broadcast"), "shard").select("bin", every(pieces).alias("piece"), F.lit(0).alias("kind"), F.col("tree").alias("data"))
+    blocks = blocks.withColumn("piece", F.pmod(F.xxhash64("block"), F.lit(pieces)).cast("int"))
+    copies = blocks.select(every(bins).alias("bin"), "piece", F.lit(1).alias("kind"), F.col("block").alias("data"))
+    task = F.col("bin") * pieces + F.col("piece")
+    return to_bin.unionByName(copies).repartitionById(bins * pieces, task).sortWithinPartitions("kind").select("kind", "data")
+
+
 def search(trees: DataFrame, anchors: DataFrame, same: bool, k: int) -> DataFrame:
     """The first ``k`` rows in each window of each anchor: anchor, window (from 0), id, score, place (from 1).
 
     ``trees`` is what ``index`` made. ``anchors`` has anchor (a number of its own), vec_id, label, v, and the arrays lows and highs.
     """
-    parts = int(trees.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shards = trees.count()
-    bins = max(1, -(-shards // BIN), min(shards, parts))
-    to_bin = trees.select(F.pmod(F.xxhash64("shard"), F.lit(bins)).cast("int").alias("bin"), F.lit(0).alias("kind"), F.col("tree").alias("data"))
-    copies = _blocks(anchors).select(F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), F.lit(1).alias("kind"), F.col("block").alias("data"))
-    met = to_bin.unionByName(copies).repartition(parts, "bin").sortWithinPartitions("bin", "kind")
+    met = dealt(trees, _blocks(anchors))
 
     def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         claim("")
-        now, held = None, []
+        held = []
         for batch in batches:
-            for at, kind, data in zip(batch["bin"], batch["kind"], batch["data"]):
-                if at != now:
-                    now, held = at, []
+            for kind, data in zip(batch["kind"], batch["data"]):
                 if kind == 0:
                     held.append(CoverTree(_unpack(data)))
                     continue
-                block, out = _unpack(data), []
-                ends = np.cumsum(block["sizes"])
-                queries = block["v"].astype(np.float64)
+                block = _unpack(data)
+                sizes = block["sizes"]
+                windows = np.arange(max(1, sizes.max())) < sizes[:, None]
+                lows, highs = np.full(windows.shape, np.inf), np.full(windows.shape, -np.inf)
+                lows[windows], highs[windows] = block["lows"], block["highs"]
+                asked = Asked(block["v"].astype(np.float64), block["vec_id"], block["label"], same, lows, highs, k)
                 for tree in held:
-                    if tree.vectors.shape[1] != queries.shape[1]:
-                        continue
-                    for j, (end, size) in enumerate(zip(ends.tolist(), block["sizes"].tolist())):
-                        lows, highs = block["lows"][end - size : end], block["highs"][end - size : end]
-                        got = tree.search(queries[j], int(block["vec_id"][j]), int(block["label"][j]), same, lows, highs, k)
-                        out += [(int(block["anchor"][j]), w, i, int(s)) for w, (scores, ids) in enumerate(got) for s, i in zip(scores, ids.tolist())]
-                yield pd.DataFrame(out, columns=["anchor", "window", "id", "score"]).astype({"window": np.int32, "anchor": np.int64, "id": np.int64, "score": np.int64})
+                    if tree.points.shape[1] == asked.queries.shape[1]:
+                        tree.answer(asked)
+                q, w, at = np.nonzero(np.arange(k) < asked.filled[:, :, None])
+                yield pd.DataFrame({"anchor": block["anchor"][q], "window": w.astype(np.int32), "id": asked.ids[q, w, at], "score": asked.scores[q, w, at].astype(np.int64)})
 
     found = met.mapInPandas(answer, "anchor long, window int, id long, score long")
     order = Window.partitionBy("anchor", "window").orderBy(F.desc("score"), "id")

@@ -71,6 +71,51 @@ def test_nodes_are_covered_and_skipped(monkeypatch):
     assert sum(seen) < len(tree.leaf) / 3
 
 
+@pytest.mark.parametrize("factor", [1, 20000])
+def test_a_block_meets_a_node_together(monkeypatch, factor):
+    monkeypatch.setattr(hardneg, "LEAF", 16)
+    monkeypatch.setattr(hardneg, "HELD", 50)
+    rng = np.random.default_rng(3)
+    v = rng.integers(-200, 200, (900, 8)) * factor
+    v[rng.random(900) < 0.1] = v[0]
+    ids, labels = rng.permutation(900) // 2, rng.integers(0, 4, 900)
+    trees = [CoverTree(CoverTree.grow(ids[a:b], labels[a:b], v[a:b])) for a, b in ((0, 500), (500, 900))]
+    asked_for, real, seen = np.arange(0, 900, 3), CoverTree.bounds, []
+    monkeypatch.setattr(CoverTree, "bounds", lambda self, q, n, s: (seen.append(1), real(self, q, n, s))[1])
+
+    def block(same, lows, highs):
+        asked = hardneg.Asked(v[asked_for].astype(float), ids[asked_for], labels[asked_for], same, lows, highs, 5)
+        for tree in trees:
+            tree.answer(asked)
+        return asked
+
+    everything = np.full((len(asked_for), 1), np.inf)
+    first = block(True, -everything, everything)
+    # Windows of which one is closed from the start.
+    highs = np.column_stack([first.scores[:, 0, 0], first.scores[:, 0, 4] // 2, -everything])
+    lows = np.column_stack([np.ceil(0.8 * highs[:, :2]), everything])
+    second = block(False, lows, highs)
+    for n, q in enumerate(asked_for):
+        for asked, w, same, low, high in ((first, 0, True, -np.inf, np.inf), *((second, w, False, lows[n, w], highs[n, w]) for w in range(3))):
+            got = [(s, i) for s, i in zip(asked.scores[n, w], asked.ids[n, w])][: asked.filled[n, w]]
+            assert got == plain(ids, labels, v, v[q], ids[q], labels[q], same, low, high, 5)
+    # Bounds are computed for many anchors at once: one by one it would be four times for each at the roots alone.
+    assert len(seen) < 2 * len(asked_for)
+
+
+def test_bins_have_a_task_each(spark):
+    rng = np.random.default_rng(5)
+    rows = [Row(vec_id=i, label=i % 3, embedding=rng.normal(0, 0.2, 4).tolist()) for i in range(320)]
+    table = hardneg.candidates(spark.createDataFrame(rows).repartition(4, "vec_id"))
+    trees = hardneg.index(table)
+    anchors = table.filter("vec_id % 10 = 0").withColumn("anchor", F.col("vec_id"))
+    anchors = anchors.select("*", F.array(F.lit(float("-inf"))).alias("lows"), F.array(F.lit(float("inf"))).alias("highs"))
+    tasks = hardneg.dealt(trees, hardneg._blocks(anchors)).withColumn("task", F.spark_partition_id())
+    assert trees.count() == 4
+    assert [r["count"] for r in tasks.filter("kind = 0").groupBy("task").count().collect()] == [1] * 4
+    assert hardneg.search(trees, anchors, True, 5).count() == 32 * 5
+
+
 def expected(rows):
     known = []
     for r in rows:
