@@ -13,6 +13,9 @@ of ``BLOCK`` fingerprints, and each block is verified by itself against all that
 a block returns a spanning star per group instead of its pairs. Groups are then joined by
 label propagation with shortcuts, each round a written table.
 
+Tables that grow with the texts are sorted and merged, whatever the planner takes their size to be: it counts
+the rows that an array is spread to as one, and would have the driver hold what looks small.
+
 Nulls, empty texts, ties: a text without words (or null) has fingerprint zero, linked
 like any other; a row without doc_id is never the smallest of its group, and a group of such rows
 alone has a null id; repeated rows fall in one group. Empty input gives an empty result.
@@ -89,7 +92,7 @@ def deal(nodes: DataFrame, node: str, values: list[tuple[Column, int]]) -> DataF
     home = nodes.select(F.explode(F.array(*homes)).alias("key"))
     sizes = home.groupBy("key").agg(F.count(F.lit(1)).alias("entries"))
     seekers = nodes.select(F.col(node).alias("node"), F.inline(F.concat(at(F.array(*homes), True), at(F.concat(*looks), False))))
-    met = seekers.join(sizes, "key").withColumn("blocks", F.ceil(F.col("entries") / BLOCK).cast("int"))
+    met = seekers.hint("merge").join(sizes, "key").withColumn("blocks", F.ceil(F.col("entries") / BLOCK).cast("int"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     dealt = met.select("key", "node", F.when(F.col("home"), own).alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
     return dealt.select("key", "block", "node", F.coalesce(F.col("own") == F.col("block"), F.lit(False)).alias("member"))
@@ -187,11 +190,11 @@ def components(edges: DataFrame) -> DataFrame:
     both = materialize(both.filter("node != other").distinct(), "edges")
     labels = materialize(both.groupBy("node").agg(F.least(F.min("other"), F.first("node")).alias("root")), "labels")
     while True:
-        seen = both.join(labels.select(F.col("node").alias("other"), "root"), "other").groupBy("node").agg(F.min("root").alias("near"))
-        step = labels.join(seen, "node").select("node", F.col("root").alias("old"), F.least("root", "near").alias("root"))
+        seen = both.hint("merge").join(labels.select(F.col("node").alias("other"), "root"), "other").groupBy("node").agg(F.min("root").alias("near"))
+        step = labels.hint("merge").join(seen, "node").select("node", F.col("root").alias("old"), F.least("root", "near").alias("root"))
         # Shortcut: take over the label of the node that gives the label.
         jump = labels.select(F.col("node").alias("root"), F.col("root").alias("further"))
-        step = step.join(jump, "root", "left").select("node", "old", F.least("root", "further").alias("root"))
+        step = step.join(jump.hint("merge"), "root", "left").select("node", "old", F.least("root", "further").alias("root"))
         step = materialize(step, "labels")
         labels = step.select("node", "root")
         if step.filter("root != old").isEmpty():
@@ -206,12 +209,12 @@ def grouped(prints: DataFrame, max_distance: int) -> DataFrame:
     distinct = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"))
     distinct = materialize(distinct, "fingerprints")
     roots = components(links(distinct.select("fingerprint"), max_distance))
-    named = distinct.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
+    named = distinct.join(roots.withColumnRenamed("node", "fingerprint").hint("merge"), "fingerprint", "left")
     named = materialize(named.select("fingerprint", "first_id", F.coalesce("root", "fingerprint").alias("root")), "named")
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     # A written side lets adaptive execution split a fingerprint that many copies share.
-    names = materialize(named.join(least, "root").select("fingerprint", "component_id"), "components")
-    return prints.join(names, "fingerprint")
+    names = materialize(named.hint("merge").join(least, "root").select("fingerprint", "component_id"), "components")
+    return prints.join(names.hint("merge"), "fingerprint")
 
 
 # What a row is known by until its text is needed again, in the order in which rows of a component are preferred.
@@ -242,10 +245,10 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int =
     first = F.min(F.struct(*_KEYS, "copies")).alias("first")
     distinct = materialize(printed.groupBy("fingerprint").agg(first), "fingerprints")
     roots = components(links(distinct.select("fingerprint"), max_distance)).withColumnRenamed("node", "fingerprint")
-    named = distinct.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+    named = distinct.join(roots.hint("merge"), "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
     stay = materialize(named.groupBy("root").agg(F.min("first").alias("first")).select("first.*"), "stay")
     rows = docs.select(*keys, as_struct(docs).alias("row"))
-    once, more = stay.filter("copies = 1").select(*_KEYS), stay.filter("copies > 1").select(*_KEYS)
+    once, more = (stay.filter(many).select(*_KEYS).hint("merge") for many in ("copies = 1", "copies > 1"))
     kept = rows.join(once, _KEYS, "left_semi").select("row")
     if not more.isEmpty():
         kept = kept.unionAll(rows.join(more, _KEYS, "left_semi").groupBy(*_KEYS).agg(F.first("row").alias("row")).select("row"))
