@@ -435,7 +435,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     keyed = source.select(F.col("_id").alias("doc_id"), F.col("_key").alias("text_key"), F.col("_text").alias("text"))
     # Written first, so that the strings are off the disks before the texts are shuffled.
     ranges = materialize(repeated_ranges(keyed, window), "ranges").select(F.col("doc_id").alias("_rid"), F.col("text_key").alias("_rkey"), F.col("ranges").alias("_ranges"))
-    joined = source.join(ranges, F.col("_id").eqNullSafe(F.col("_rid")) & (F.col("_key") == F.col("_rkey")), "left")
+    # Merged: a file of like ranges is far smaller than what it holds, so its size is no ground to broadcast it.
+    joined = source.join(ranges.hint("merge"), F.col("_id").eqNullSafe(F.col("_rid")) & (F.col("_key") == F.col("_rkey")), "left")
     # Arrow keeps the other columns as they are.
 
     def keep(batches):

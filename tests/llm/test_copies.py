@@ -313,11 +313,11 @@ def staged_bytes(folder):
 def test_what_grows_with_the_texts_is_merged(monkeypatch, spark, make_docs):
     plans, real = [], simhash.materialize
     planned = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df
-    for module in (simhash,):
+    for module in (simhash, substrings):
         monkeypatch.setattr(module, "materialize", lambda df, label: real(planned(df), label))
     common = " ".join(f"w{i}" for i in range(60))
     docs = make_docs([(i, f"{common} {i // 2} {i // 2}") for i in range(40)] + [(1, f"{common} 0 0")])
-    for found in (simhash.near_duplicate_groups(docs), simhash.drop_near_duplicates(docs)):
+    for found in (simhash.near_duplicate_groups(docs), simhash.drop_near_duplicates(docs), substrings.remove_repeats(docs)):
         assert planned(found).count() > 0
     assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b")) >= 10 << 20
     assert sum("SortMergeJoin" in plan for plan in plans) > 8
